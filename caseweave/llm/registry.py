@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from caseweave.llm import quality_rules
+from caseweave.llm import line_dedup, quality_rules
 from caseweave.llm._spark import read_table
 
 QUERIES = {
+    "op2_line_dedup": lambda spark, sf_dir: line_dedup.line_dedup_query(read_table(spark, sf_dir, "documents")),
     "op3_quality_rules": lambda spark, sf_dir: quality_rules.quality_rules(read_table(spark, sf_dir, "documents")),
 }
 ORACLES = {
+    "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality_rules": quality_rules.ORACLE_SQL,
 }
