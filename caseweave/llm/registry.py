@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from caseweave.llm import line_dedup, quality_rules
+from caseweave.llm import decontaminate, line_dedup, quality_rules, substring_dedup
 from caseweave.llm._spark import read_table
 
+
+
+def _on_documents(operator):
+    return lambda spark, sf_dir: operator(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
-    "op2_line_dedup": lambda spark, sf_dir: line_dedup.line_dedup_query(read_table(spark, sf_dir, "documents")),
-    "op3_quality_rules": lambda spark, sf_dir: quality_rules.quality_rules(read_table(spark, sf_dir, "documents")),
+    "op2_line_dedup": _on_documents(line_dedup.line_dedup_query),
+    "op3_quality_rules": _on_documents(quality_rules.quality_rules),
+    "op4_decontaminate": lambda spark, sf_dir: decontaminate.decontaminate_query(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    ),
+    "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality_rules": quality_rules.ORACLE_SQL,
+    "op4_decontaminate": decontaminate.ORACLE_SQL,
+    "op10_substring_dedup": substring_dedup.ORACLE_SQL,
 }
