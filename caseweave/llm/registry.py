@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, line_dedup, quality_rules, substring_dedup
+from caseweave.llm import decontaminate, line_dedup, quality_rules, substring_dedup, suffix_dedup
 from caseweave.llm._spark import read_table
 
 
@@ -17,11 +17,13 @@ QUERIES = {
     "op4_decontaminate": lambda spark, sf_dir: decontaminate.decontaminate_query(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     ),
+    "op6_suffix_dedup": _on_documents(suffix_dedup.suffix_dedup_query),
     "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
 }
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
+    "op6_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op10_substring_dedup": substring_dedup.ORACLE_SQL,
 }
