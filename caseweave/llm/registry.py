@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, line_dedup, quality_rules, substring_dedup, suffix_dedup
+from caseweave.llm import decontaminate, line_dedup, quality_rules, simhash, substring_dedup, suffix_dedup
 from caseweave.llm._spark import read_table
 
 
@@ -17,6 +17,7 @@ QUERIES = {
     "op4_decontaminate": lambda spark, sf_dir: decontaminate.decontaminate_query(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     ),
+    "op5_simhash": _on_documents(simhash.simhash_query),
     "op6_suffix_dedup": _on_documents(suffix_dedup.suffix_dedup_query),
     "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
 }
