@@ -123,6 +123,16 @@ def covered(starts: np.ndarray, lengths, n: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) over every window of ``width`` values, by doubling."""
+    done = 1
+    while done * 2 <= width:
+        values = pick(values[:-done], values[done:])
+        done *= 2
+    rest = width - done
+    return pick(values[: len(values) - rest], values[rest:]) if rest else values
+
+
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values and the length of each row's list."""
     offsets = np.zeros(len(counts) + 1, np.int32)

@@ -27,5 +27,5 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def bucket_count(spark: SparkSession) -> int:
-    """Number of buckets of a shuffle that packs many values in a row: that of the cluster's shuffle partitions."""
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Number of buckets of a shuffle that packs many values in a row: the cluster's shuffle partitions, 64 at least."""
+    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))

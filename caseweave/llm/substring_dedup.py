@@ -5,8 +5,9 @@ on the input.  Steps:
 
 1. Each task rolls a 64-bit hash over the word windows of a batch.  A window that several documents of the batch hold
    leaves the batch once, for the smallest id; the others are hits already.  So a passage that a third of all documents
-   share costs one value a batch.  Values are packed into one row per batch and bucket; the bucket comes from a second,
-   independent hash, so two windows meet only if that bucket and all 64 bits agree.
+   share costs one value a batch.  Values are packed into one row per batch and bucket.  A window's bucket is that of
+   the least second hash among its runs of four words, which neighbouring windows mostly share: so a document's
+   windows go to few buckets, and two windows meet only if that bucket and all 64 bits agree.
 2. Spark shuffles by bucket.  A bucket's windows are sorted and counted; each that occurs in a document after the
    smallest id is a hit of that document.
 3. Hits, grouped by document, meet the texts again.  Covered words merge into maximal removal intervals.
@@ -28,6 +29,7 @@ from caseweave.llm import _bytes as kernel
 from caseweave.llm._spark import bucket_count
 
 WINDOW_WORDS = 50
+RUN_WORDS = 4
 U = np.uint64
 I64 = pa.int64()
 PACKED = "bucket int, ids array<long>, hashes array<long>"
@@ -41,8 +43,8 @@ class _Windows:
         self.size = size
         self.of_bytes, self.of_words, self.second = kernel.Rolling(11), kernel.Rolling(12), kernel.Rolling(13)
 
-    def __call__(self, column: pa.Array, second: bool = False):
-        """Word starts, ends, first words; start word, text index and hashes of each window."""
+    def __call__(self, column: pa.Array, with_places: bool = False):
+        """Word starts, ends, first words; start word, text index and hash of each window, and what picks its bucket."""
         buf, offsets = kernel.flat(column)
         starts, ends, first = kernel.words(buf, offsets)
         sums = self.of_bytes.prefix(buf)
@@ -50,8 +52,13 @@ class _Windows:
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         n = max(0, len(values) - self.size + 1)
         at = np.flatnonzero(text[:n] == text[self.size - 1 :]) if n else np.zeros(0, np.int64)
-        roll = lambda r: kernel.mixed(r.windows(r.prefix(values), self.size)[at]) if n else np.zeros(0, U)
-        return buf, starts, ends, first, at, text[at], roll(self.of_words), roll(self.second) if second else None
+        roll = lambda r, size: kernel.mixed(r.windows(r.prefix(values), size))
+        hashes = roll(self.of_words, self.size)[at] if n else np.zeros(0, U)
+        places = hashes
+        if with_places and n:
+            run = min(RUN_WORDS, self.size)
+            places = kernel.sliding(roll(self.second, run), self.size - run + 1, np.minimum)[at]
+        return buf, starts, ends, first, at, text[at], hashes, places
 
 
 def _grouped(ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
@@ -74,7 +81,7 @@ def _first_of_each(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.
 def _pack(batches, size: int, buckets: int):
     windows = _Windows(size)
     for batch in kernel.chunks(batches, "text"):
-        *_, text, h, second = windows(batch.column(1), True)
+        *_, text, h, places = windows(batch.column(1), True)
         if not len(h):
             continue
         ids = batch.column(0).to_numpy(zero_copy_only=False)[text]
@@ -83,7 +90,7 @@ def _pack(batches, size: int, buckets: int):
         new = np.r_[True, (hh[1:] != hh[:-1]) | (i[1:] != i[:-1])]  # a document's own repeats travel once, if adjacent
         keep = (i == least) & new
         local = (i > least) & new
-        bucket = (second[order] % U(buckets)).astype(np.int64)[keep]
+        bucket = (kernel.mixed(places[order]) % U(buckets)).astype(np.int64)[keep]
         by = np.lexsort((i[keep], bucket))
         bucket, ci, ch = bucket[by], i[keep][by], hh[keep][by]
         edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)

@@ -44,16 +44,6 @@ CONTEXTS = "bucket int, id long, shape int, bytes binary"
 HITS = "id long, contexts array<long>, places array<int>"
 
 
-def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
-    """``pick`` (minimum or maximum) over every window of ``width`` values, by doubling."""
-    done = 1
-    while done * 2 <= width:
-        values = pick(values[:-done], values[done:])
-        done *= 2
-    rest = width - done
-    return pick(values[: len(values) - rest], values[rest:]) if rest else values
-
-
 class _Anchors:
     """Anchors of a batch of texts: place, gram hash, context and its hash."""
 
@@ -74,11 +64,11 @@ class _Anchors:
         text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
         grams = kernel.mixed(self.gram.windows(self.gram.prefix(buf), GRAM))
         grams[text[: n - GRAM + 1] != text[GRAM - 1 :]] = U(2**64 - 1)
-        self.least = _sliding(grams, REACH + 1, np.minimum)
+        self.least = kernel.sliding(grams, REACH + 1, np.minimum)
         self.whole = text[: n - SIZE + 1] == text[SIZE - 1 :]
         reached = np.zeros(n - GRAM + 1 + REACH, U)
         reached[REACH : REACH + len(self.least)] = np.where(self.whole, self.least, U(0))
-        at = np.flatnonzero(_sliding(reached, REACH + 1, np.maximum) == grams)
+        at = np.flatnonzero(kernel.sliding(reached, REACH + 1, np.maximum) == grams)
         at = at[grams[at] != U(2**64 - 1)]
         self.at, self.text, self.grams = at, text[at].astype(np.int64), grams[at]
         self.lo = np.maximum(at - REACH, offsets[self.text])
@@ -403,11 +393,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     hits = contexts.groupBy("bucket").applyInArrow(lambda t: _sort(t), HITS)
     hits = hits.groupBy("id").agg(flat("contexts"), flat("places")).withColumnRenamed("id", "hit_id")
     last = met.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", "settled", "contexts", "places")
-    return last.mapInArrow(_cut_rows, "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", key)
-
-
-def _cut_rows(batches):
-    return _cut(batches)
+    return last.mapInArrow(lambda b: _cut(b), "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", key)
 
 
 def suffix_dedup_query(docs: DataFrame) -> DataFrame:
