@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.llm import decontaminate, line_dedup, quality_rules, simhash, substring_dedup, suffix_dedup
+from caseweave.llm import chat_format, decontaminate, line_dedup, packing, quality_rules, simhash, substring_dedup, suffix_dedup
 from caseweave.llm._spark import read_table
 
 
@@ -12,6 +12,7 @@ def _on_documents(operator):
 
 
 QUERIES = {
+    "op1_chat_format": lambda spark, sf_dir: chat_format.chat_format_query(read_table(spark, sf_dir, "conversations")),
     "op2_line_dedup": _on_documents(line_dedup.line_dedup_query),
     "op3_quality_rules": _on_documents(quality_rules.quality_rules),
     "op4_decontaminate": lambda spark, sf_dir: decontaminate.decontaminate_query(
@@ -19,9 +20,11 @@ QUERIES = {
     ),
     "op5_simhash": _on_documents(simhash.simhash_query),
     "op6_suffix_dedup": _on_documents(suffix_dedup.suffix_dedup_query),
+    "op9_pack": _on_documents(packing.pack_query),
     "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
 }
 ORACLES = {
+    "op1_chat_format": chat_format.ORACLE_SQL,
     "op2_line_dedup": line_dedup.ORACLE_SQL,
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
