@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from caseweave.llm import chat_format, decontaminate, line_dedup, packing, quality_rules, simhash, substring_dedup, suffix_dedup
+from caseweave.llm import (
+    chat_format, decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup,
+    suffix_dedup, url_filter,
+)
 from caseweave.llm._spark import read_table
 
 
@@ -20,6 +23,12 @@ QUERIES = {
     ),
     "op5_simhash": _on_documents(simhash.simhash_query),
     "op6_suffix_dedup": _on_documents(suffix_dedup.suffix_dedup_query),
+    "op7_url_filter": lambda spark, sf_dir: url_filter.url_filter_query(
+        read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
+    ),
+    "op8_quality_classifier": lambda spark, sf_dir: quality_classifier.quality_classifier_query(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    ),
     "op9_pack": _on_documents(packing.pack_query),
     "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
 }
@@ -29,5 +38,6 @@ ORACLES = {
     "op3_quality_rules": quality_rules.ORACLE_SQL,
     "op4_decontaminate": decontaminate.ORACLE_SQL,
     "op6_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op7_url_filter": url_filter.ORACLE_SQL,
     "op10_substring_dedup": substring_dedup.ORACLE_SQL,
 }
