@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from caseweave.plans import comparison  # noqa: F401
+from caseweave.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
