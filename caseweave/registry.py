@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.plans import comparison  # noqa: F401
+from caseweave.plans import comparison, source  # noqa: F401
 from caseweave.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
