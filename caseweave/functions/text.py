@@ -51,13 +51,8 @@ def present(c: Column) -> Column:
     return F.when(~c.isin("", "None", "nan"), c)
 
 
-def pair_cosine(a: Column, b: Column) -> Column:
-    """Cosine of the TF-IDF vectors of two texts, fitted on these two alone; null if either has no token.
-
-    With two texts a term in both has weight 1 and a term in one has 1 + ln 1.5, so the sums need no corpus: the shared
-    distinct terms and the token counts of each text are enough.
-    """
-    ta, tb = tokens(a), tokens(b)
+def token_cosine(ta: Column, tb: Column) -> Column:
+    """Cosine over two token lists; see ``pair_cosine``."""
     single = 1.0 + 0.4054651081081644
 
     def count(array: Column, term: Column) -> Column:
@@ -69,3 +64,14 @@ def pair_cosine(a: Column, b: Column) -> Column:
 
     dot = F.aggregate(F.array_intersect(ta, tb), F.lit(0.0), lambda s, t: s + count(ta, t) * count(tb, t))
     return F.when((F.size(ta) > 0) & (F.size(tb) > 0), dot / F.sqrt(square(ta, tb) * square(tb, ta)))
+
+
+def pair_cosine(a: Column, b: Column) -> Column:
+    """Cosine of the TF-IDF vectors of two texts, fitted on these two alone; null if either has no token.
+
+    With two texts a term in both has weight 1 and a term in one has 1 + ln 1.5, so the sums need no corpus: the shared
+    distinct terms and the token counts of each text are enough.  The token lists are bound as the variable of an outer
+    ``transform``, so that inner lambdas read them instead of cutting the texts again for every term.
+    """
+    bound = F.array(F.struct(tokens(a).alias("x"), tokens(b).alias("y")))
+    return F.get(F.transform(bound, lambda s: token_cosine(s.x, s.y)), 0)
