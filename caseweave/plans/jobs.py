@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -14,15 +12,10 @@ from caseweave.operators import classify as cf
 from caseweave.plans.base import INCIDENTS, incidents, query, sql_trueish, table
 from caseweave.plans.validation import L4TAX, _l4tax
 from caseweave.sources import io
+from caseweave.sources.shared import scratch
 from caseweave.streaming import incidents as st
 
 
-def scratch(spark, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 @query("""SELECT o_orderkey AS in_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderpriority END AS label, o_totalprice AS amount FROM orders WHERE o_orderkey % 10 <> 0""")
 def read_csv_tolerant(spark, sf_dir):
     path, k = scratch(spark, "csv"), F.col("o_orderkey")

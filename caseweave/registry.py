@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseweave.plans import comparison, jobs, measures, merging, source, validation  # noqa: F401
+from caseweave.plans import comparison, jobs, measures, merging, source, validation, workloads  # noqa: F401
 from caseweave.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
