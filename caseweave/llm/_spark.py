@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
+from caseweave.sources.shared import checkpointed
+
+__all__ = ["bucket_count", "checkpointed", "read_table"]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark so that any store that Spark knows will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, its lineage cut.
-
-    The folder is the one that the cluster names in ``spark.checkpoint.dir``.  Only where neither that setting nor
-    an earlier call has named one (a local test session) is a temporary folder taken.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def bucket_count(spark: SparkSession) -> int:
     """Number of buckets of a shuffle that packs many values in a row: the cluster's shuffle partitions, 64 at least."""
     return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))

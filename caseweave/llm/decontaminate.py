@@ -120,10 +120,10 @@ def _merge(starts: list, ends: list) -> tuple[list, list]:
     return [m[0] for m in merged], [m[1] for m in merged]
 
 
-def _verdict(batches, min_share: int, with_cut: bool):
+def _verdict(batches, min_share: int, with_cut: bool, keep: bool):
     """From the found spans to counts, the item digest, the verdict and, if asked for, the text without its hit words."""
     for batch in batches:
-        used = [c for c in ("n_words", "span_starts", "span_ends", "items", "text") if c in batch.schema.names]
+        used = [c for c in ("n_words", "span_starts", "span_ends", "items", "text") if c != "text" or with_cut]
         rows = batch.select(used).to_pydict()
         out: dict[str, list] = {c: [] for c in ("n_hit", "n_items", "items_sha256", "contaminated", "clean_text")}
         for k in range(batch.num_rows):
@@ -142,7 +142,7 @@ def _verdict(batches, min_share: int, with_cut: bool):
         names = ["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
         if with_cut:
             columns, names = [*columns, pa.array(out["clean_text"], pa.string())], [*names, "clean_text"]
-        rest = [c for c in batch.schema.names if c.startswith("__kept_")]
+        rest = [c for c in batch.schema.names if c.startswith("__kept_") or (c == "text" and keep)]
         yield pa.RecordBatch.from_arrays([*columns, *(batch.column(batch.schema.get_field_index(c)) for c in rest)], [*names, *rest])
 
 
@@ -174,7 +174,7 @@ def decontaminate(
     ``with_cut`` adds ``clean_text``.  ``keep`` passes the other columns of ``docs`` on, and its text.
     """
     context = docs.sparkSession.sparkContext
-    others = [c for c in docs.columns if c != key] if keep else []
+    others = [c for c in docs.columns if c not in (key, text)] if keep else []
     kept = {c: f"__kept_{k}" for k, c in enumerate(others)}
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), *(F.col(c).alias(n) for c, n in kept.items()))
     bench = benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
@@ -197,11 +197,13 @@ def decontaminate(
             shared.destroy()
     id_type = source.schema["id"].dataType.simpleString()
     out = f"id {id_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean" + ", clean_text string" * with_cut
-    out += "".join(f", `{n}` {docs.schema[c].dataType.simpleString()}" for c, n in kept.items())
-    judged = scanned if with_cut else scanned.drop("text")
-    judged = judged.mapInArrow(lambda b: _verdict(b, min_share, with_cut), out)
+    out += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "id" and (keep or f.name != "text"))
+    judged = scanned if with_cut or keep else scanned.drop("text")
+    judged = judged.mapInArrow(lambda b: _verdict(b, min_share, with_cut, keep), out)
     results = [c for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text") if c in judged.columns]
-    return judged.select(F.col("id").alias(key), *(F.col(n).alias(c) for c, n in kept.items() if c not in results), *results)
+    names = {key: "id"} | ({text: "text"} | kept if keep else {})
+    order = [c for c in docs.columns if c in names and c not in results]
+    return judged.select(*(F.col(names[c]).alias(c) for c in order), *results)
 
 
 def decontaminate_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

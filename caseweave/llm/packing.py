@@ -31,7 +31,7 @@ SEQUENCE = 2048
 END_ID = 1
 SALTS = 64
 #: Words that a task remembers the ids of.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 TOKENIZER = "word_bpe_49k.json"
 
 

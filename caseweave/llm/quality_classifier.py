@@ -16,6 +16,8 @@ with fewer than two classes among the fitting rows, every score is the share of
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,12 +26,14 @@ from pyspark.sql import functions as F
 from caseweave.llm import _bytes as kernel
 
 BITS = 18
-FIT_ROWS = 8_000
+FIT_ROWS = 6_000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
 FOLDS = 3
 KEEP_SCORE = 0.7
+#: Bytes of text that features are made of at once.
+AT_ONCE = 1_000_000
 U = np.uint64
 
 
@@ -42,15 +46,14 @@ class Grams:
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sorted columns of all rows together, and the number of each row's."""
         buf, offsets = kernel.flat(column)
-        n_rows = len(offsets) - 1
-        text = np.repeat(np.arange(n_rows, dtype=np.int64), np.diff(offsets))
-        sums, codes = self.rolling.prefix(buf), []
-        for n in (1, 2, 3):
+        n_rows, sums, codes = len(offsets) - 1, self.rolling.prefix(buf), []
+        text = np.repeat(np.arange(n_rows, dtype=np.int32), np.diff(offsets))
+        for n in (1, 2, 3):  # each size is made distinct before the next, which bounds a task's memory
             m = len(buf) - n + 1
             if m > 0:
-                whole = text[:m] == text[n - 1 :]
-                hashed = kernel.mixed(self.rolling.windows(sums, n) + U(n)) >> U(64 - self.bits)
-                codes.append((text[:m] << self.bits | hashed.astype(np.int64))[whole])
+                code = (kernel.mixed(self.rolling.windows(sums, n) + U(n)) >> U(64 - self.bits)).view(np.int64)
+                code |= text[:m].astype(np.int64) << self.bits
+                codes.append(np.unique(code[text[:m] == text[n - 1 :]]))
         codes = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.int64)
         return (codes & ((1 << self.bits) - 1)).astype(np.int32), np.bincount(codes >> self.bits, minlength=n_rows)
 
@@ -58,49 +61,52 @@ class Grams:
 class Model:
     """Fitted weights: score = logistic(slope * (sum of the weights of the text's n-grams / norm + bias) + shift)."""
 
-    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, seed: int = 5):
+    def __init__(self, columns: np.ndarray, counts: np.ndarray, labels: np.ndarray, bits: int = BITS, seed: int = 5):
+        """``columns`` holds the rows' columns one after the other, ``counts`` how many each row has."""
         self.bits, self.weights, self.bias, self.slope, self.shift = bits, np.zeros(1 << bits), 0.0, 0.0, 0.0
         share = float(labels.mean()) if len(labels) else 1.0
         self.constant = share if len(np.unique(labels)) < 2 else None
         if self.constant is not None:
             return
-        fold = np.random.default_rng(seed).permutation(len(rows)) % FOLDS
-        margins = np.zeros(len(rows))
+        edges = np.r_[0, np.cumsum(counts)]
+        fold = np.random.default_rng(seed).permutation(len(labels)) % FOLDS
+        margins = np.zeros(len(labels))
         for k in range(FOLDS):
             inside = np.flatnonzero(fold != k)
             if len(np.unique(labels[inside])) < 2:
                 continue
-            weights, bias = self._fit([rows[i] for i in inside], labels[inside], seed)
-            for i in np.flatnonzero(fold == k):
-                margins[i] = self._margin(rows[i], weights, bias)
-        self.weights, self.bias = self._fit(rows, labels, seed)
+            weights, bias = self._fit(columns, edges, labels, inside, seed)
+            for i in np.flatnonzero(fold == k).tolist():
+                margins[i] = weights[columns[edges[i] : edges[i + 1]]].sum() / np.sqrt(max(1, counts[i])) + bias
+        self.weights, self.bias = self._fit(columns, edges, labels, np.arange(len(labels)), seed)
         self.slope, self.shift = self._logistic(margins, labels)
 
-    @staticmethod
-    def _margin(row: np.ndarray, weights: np.ndarray, bias: float) -> float:
-        return float(weights[row].sum() / np.sqrt(max(1, len(row))) + bias)
-
-    def _fit(self, rows: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np.ndarray, float]:
-        counts = np.full((2, 1 << self.bits), SMOOTHING)
-        for row, label in zip(rows, labels.tolist(), strict=True):
-            counts[int(label), row] += 1
-        counts /= counts.sum(axis=1, keepdims=True)
-        ratio = np.log(counts[1] / counts[0])
+    def _fit(self, columns: np.ndarray, edges: np.ndarray, labels: np.ndarray, inside: np.ndarray, seed: int) -> tuple[np.ndarray, float]:
+        # Row by row throughout: no copy of the sample but one, the scaled indicators.
+        width = 1 << self.bits
+        counted = np.full((2, width), SMOOTHING)
+        for i in inside.tolist():
+            counted[labels[i], columns[edges[i] : edges[i + 1]]] += 1
+        ratio = np.log(counted[1] / counted[1].sum()) - np.log(counted[0] / counted[0].sum())
         # Dual coordinate descent for min |w|^2 / 2 + cost * sum of hinge losses; rows have unit length before scaling.
         side = np.where(labels == 1, 1.0, -1.0)
-        scaled = [ratio[row] / np.sqrt(max(1, len(row))) for row in rows]
-        square = np.array([float(x @ x) + 1.0 for x in scaled])
-        w, bias, alpha = np.zeros(1 << self.bits), 0.0, np.zeros(len(rows))
+        scaled, square = np.empty(len(columns), np.float32), np.ones(len(labels))
+        for i in inside.tolist():
+            own = slice(edges[i], edges[i + 1])
+            scaled[own] = ratio[columns[own]] / np.sqrt(max(1, edges[i + 1] - edges[i]))
+            square[i] += float(scaled[own] @ scaled[own])
+        w, bias, alpha = np.zeros(width), 0.0, np.zeros(len(labels))
         rng = np.random.default_rng(seed)
         for _ in range(EPOCHS):
             moved = 0.0
-            for i in rng.permutation(len(rows)).tolist():
-                gradient = side[i] * (float(w[rows[i]] @ scaled[i]) + bias) - 1.0
+            for i in rng.permutation(inside).tolist():
+                own, x = columns[edges[i] : edges[i + 1]], scaled[edges[i] : edges[i + 1]]
+                gradient = side[i] * (float(w[own] @ x) + bias) - 1.0
                 after = min(max(alpha[i] - gradient / square[i], 0.0), COST)
                 step = (after - alpha[i]) * side[i]
                 if step:
                     alpha[i] = after
-                    w[rows[i]] += step * scaled[i]
+                    w[own] += step * x
                     bias += step
                     moved = max(moved, abs(step))
             if moved < 1e-4:
@@ -140,7 +146,7 @@ def remainder(key: Column) -> Column:
 
 def _features(batches, bits: int):
     grams = Grams(bits)
-    for batch in kernel.chunks(batches, "text"):
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
         columns, counts = grams(batch.column(1))
         yield pa.RecordBatch.from_arrays([batch.column(0), kernel.lists(columns, counts, pa.int32())], ["label", "columns"])
 
@@ -153,33 +159,33 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     met = docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select(F.col("__label").cast("int").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = met.mapInArrow(lambda b: _features(b, BITS), "label int, columns array<int>").limit(2 * rows).toArrow()
     values, counts = kernel.flat_lists(found.column("columns"))
-    edges = np.r_[0, np.cumsum(counts)]
-    sparse = [values[edges[i] : edges[i + 1]] for i in range(len(counts))]
-    marks = found.column("label").to_numpy().astype(np.int64)
-    ranked = sorted(range(len(sparse)), key=lambda i: (marks[i], len(sparse[i]), sparse[i].tobytes()))  # tasks end in any order
-    return Model([sparse[i] for i in ranked], marks[ranked])
+    marks, edges = found.column("label").to_numpy().astype(np.int64), np.r_[0, np.cumsum(counts)]
+    rows_of = [values[edges[i] : edges[i + 1]] for i in range(len(counts))]
+    order = sorted(range(len(counts)), key=lambda i: (marks[i], counts[i], zlib.crc32(rows_of[i]), rows_of[i][:64].tobytes()))  # tasks end in any order
+    flat = np.concatenate([rows_of[i] for i in order]) if order else values
+    return Model(flat, counts[order], marks[order])
 
 
-def _score(batches, shared):
+def _score(batches, shared, text: str):
     grams, model = Grams(shared.value.bits), shared.value
-    for batch in kernel.chunks(batches, "__text"):
-        columns, counts = grams(batch.column(batch.schema.get_field_index("__text")))
-        rest = [c for c in batch.schema.names if c != "__text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in rest), pa.array(model.scores(columns, counts))], [*rest, "__score"])
+    for batch in kernel.chunks(batches, text, AT_ONCE):
+        columns, counts = grams(batch.column(batch.schema.get_field_index(text)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(columns, counts))], [*batch.schema.names, "__score"])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` (replacing columns of these names)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = {c: f"__{k}" for k, c in enumerate(docs.columns) if c not in ("score", "predicted")}
-    source = docs.select(*(F.col(c).alias(n) for c, n in kept.items()), F.col(text).alias("__text"))
+    source = docs.select(*(F.col(c).alias(n) for c, n in kept.items()))
     schema = ", ".join(f"`{kept[f.name]}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept)
-    out = source.mapInArrow(lambda b: _score(b, shared), f"{schema}, `__score` double")
+    read = kept[text]
+    out = source.mapInArrow(lambda b: _score(b, shared, read), f"{schema}, `__score` double")
     predicted = (F.col("__score") >= KEEP_SCORE).cast("int").alias("predicted")
     return out.select(*(F.col(n).alias(c) for c, n in kept.items()), F.col("__score").alias("score"), predicted)
 
 
 def quality_classifier_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    out = score(docs.select("doc_id", "text"), fit(docs, labels))
+    out = score(docs.select("doc_id", "text"), fit(docs, labels)).drop("text")
     held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False)).alias("held_out")
     return out.select("doc_id", held_out, "score", "predicted")
