@@ -230,3 +230,15 @@ def stream_late_routing(spark, sf_dir):
     return st.late_ids(table(spark, sf_dir, "events"), spark.read.schema("event_id long").parquet(out), "event_id")
 
 
+
+
+@query("SELECT event_id, lower(replace(replace(event_type || ' A/b', ' ', '_'), '/', '_')) AS safe FROM events")
+def safe_name(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", tx.safe_name(F.concat("event_type", F.lit(" A/b"))).alias("safe"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN props END AS found, CASE WHEN event_id % 4 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events""")
+def recover_json(spark, sf_dir):
+    reply = F.when(F.col("event_id") % 4 == 0, "nothing").otherwise(F.concat(F.lit("Sure:\n"), "props", F.lit("\nDone.")))
+    found = tx.recover_json(reply)
+    return table(spark, sf_dir, "events").select("event_id", found.alias("found"), F.from_json(found, "k long").k.alias("k"))
