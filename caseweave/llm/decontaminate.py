@@ -4,11 +4,11 @@ Texts are lower-cased (A-Z only) and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\
 windows of 13 words; an item of fewer words, but not none, is one window.  Each document's word windows are rolled into
 64-bit hashes and looked up in the sorted hash set; a found window is compared with the item's words, so no hash
 collision counts.  A word inside any occurrence of a window is hit.  A document is contaminated when at least one word
-in twenty is hit; then the document goes (``drop``), or the hit words go (``cut``).
+in twenty is hit; a pipeline drops such documents, or takes ``clean_text``, the text without its hit words.
 
 The set is broadcast only if the benchmark's text is at most ``broadcast_bytes``, which is measured first.  A larger
-benchmark is worked through in parts of that size, one scan of the documents for each, and the found positions are
-merged by document; nothing is left out.
+benchmark is worked through in parts of about that size: one scan of the documents for each, written to the shared
+folder before the next part is loaded, and the found positions merged by document; nothing is left out.
 
 Defined results: null and empty texts have no words and are clean; rows with equal ids are judged each for itself; a
 null id is passed on; repeated benchmark rows count once for each item id; items without words, or without id, are left

@@ -13,7 +13,7 @@ four or fewer differing bits; linked documents, directly or by way of others, fo
    in more than four places the whole pair of groups is pruned, if even all bits that may differ are four or fewer the
    whole pair is linked by one star, and otherwise its halves are compared.  No list of pairs is made: a node hands on
    at most one link for each member, a spanning forest.
-3. Nodes that hold more than ``SPLIT`` fingerprints (near copies by the thousand) are cut once more: by four further
+3. Nodes that hold more than ``SPLIT`` fingerprints (near copies by the thousand) are cut once more: by five further
    segments of what is left, so that a hot node spreads over tasks.
 4. Components over links by rounds of large-star and small-star contraction with ``min`` (partial aggregation), the
    lineage cut at each round.
@@ -87,13 +87,13 @@ class Forest:
 
     def link(self, a: np.ndarray, b: np.ndarray) -> None:
         while len(a):
-            self._flatten()
+            self.flatten()
             a, b = self.root[a], self.root[b]
             apart = a != b
             a, b = a[apart], b[apart]
             np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
 
-    def _flatten(self) -> None:
+    def flatten(self) -> None:
         while True:
             up = self.root[self.root]
             if (up == self.root).all():
@@ -146,8 +146,7 @@ def link_node(prints: np.ndarray) -> np.ndarray:
         i, j = i[there], j[there]
         linked = np.bitwise_count(prints[i] ^ prints[j]) <= MAX_BITS
         forest.link(i[linked], j[linked])
-    forest.link(np.zeros(0, np.int64), np.zeros(0, np.int64))
-    forest._flatten()
+    forest.flatten()
     return forest.root
 
 
