@@ -30,7 +30,7 @@ from caseweave.llm._spark import checkpointed
 SEQUENCE = 2048
 END_ID = 1
 SALTS = 64
-#: Words that a task remembers the ids of.
+#: Words that a task remembers the ids of; as many older ones are kept until the newer ones are full.
 CACHE_WORDS = 200_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -57,6 +57,7 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
@@ -69,10 +70,14 @@ class WordTokens(dict):
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > CACHE_WORDS:
+        if len(self) >= CACHE_WORDS:  # frequent words come back from the older ones, rare words are forgotten
+            self.older = dict(self)
             self.clear()
-        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        ids = self[word] = np.array([t.id for t in tokens], "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            ids = np.array([t.id for t in tokens], "<u4").tobytes()
+        self[word] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
