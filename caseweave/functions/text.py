@@ -52,18 +52,32 @@ def present(c: Column) -> Column:
 
 
 def token_cosine(ta: Column, tb: Column) -> Column:
-    """Cosine over two token lists; see ``pair_cosine``."""
+    """Cosine over two token lists; see ``pair_cosine``.
+
+    One pass over both lists, sorted together: equal terms are neighbours, so the cost is that of the sort and long texts
+    need no search through the list for every term.
+    """
     single = 1.0 + 0.4054651081081644
+    zero = F.lit(0.0)
+
+    def added(s: Column) -> dict[str, Column]:
+        """The sums with the term that the state still counts."""
+        square = lambda own, other: F.pow(own * F.when(other > 0, 1.0).otherwise(single), F.lit(2.0))
+        return {"dot": s.dot + s.ca * s.cb, "sa": s.sa + square(s.ca, s.cb), "sb": s.sb + square(s.cb, s.ca)}
 
-    def count(array: Column, term: Column) -> Column:
-        return F.size(F.filter(array, lambda x: x == term)).cast("double")
+    def step(s: Column, e: Column) -> Column:
+        same, sums = e.term.eqNullSafe(s.term), added(s)
+        counted = [(F.when(same, s[c]).otherwise(zero) + e[c]).alias(c) for c in ("ca", "cb")]
+        return F.struct(e.term.alias("term"), *counted, *(F.when(same, s[c]).otherwise(v).alias(c) for c, v in sums.items()))
 
-    def square(own: Column, other: Column) -> Column:
-        weight = lambda t: F.when(F.array_contains(other, t), 1.0).otherwise(single)
-        return F.aggregate(F.array_distinct(own), F.lit(0.0), lambda s, t: s + F.pow(count(own, t) * weight(t), F.lit(2.0)))
+    def cosine(s: Column) -> Column:
+        sums = added(s)
+        return sums["dot"] / F.sqrt(sums["sa"] * sums["sb"])
 
-    dot = F.aggregate(F.array_intersect(ta, tb), F.lit(0.0), lambda s, t: s + count(ta, t) * count(tb, t))
-    return F.when((F.size(ta) > 0) & (F.size(tb) > 0), dot / F.sqrt(square(ta, tb) * square(tb, ta)))
+    side = lambda tokens, a, b: F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(a).alias("ca"), F.lit(b).alias("cb")))
+    both = F.sort_array(F.concat(side(ta, 1.0, 0.0), side(tb, 0.0, 1.0)))
+    start = F.struct(F.lit(None).cast("string").alias("term"), *(zero.alias(c) for c in ("ca", "cb", "dot", "sa", "sb")))
+    return F.when((F.size(ta) > 0) & (F.size(tb) > 0), F.aggregate(both, start, step, cosine))
 
 
 def pair_cosine(a: Column, b: Column) -> Column:
@@ -71,7 +85,7 @@ def pair_cosine(a: Column, b: Column) -> Column:
 
     With two texts a term in both has weight 1 and a term in one has 1 + ln 1.5, so the sums need no corpus: the shared
     distinct terms and the token counts of each text are enough.  The token lists are bound as the variable of an outer
-    ``transform``, so that inner lambdas read them instead of cutting the texts again for every term.
+    ``transform``, so that the texts are cut once.
     """
     bound = F.array(F.struct(tokens(a).alias("x"), tokens(b).alias("y")))
     return F.get(F.transform(bound, lambda s: token_cosine(s.x, s.y)), 0)

@@ -10,12 +10,13 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 #: Incident frame over ``documents``, ``events`` and ``labels``; one text for both engines.
+#: The description is the whole text, the resolution all of it after the first line; neither has an upper length.
 INCIDENTS_SQL = """
 SELECT 'INC' || lpad(cast(d.doc_id AS string), 7, '0') AS in_id,
   e.ts AS opened_at,
   cast(date_trunc('week', e.ts) AS date) AS period,
-  substr(d.text, 1, 160) AS brief_description,
-  CASE WHEN d.n_chars > 160 THEN substr(d.text, 161, 400) END AS resolution,
+  d.text AS brief_description,
+  CASE WHEN instr(d.text, chr(10)) > 0 THEN substr(d.text, instr(d.text, chr(10)) + 1) END AS resolution,
   CASE WHEN d.doc_id % 50 = 3 THEN 'Uncategorized' WHEN d.doc_id % 50 = 7 THEN NULL ELSE d.lang END AS a_l1,
   d.source AS a_l2,
   CASE WHEN d.n_chars % 7 = 0 THEN 'Other' ELSE 'len' || cast(d.n_chars % 5 AS string) END AS a_l3,

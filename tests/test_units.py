@@ -2,6 +2,9 @@
 
 import datetime as dt
 import math
+import re
+import time
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -10,10 +13,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from caseweave.functions import labels as lb
+from caseweave.functions import text as tx
 from caseweave.operators import classify as cf
 from caseweave.operators import judge as jd
 from caseweave.operators import merge as mg
 from caseweave.operators import similarity as sim
+from caseweave.plans import measures
+from caseweave.plans.base import incidents
 from caseweave.sources import io
 from caseweave.streaming import incidents as si
 
@@ -117,3 +123,40 @@ def test_empty_tables(spark):
     assert mg.keep_last(empty, ["in_id"], ["seq"]).count() == 0
     assert mg.upsert(empty, empty, ["in_id"]).count() == 0
     assert mg.reconcile_ids(empty, empty).count() == 0
+
+
+def plain_cosine(x, y):
+    a, b = Counter(x), Counter(y)
+    square = lambda own, other: sum((n * (1 if t in other else 1 + math.log(1.5))) ** 2 for t, n in own.items())
+    return sum(n * b[t] for t, n in a.items()) / math.sqrt(square(a, b) * square(b, a)) if a and b else None
+
+
+def test_incident_texts_are_whole(spark, sf_dir):
+    texts = {f"INC{r.doc_id:07}": r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = {r.in_id: r for r in incidents(spark, sf_dir).select("in_id", "brief_description", "resolution").collect()}
+    assert max(map(len, texts.values())) > 10_000
+    assert all(r.brief_description == texts[k] for k, r in rows.items())
+    assert all(r.resolution == (texts[k].split("\n", 1)[1] if "\n" in texts[k] else None) for k, r in rows.items())
+    words = {k: re.findall(r"\w{2,}", texts[k].lower()) for k in rows}
+    df = Counter(t for w in words.values() for t in set(w))
+    idf = {t: math.log((1 + sum(map(bool, words.values()))) / (1 + df[t])) + 1 for t in df}
+    vectors = {}
+    for r in measures.tfidf_vectors(spark, sf_dir).collect():
+        vectors.setdefault(r.in_id, {})[r.term] = r.weight
+    kept = {t for v in vectors.values() for t in v}
+    for k, v in vectors.items():  # counts of the whole text
+        raw = {t: n * idf[t] for t, n in Counter(words[k]).items() if t in kept}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        assert v.keys() == raw.keys() and all(math.isclose(v[t], w / norm, abs_tol=2e-6) for t, w in raw.items())
+
+
+def test_pair_cosine_of_long_texts(spark):
+    shared = "alpha beta " * 400
+    cases = [(shared + "gamma", shared + "delta " * 9), (shared, shared), ("", "ab"), (None, "ab"), ("ab cd", "ef"), (" ".join(f"w{i % 9000}" for i in range(20_000)), " ".join(f"w{i % 7000}" for i in range(20_000)))]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "k int, a string, b string").coalesce(1)
+    begun = time.perf_counter()
+    rows = {r.k: r.c for r in df.select("k", tx.pair_cosine(F.col("a"), F.col("b")).alias("c")).collect()}
+    assert time.perf_counter() - begun < 10  # a search through the list for every term takes minutes
+    for k, (a, b) in enumerate(cases):
+        expected = plain_cosine((a or "").split(), (b or "").split())
+        assert rows[k] is None if expected is None else math.isclose(rows[k], expected, abs_tol=1e-9)
