@@ -195,7 +195,7 @@ def stream_incremental_dedup(spark, sf_dir):
     out, target = scratch(spark, "dedup"), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")).where("user_id % 3 = 0")
     fresh = st.incremental_dedup(_events(spark, sf_dir).select("user_id", "ts"), target, "user_id", "ts")
     st.run_once(fresh.select("user_id").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
-    return spark.read.schema("user_id long").parquet(out).distinct()
+    return st.complete_dedup(table(spark, sf_dir, "events"), spark.read.schema("user_id long").parquet(out), target, "user_id")
 
 
 @query("SELECT user_id, event_type, value, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
@@ -219,7 +219,9 @@ def stream_label_counts(spark, sf_dir):
     out = scratch(spark, "counts")
     counts = st.label_counts(_events(spark, sf_dir).select("event_type", "ts"), "event_type", "ts")
     st.run_once(counts.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
-    return spark.read.schema("start timestamp, event_type string, n long").parquet(out).withColumn("start", F.col("start").cast("timestamp_ntz"))
+    streamed = spark.read.schema("start timestamp, event_type string, n long").parquet(out)
+    late = st.late_counts(table(spark, sf_dir, "events"), streamed, "event_type", "ts")
+    return st.complete_counts(streamed, late, "event_type").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query("SELECT event_id, 'missing_in_target' AS side FROM events WHERE event_id % 10 = 0")

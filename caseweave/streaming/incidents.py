@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseweave.operators.merge import keep_last, reconcile_ids, upsert
+from caseweave.operators.merge import keep_last, reconcile_ids
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
@@ -34,6 +34,7 @@ def label_counts(stream: DataFrame, label: str, moment: str, width: str = "1 hou
 class VersionedUpsert:
     """``foreachBatch`` sink: each batch is upserted into the version before it and written as the next version.
 
+    A key's row is the last one by ``order`` over all batches, so an older row in a later batch replaces nothing.
     A replayed batch rewrites its own version from the same base, so nothing is applied twice; the path that is read is
     never the one that is written.
     """
@@ -45,12 +46,32 @@ class VersionedUpsert:
         return f"{self.path}/v{number}"
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        last = keep_last(batch, [self.key], self.order)
         if number:
-            last = upsert(batch.sparkSession.read.parquet(self.version(number - 1)), last, [self.key])
-        last.write.mode("overwrite").parquet(self.version(number))
+            batch = batch.sparkSession.read.parquet(self.version(number - 1)).unionByName(batch)
+        keep_last(batch, [self.key], self.order).write.mode("overwrite").parquet(self.version(number))
 
 
 def late_ids(source: DataFrame, streamed: DataFrame, key: str) -> DataFrame:
     """Ids that the stream missed, for instance because they came after the delay: found by the batch job after it."""
     return reconcile_ids(source, streamed, key).where("side = 'missing_in_target'")
+
+
+def complete_dedup(source: DataFrame, streamed: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Each new id once: those that the stream gave out, and those of the source that it dropped as late."""
+    late = late_ids(source, streamed, key).select(key).join(target.select(key), key, "left_anti")
+    return streamed.select(key).distinct().unionByName(late)
+
+
+def late_counts(source: DataFrame, streamed: DataFrame, label: str, moment: str, width: str = "1 hour", delay: str = "6 hours") -> DataFrame:
+    """Counts of closed windows that the stream gave out wrong or not at all, because it dropped rows as late."""
+    timed = source.select(F.col(moment).cast("timestamp").alias(moment), label)
+    until = timed.agg((F.max(F.date_trunc("millisecond", moment)) - F.expr(f"interval {delay}")).alias("until"))
+    counts = timed.groupBy(F.window(moment, width).alias("w"), label).agg(F.count(F.lit(1)).alias("n"))
+    closed = counts.join(F.broadcast(until)).where("w.end <= until").select(F.col("w.start").alias("start"), label, "n")
+    return closed.subtract(streamed.select("start", label, "n"))
+
+
+def complete_counts(streamed: DataFrame, late: DataFrame, label: str) -> DataFrame:
+    """The stream's counts, those of ``late_counts`` in the place of wrong and missing ones."""
+    same = (F.col("s.start") == F.col("l.start")) & F.col(f"s.{label}").eqNullSafe(F.col(f"l.{label}"))
+    return streamed.alias("s").join(late.alias("l"), same, "left_anti").select("start", label, "n").unionByName(late)

@@ -2,11 +2,13 @@
 
 import datetime as dt
 import math
+import os
 import re
 import time
 from collections import Counter
 
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,8 +22,10 @@ from caseweave.operators import merge as mg
 from caseweave.operators import similarity as sim
 from caseweave.plans import measures
 from caseweave.plans.base import incidents
+from caseweave.registry import ORACLES, QUERIES
 from caseweave.sources import io
 from caseweave.streaming import incidents as si
+from tests.oracle import duck, rows_of_duck, rows_of_spark
 
 VALUES = [None, "", "  ", "None", "none", " None ", "NONE", "unknown", "Other", "Unclassified", "Unclassified_L4", "N/A", "Uncategorized", " Uncategorized ", "uncategorized", "foo_unknown", "insufficient_x", "x_insufficient_y", "fix_1"]
 TRUE = {
@@ -160,3 +164,20 @@ def test_pair_cosine_of_long_texts(spark):
     for k, (a, b) in enumerate(cases):
         expected = plain_cosine((a or "").split(), (b or "").split())
         assert rows[k] is None if expected is None else math.isclose(rows[k], expected, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("name", ["stream_upsert", "stream_incremental_dedup", "stream_label_counts"])
+def test_streams_of_batches_out_of_order(spark, sf_dir, tmp_path, monkeypatch, name):
+    """The newest rows come first; a watermark drops late rows from the second batch after it on."""
+    os.makedirs(tmp_path / "events.parquet")
+    os.symlink(f"{sf_dir}/customer.parquet", tmp_path / "customer.parquet")
+    events = pq.read_table(f"{sf_dir}/events.parquet").sort_by([("ts", "ascending")])
+    n = events.num_rows
+    for k, part in enumerate((events.slice(n - 5), events.slice(n - 10, 5), events.slice(0, n - 10))):
+        path = str(tmp_path / "events.parquet" / f"part-{k}.parquet")
+        pq.write_table(part, path)
+        os.utime(path, (1_700_000_000 + k,) * 2)
+    stream = si.file_stream
+    monkeypatch.setattr(si, "file_stream", lambda spark, path: stream(spark, path, 1))
+    rows = rows_of_spark(QUERIES[name](spark, str(tmp_path)))
+    assert rows == rows_of_duck(duck(str(tmp_path)), ORACLES[name])
