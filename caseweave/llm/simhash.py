@@ -276,10 +276,24 @@ def simhash(docs: DataFrame, text: str = "text", key: str = "doc_id", split: int
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component (and rows without an id)."""
-    named = simhash(docs, text, key).select(F.col(key).alias("__id"), "component_id")
-    others = named.where(F.col("__id").isNotNull() & (F.col("__id") != F.col("component_id"))).select("__id").distinct()
-    return docs.join(others, F.col(key) == F.col("__id"), "left_anti")
+    """The rows of ``docs`` whose id is the smallest of their own fingerprint's component (and rows without an id).
+
+    An id of which every row goes is taken out by id alone; only where an id has rows that go and rows that stay are its
+    texts fingerprinted again and taken out by id and fingerprint.
+    """
+    named = simhash(docs, text, key).select(F.col(key).alias("__id"), "fingerprint", (F.col(key) != F.col("component_id")).alias("gone"))
+    named = named.where("__id is not null")
+    by_id = checkpointed(named.groupBy("__id").agg(F.min("gone").alias("every"), F.max("gone").alias("some")).where("some"))
+    mixed = by_id.where("not every").select("__id")
+    apart = docs.join(by_id.select("__id"), F.col(key) == F.col("__id"), "left_anti")
+    if mixed.isEmpty():
+        return apart
+    rows = docs.join(mixed, F.col(key) == F.col("__id"), "left_semi").select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    kind = docs.schema.simpleString()
+    printed = rows.mapInArrow(_fingerprints, f"row {kind}, fp long").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    gone = named.where("gone").select(F.col("__id"), F.col("fingerprint").alias("__fp")).distinct()
+    same = (F.col(f"row.{key}") == F.col("__id")) & (F.col("fingerprint") == F.col("__fp"))
+    return apart.unionByName(printed.join(gone, same, "left_anti").select("row.*"))
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:

@@ -163,3 +163,11 @@ def test_simhash_edges(spark):
     kept = sorted(r.doc_id or -1 for r in simhash.one_of_each(frame(spark, rows)).collect())
     assert kept == [-1, -1, 1, 2, 2]
     assert simhash.simhash(frame(spark).limit(0)).count() == 0
+
+
+def test_one_of_each_decides_by_row(spark):
+    """An id with several texts loses only those that a smaller id has; other rows of the id stay."""
+    rows = [(1, "a b c d e"), (5, "A b c  d e"), (5, "q r s t u v w"), (7, "a b c d e"), (None, "a b c d e"), (None, None)]
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(frame(spark, rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
+    assert simhash.one_of_each(frame(spark, rows)).columns == frame(spark, rows).columns
