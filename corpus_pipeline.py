@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweave.llm import decontaminate, line_dedup, packing, quality_classifier, simhash
-from caseweave.llm._spark import checkpointed, read_table
+from caseweave.llm._spark import read_table
+from caseweave.sources.shared import scratch
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``; each stage's result is written to the shared checkpoint folder."""
+    """The stages applied to ``documents``; each stage's result is written to the shared folder as Parquet and reread."""
     docs = read_table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES, start=1):
+    for number, (name, stage) in enumerate(STAGES, start=1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):
-            docs = checkpointed(docs)
+            path = scratch(spark, name)
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

@@ -1,5 +1,6 @@
 import collections
 import random
+import re
 import zlib
 
 import numpy as np
@@ -121,3 +122,37 @@ def test_pipeline_is_registered():
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
     assert [name for name in entry.queries() if name.startswith("op")] and len([n for n in entry.queries() if n.startswith("op")]) == 10
+
+
+def test_decontaminate_stage_keeps_what_plain_python_keeps(spark, sf_dir):
+    def words(text):
+        return re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())
+
+    items = [words(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    grams = {tuple(w[i : i + min(13, len(w))]) for w in items if w for i in range(len(w) - min(13, len(w)) + 1)}
+    sizes = {len(g) for g in grams}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = set()
+    for r in docs.collect():
+        own = words(r.text)
+        hit = {i + j for n in sizes for i in range(len(own) - n + 1) if tuple(own[i : i + n]) in grams for j in range(n)}
+        if not hit or 20 * len(hit) < len(own):
+            expected.add(r.doc_id)
+    stage = dict(corpus_pipeline.STAGES)["decontaminate"]
+    assert {r.doc_id for r in stage(spark, docs, sf_dir).collect()} == expected
+    assert 0 < len(expected) < docs.count()
+
+
+def test_pipeline_rereads_each_stage_from_parquet(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def stage(spark, docs, _):
+        seen.append((docs.inputFiles(), docs.columns))
+        return docs.where("doc_id % 7 <> 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage), ("three", stage)])
+    out = corpus_pipeline.run(spark, sf_dir)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert out.columns == docs.columns and out.count() == docs.where("doc_id % 7 <> 0").count()
+    assert all(files and columns == docs.columns for files, columns in seen)
+    assert len({files[0].rsplit("/", 1)[0] for files, _ in seen}) == 3
