@@ -2,12 +2,16 @@
 
 1. Tokens.  Each text becomes the ids of the given tokenizer and a closing id.  A document is cut into pieces of 2048
    ids and a rest.  Ids leave the task only as each piece's CRC-32 (or whole, with ``with_ids``).
-2. Histogram.  Pieces are counted by length in Spark: at most 2048 rows, whatever the input.  On the driver, lengths are
-   placed longest first, each into the open patterns with the most room left (the shortest packs); a pattern is a list
-   of lengths and a count, so whole batches of equal packs change at once and the work does not grow with the input.
-3. Ranks.  The patterns' places for one length are numbered in a row; so are the pieces of that length.  The numbering
-   runs within salts of a length, and a small table of counts shifts each salt to its place, so no length, however hot,
-   is numbered in one task.  A broadcast join of the places (bounded by the histogram) gives each piece its sequence.
+2. Full pieces fill a sequence each.  They are numbered within their task, and the tasks one after the other, so they
+   are neither shuffled nor ranked.
+3. Histogram.  The other pieces are counted by length in Spark: fewer than 2048 rows, whatever the input.  On the
+   driver, lengths are placed longest first, each into the open patterns with the most room left (the shortest packs);
+   a pattern is a list of lengths and a count, so whole batches of equal packs change at once and the work does not grow
+   with the input.
+4. Ranks.  The patterns' places for one length are numbered in a row; so are the pieces of that length.  The numbering
+   runs within salts of a length, as many as its count asks for, and a small table of counts shifts each salt to its
+   place, so no length, however hot, is numbered in one task.  A broadcast join of the places (bounded by the
+   histogram) gives each piece its sequence.
 
 Defined results: a null or empty text has the closing id alone; repeated rows are packed each for itself; a null id is
 passed on; an empty table gives no pieces.
@@ -16,22 +20,27 @@ passed on; an empty table gives no pieces.
 from __future__ import annotations
 
 import json
-import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseweave.llm import _bytes as kernel
 from caseweave.llm._spark import checkpointed
 
 SEQUENCE = 2048
 END_ID = 1
+#: Tasks at least that a length's pieces are numbered in, and pieces that are numbered together at most, about.
 SALTS = 64
+RANK_ROWS = 500_000
 #: Words that a task remembers the ids of; as many older ones are kept until the newer ones are full.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+#: Bytes of text whose words are told apart together.
+AT_ONCE = 4_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -42,71 +51,152 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordTokens(dict):
-    """Ids of texts as little-endian 32-bit bytes, one remembered entry for each word.
+    """Ids of texts, with one remembered entry for each word (as it is after lower-casing, in bytes).
 
     For texts in plain Latin letters the tokenizer's own normal form is lower-casing, and it cuts words at fixed
     patterns before any merge; so a text's ids are those of its words, and the tokenizer's model is asked once a word.
-    Any other text (other scripts, control characters, special tokens' strings) goes through the whole tokenizer.
+    Words are cut, lower-cased and told apart for a whole batch at once.  Any other text (other scripts, control
+    characters, special tokens' strings, letters whose lower case has another length) goes through the whole tokenizer.
     Tokenizers of another make always do.
     """
 
     #: The word pattern of this kind of tokenizer.
     WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
+    #: Characters that words are cut from at once: ASCII, and what two bytes can hold up to this code point.
+    LAST = 0x24F
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.older: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
-        self.words, self.odd = regex.compile(self.WORDS), regex.compile(r"[^\t-\r -~ -ɏ]|<\|")
         kinds = [x["type"] for x in (made.get("normalizer") or {}).get("normalizers", [])]
         splits = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and splits[0].get("pattern") == {"Regex": self.WORDS}
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that stand for themselves
         others = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self.kind = np.full(self.LAST + 1, self.ODD, np.uint8)
+        self.lower = np.arange(self.LAST + 1, dtype=np.uint16)
+        for code in [*range(0x09, 0x0E), *range(0x20, 0x7F), *range(0xA0, self.LAST + 1)]:
+            letter, low = chr(code), chr(code).lower()
+            if len(low) == 1 and len(low.encode()) == len(letter.encode()):
+                patterns = (r"\s", r"\p{L}", r"\p{N}")
+                self.kind[code] = next((k for k, p in enumerate(patterns) if regex.fullmatch(p, letter)), self.OTHER)
+                self.lower[code] = ord(low)
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:  # frequent words come back from the older ones, rare words are forgotten
             self.older = dict(self)
             self.clear()
         ids = self.older.get(word)
         if ids is None:
-            tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            tokens = self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))
             ids = np.array([t.id for t in tokens], "<u4").tobytes()
         self[word] = ids
         return ids
 
-    def ids(self, text: str) -> bytes:
-        if self.by_word and not self.odd.search(text) and unicodedata.is_normalized("NFC", text):
-            return b"".join(map(self.__getitem__, self.words.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _kinds(self, buf: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower-cased bytes and the kind of each byte (a continuing byte has its character's)."""
+        ascii_, low = buf < 0x80, buf.copy()
+        kind = np.full(len(buf), self.ODD, np.uint8)
+        kind[ascii_], low[ascii_] = self.kind[buf[ascii_]], self.lower[buf[ascii_]]
+        two = np.flatnonzero((buf >= 0xC2) & (buf <= 0xC0 | self.LAST >> 6))
+        two = two[two + 1 < len(buf)]
+        two = two[(buf[two + 1] & 0xC0 == 0x80) & ~np.isin(two + 1, heads)]
+        code = (buf[two].astype(np.uint16) & 0x1F) << 6 | (buf[two + 1] & 0x3F)
+        kind[two] = kind[two + 1] = self.kind[code]
+        code = self.lower[code]
+        low[two], low[two + 1] = 0xC0 | code >> 6, 0x80 | code & 0x3F
+        bar = np.flatnonzero((buf[:-1] == ord("<")) & (buf[1:] == ord("|")))  # special tokens begin so
+        kind[bar] = self.ODD
+        return low, kind
+
+    def _starts(self, low: np.ndarray, kind: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """True where a word begins, as ``WORDS`` finds them from left to right."""
+        start = kind != self.SPACE
+        start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == self.DIGIT)
+        start[heads] = kind[heads] != self.SPACE
+        start &= (low & 0xC0) != 0x80
+        at = np.flatnonzero((low == ord("'")) & start)
+        padded, letter = np.r_[low, np.zeros(3, np.uint8)], np.r_[kind == self.LETTER, np.zeros(3, bool)]
+        joined = np.ones(len(low) + 4, bool)  # whether a byte belongs to the same text as the one before
+        joined[heads] = joined[len(low) :] = False
+        one, two = padded[at + 1], padded[at + 2]
+        inside = joined[at + 1] & letter[at + 1]
+        short = inside & np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        long = inside & joined[at + 2] & (((one == ord("r")) & (two == ord("e"))) | ((one == ord("v")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l"))))
+        for found, size in ((at[short], 2), (at[long], 3)):
+            start[found + 1] = False
+            rest = found + size
+            start[rest[joined[rest] & letter[rest]]] = True
+        return start
+
+    def batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a batch, each with ``END_ID`` at its end, and where each text's ids begin (one more)."""
+        buf, offsets = kernel.flat(column)
+        n_texts, filled = len(offsets) - 1, np.diff(offsets) > 0
+        odd = filled.copy() if not self.by_word else np.zeros(n_texts, bool)
+        words, counts, first = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(n_texts + 1, np.int64)
+        if self.by_word and len(buf):
+            heads = offsets[:-1][filled]
+            low, kind = self._kinds(buf, heads)
+            odd[np.unique(np.searchsorted(offsets, np.flatnonzero(kind == self.ODD), "right") - 1)] = True
+            for k in np.flatnonzero(odd):
+                kind[offsets[k] : offsets[k + 1]] = self.SPACE
+            start, inside = np.flatnonzero(self._starts(low, kind, heads)), kind != self.SPACE
+            ends = np.r_[np.searchsorted(np.flatnonzero(inside), start), np.count_nonzero(inside)].astype(np.int32)
+            array = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(low[inside])]).dictionary_encode()
+            known = [self[w] for w in array.dictionary.to_pylist()]
+            sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            index = array.indices.to_numpy()
+            words, counts = _gathered(np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes, sizes, index)
+            first = np.searchsorted(start, offsets)
+        sums = np.r_[0, np.cumsum(counts)]
+        begin, whole = sums[first], {}
+        sizes = np.diff(begin)
+        for k in np.flatnonzero(odd).tolist():
+            whole[k] = self.tokenizer.encode(column[k].as_py(), add_special_tokens=False).ids
+            sizes[k] = len(whole[k])
+        edges = np.r_[0, np.cumsum(sizes + 1)]
+        out = np.full(edges[-1], END_ID, "<u4")
+        taken = np.repeat(edges[:-1] - begin[:-1], np.diff(begin)) + np.arange(begin[-1])
+        out[taken] = words
+        for k, ids in whole.items():
+            out[edges[k] : edges[k + 1] - 1] = ids
+        return out, edges
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` that ``index`` names, one after the other, and their sizes."""
+    counts = sizes[index]
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts[index] - (ends - counts), counts) + np.arange(total)], counts
 
 
 def _pieces(batches, path: str, sequence: int, with_ids: bool):
-    tokens, end = WordTokens(path), np.array([END_ID], "<u4").tobytes()
-    for batch in batches:
-        index: list[int] = []
-        out: dict[str, list] = {"start": [], "length": [], "crc": [], "tokens": [], "ids": []}
-        for row, text in enumerate(batch.column(1)):
-            data = tokens.ids(text.as_py() or "") + end
-            n = len(data) // 4
-            for start in range(0, n, sequence):
-                piece = data[4 * start : 4 * (start + sequence)]
-                index.append(row)
-                out["start"].append(start)
-                out["length"].append(len(piece) // 4)
-                out["crc"].append(zlib.crc32(piece))
-                out["tokens"].append(n)
-                if with_ids:
-                    out["ids"].append(np.frombuffer(piece, "<u4").astype(np.int32))
-        columns = [pa.array(out[c], pa.int64()) for c in ("start", "length", "crc", "tokens")]
-        columns += [pa.array(out["ids"], pa.list_(pa.int32()))] * with_ids
-        names = ["start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index, pa.int64())), *columns], ["id", *names])
+    tokens, task, full = WordTokens(path), TaskContext.get().partitionId(), 0
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
+        ids, edges = tokens.batch(batch.column(1))
+        sizes = np.diff(edges)
+        pieces = -(-sizes // sequence)
+        row = np.repeat(np.arange(batch.num_rows), pieces)
+        start = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * sequence
+        length = np.minimum(sequence, sizes[row] - start)
+        begin, data = edges[row] + start, memoryview(ids).cast("B")
+        crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist(), strict=True)]
+        place = full + np.cumsum(length == sequence) - 1  # among the full pieces of this task
+        full = int(place[-1]) + 1
+        columns = [pa.array(c, pa.int64()) for c in (start, length, crc, sizes[row], place)]
+        columns.insert(4, pa.array(np.full(len(row), task), pa.int32()))
+        columns += [pa.ListArray.from_arrays(pa.array(np.r_[begin, edges[-1]], pa.int32()), pa.array(ids.view("<i4")))] * with_ids
+        names = ["start", "length", "ids_crc32", "doc_tokens", "task", "place", *["ids"] * with_ids]
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *columns], ["id", *names])
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int = SEQUENCE) -> list[tuple[tuple[tuple[int, int], ...], int]]:
@@ -149,42 +239,57 @@ def places(patterns: list) -> list[tuple[int, int, int, int, int, int]]:
     return rows
 
 
-def ranked(pieces: DataFrame, salts: int = SALTS) -> DataFrame:
-    """``pieces`` with ``rank``, from 0 without gaps within each length."""
-    salted = pieces.withColumn("__salt", F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.lit(salts)))
+def ranked(pieces: DataFrame, histogram: dict[int, int], rows: int = RANK_ROWS) -> DataFrame:
+    """``pieces`` with ``rank``, from 0 without gaps within each length; about ``rows`` are numbered together."""
+    spark = pieces.sparkSession
+    salts = spark.createDataFrame([(length, SALTS + n // rows) for length, n in histogram.items()], "length long, __salts long")
+    salted = pieces.join(F.broadcast(salts), "length")  # at most 2048 rows
+    salted = salted.withColumn("__salt", F.pmod(F.xxhash64("id", "start", "ids_crc32"), "__salts")).drop("__salts")
     counts = salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select("length", "__salt", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
     own = Window.partitionBy("length", "__salt").orderBy("id", "start", "ids_crc32")
     numbered = salted.withColumn("__own", F.row_number().over(own) - 1)
-    # at most 2048 lengths times the salts: a bounded table
-    return numbered.join(F.broadcast(shifts), ["length", "__salt"]).withColumn("rank", F.col("__own") + F.col("__shift"))
+    # at most 2048 lengths times the salts, and a row for each ``rows`` pieces; Spark broadcasts it or not
+    return numbered.join(shifts, ["length", "__salt"]).withColumn("rank", F.col("__own") + F.col("__shift"))
 
 
 def pack(
     docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: str | None = None,
-    sequence: int = SEQUENCE, with_ids: bool = False,
+    sequence: int = SEQUENCE, with_ids: bool = False, rank_rows: int = RANK_ROWS,
 ) -> DataFrame:
     """One row per piece: id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``."""
     spark, path = docs.sparkSession, tokenizer or tokenizer_path()
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, task int, place long" + ", ids array<int>" * with_ids
     pieces = checkpointed(source.mapInArrow(lambda b: _pieces(b, path, sequence, with_ids), schema))
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = places(shortest_pack_first(histogram, sequence))
-    named = spark.createDataFrame(rows, "__length long, __first long, __end long, __times long, __sequence long, __offset long")
+    counted = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    histogram = {r["length"]: r["n"] for r in counted if r["length"] < sequence}
+    patterns = shortest_pack_first(histogram, sequence)
+    results = ["start", "length", "ids_crc32", "doc_tokens"]
+    # Full pieces fill a sequence each: numbered in their task, and the tasks one after the other (one row a task).
+    at, shifts = sum(count for _, count in patterns), []
+    full = pieces.where(F.col("length") == sequence)
+    for r in full.groupBy("task").agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect():
+        shifts.append((r["task"], at))
+        at += r["n"]
+    placed = full.join(F.broadcast(spark.createDataFrame(shifts, "task int, __shift long")), "task").select(
+        F.col("id").alias(key), *results, (F.col("__shift") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *["ids"] * with_ids
+    )
+    named = spark.createDataFrame(places(patterns), "__length long, __first long, __end long, __times long, __sequence long, __offset long")
     rank = F.col("rank")
-    met = ranked(pieces).join(
+    met = ranked(pieces.where(F.col("length") < sequence).drop("task", "place"), histogram, rank_rows).join(
         F.broadcast(named), (F.col("length") == F.col("__length")) & (rank >= F.col("__first")) & (rank < F.col("__end"))
     )
-    at = rank - F.col("__first")
-    return met.select(
-        F.col("id").alias(key), "start", "length", "ids_crc32", "doc_tokens",
-        (F.col("__sequence") + F.floor(at / F.col("__times"))).alias("sequence_id"),
-        (F.col("__offset") + at % F.col("__times") * F.col("length")).alias("offset"),
+    into = rank - F.col("__first")
+    rest = met.select(
+        F.col("id").alias(key), *results,
+        (F.col("__sequence") + F.floor(into / F.col("__times"))).alias("sequence_id"),
+        (F.col("__offset") + into % F.col("__times") * F.col("length")).alias("offset"),
         *["ids"] * with_ids,
     )
+    return placed.unionByName(rest)
 
 
 def pack_query(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -19,8 +20,25 @@ def test_fast_path_equals_the_tokenizer(spark, sf_dir):
     odd += ["".join(rng.choice("aBé'1²_- \n\t.!<|ßÿ") for _ in range(60)) for _ in range(200)]
     odd += [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     assert fast.by_word
-    for text in odd:
-        assert np.frombuffer(fast.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text[:80]
+    letters = "aBé'1²_- \n\t.!<|ßÿsStTreEvElLmMdD''"
+    for _ in range(20):
+        some = letters + "".join(chr(rng.randint(9, 0x24F)) for _ in range(20))
+        odd += ["".join(rng.choice(some) for _ in range(rng.randint(0, 50))) for _ in range(50)]
+    ids, edges = fast.batch(pa.array(odd))
+    assert len(edges) == len(odd) + 1
+    for k, text in enumerate(odd):
+        assert ids[edges[k] : edges[k + 1]].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1], text[:80]
+
+
+def test_words_come_back_after_the_memory_is_full(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 7)
+    path = packing.tokenizer_path()
+    whole, fast = Tokenizer.from_file(path), packing.WordTokens(path)
+    texts = [" ".join(f"word{k * j}" for j in range(9)) for k in range(30)]
+    for _ in range(2):
+        ids, edges = fast.batch(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)] == [[*whole.encode(t).ids, 1] for t in texts]
+    assert len(fast) <= 7 and len(fast.older) <= 7
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -83,6 +101,16 @@ def test_pack_edges(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rank_rows", [3, 500_000])
+def test_hot_lengths_are_numbered_in_salts(spark, rank_rows):
+    """A third of the pieces has one length, another third is full; every salt count gives gapless sequences."""
+    rows = [(k, "zu " * 9) for k in range(200)] + [(1000 + k, "zu " * 4095) for k in range(40)] + [(2000 + k, "zu " * k) for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    out = packing.pack(df, rank_rows=rank_rows).collect()
+    assert check_pieces(out, {k: [*whole.encode(t).ids, 1] for k, t in rows}) > 0.97
+
+
 def test_pipeline_stages_against_their_own_inputs(spark, sf_dir):
     """Each stage on what the one before kept: columns, decisions, and nothing else changed."""
     from tests.llm.test_dedup import brute_print, brute_roots
