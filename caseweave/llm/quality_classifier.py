@@ -1,13 +1,14 @@
 """Quality classifier: naive Bayes support vectors over n-gram indicators.
 
-Features are indicators: which n-grams of 1 to 3 bytes occur anywhere in the whole text, hashed to ``2**BITS`` columns.  Each indicator is scaled by its log-count
-ratio between the classes, ``r = log((p / |p|) / (q / |q|))`` with smoothed counts ``p`` and ``q``; a linear model with
+Features are indicators: which n-grams of 1 to 3 bytes occur anywhere in the whole text, hashed to ``2**BITS`` columns.
+Each indicator is scaled by its log-count ratio between the classes, ``r = log((p / |p|) / (q / |q|))`` with smoothed counts ``p`` and ``q``; a linear model with
 hinge loss is then fitted by dual coordinate descent.  Margins become probabilities by a logistic curve fitted to
 margins of held-back folds of the fitting rows.
 
-Fitting uses a bounded sample of labelled rows: at most ``FIT_ROWS`` by smallest hash of the id, from rows whose
-``crc32(doc_id as text) mod 4`` is not 2.  Only labels and texts are used.  Scoring reads every whole text, row by row,
-without a shuffle; the model that goes to the tasks has ``2**BITS`` numbers, whatever the input.
+Fitting uses a bounded sample of labelled rows: at most ``FIT_ROWS`` ids by smallest hash of the id, from rows whose
+``crc32(doc_id as text) mod 4`` is not 2, one text each, and of these as many as have ``FIT_VALUES`` features together;
+so the driver holds 256 MB of them at most.  Only labels and texts are used.  Scoring reads every whole text, row by
+row, without a shuffle; the model that goes to the tasks has ``2**BITS`` numbers, whatever the input.
 
 Defined results: a null text is empty, an empty text has no features and gets the score of the bias; rows with equal
 ids are scored each for itself; a null id counts as not held out and is never fitted on; null labels are left out;
@@ -16,17 +17,19 @@ with fewer than two classes among the fitting rows, every score is the share of
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseweave.llm import _bytes as kernel
+from caseweave.llm._spark import checkpointed
 
 BITS = 18
-FIT_ROWS = 6_000
+FIT_ROWS = 8_000
+#: Features of all fitting rows together: 8 bytes each on the driver (column and scaled value), 256 MB in all.
+FIT_VALUES = 32_000_000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -147,23 +150,41 @@ def remainder(key: Column) -> Column:
 def _features(batches, bits: int):
     grams = Grams(bits)
     for batch in kernel.chunks(batches, "text", AT_ONCE):
-        columns, counts = grams(batch.column(1))
-        yield pa.RecordBatch.from_arrays([batch.column(0), kernel.lists(columns, counts, pa.int32())], ["label", "columns"])
+        columns, counts = grams(batch.column(2))
+        arrays = [*batch.columns[:2], pa.array(counts, pa.int64()), kernel.lists(columns, counts, pa.int32())]
+        yield pa.RecordBatch.from_arrays(arrays, ["place", "label", "size", "columns"])
+
 
+def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, rows: int, values: int) -> DataFrame:
+    """The fitting rows: ``place`` (their order), ``label``, ``size`` and ``columns``, one row for each chosen id.
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", rows: int = FIT_ROWS) -> Model:
-    """Model from at most ``rows`` labelled ids: a bounded sample, the same for the same ids in any order."""
+    Ids are chosen by smallest hash.  Of an id's documents the text with the smallest hash counts, so neither repeated
+    rows nor their order matter.  If all features together are more than ``values``, ids are taken in the order of
+    their hash while they fit.
+    """
     judged = labels.where(F.col(label).isNotNull() & (remainder(F.col(key)) != 2))
-    judged = judged.groupBy(key).agg(F.max(label).alias("__label"))
-    chosen = judged.orderBy(F.xxhash64(F.lit("fit"), key), key).limit(rows).withColumnRenamed(key, "__key")
-    met = docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select(F.col("__label").cast("int").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = met.mapInArrow(lambda b: _features(b, BITS), "label int, columns array<int>").limit(2 * rows).toArrow()
-    values, counts = kernel.flat_lists(found.column("columns"))
-    marks, edges = found.column("label").to_numpy().astype(np.int64), np.r_[0, np.cumsum(counts)]
-    rows_of = [values[edges[i] : edges[i + 1]] for i in range(len(counts))]
-    order = sorted(range(len(counts)), key=lambda i: (marks[i], counts[i], zlib.crc32(rows_of[i]), rows_of[i][:64].tobytes()))  # tasks end in any order
-    flat = np.concatenate([rows_of[i] for i in order]) if order else values
-    return Model(flat, counts[order], marks[order])
+    judged = judged.groupBy(F.col(key).alias("__key")).agg(F.max(label).cast("int").alias("__label"))
+    order = (F.xxhash64(F.lit("fit"), F.col("__key")), F.col("__key"))
+    chosen = judged.orderBy(*order).limit(rows)
+    ranks = chosen.withColumn("__place", F.row_number().over(Window.orderBy(*order)))  # at most ``rows`` rows
+    content = F.coalesce(F.col(text), F.lit(""))
+    met = docs.select(F.col(key).alias("__id"), content.alias("text")).join(F.broadcast(ranks), F.col("__id") == F.col("__key"))
+    each = met.groupBy("__place", "__label").agg(F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("least"))
+    each = each.select(F.col("__place").alias("place"), F.col("__label").alias("label"), F.col("least.text").alias("text"))
+    found = checkpointed(each.mapInArrow(lambda b: _features(b, BITS), "place int, label int, size long, columns array<int>"))
+    so_far = F.sum("size").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0))  # sizes of at most ``rows`` rows
+    fitting = found.select("place", so_far.alias("so_far")).where(F.col("so_far") <= values).select("place")
+    return found.join(F.broadcast(fitting), "place")
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", rows: int = FIT_ROWS, values: int = FIT_VALUES
+) -> Model:
+    """Model from at most ``rows`` labelled ids and ``values`` features: the same, bit for bit, for the same documents in any order."""
+    found = sample(docs, labels, text, key, label, rows, values).select("place", "label", "columns").toArrow()
+    found = found.take(pc.sort_indices(found.column("place")))
+    columns, counts = kernel.flat_lists(found.column("columns"))
+    return Model(columns, counts, found.column("label").to_numpy().astype(np.int64))
 
 
 def _score(batches, shared, text: str):

@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from caseweave.llm import decontaminate as dc
@@ -90,3 +91,43 @@ def test_classifier_edges(spark, sf_dir):
     assert [r.score for r in qc.score(odd, again).collect()] == [r.score for r in out]
     flipped = labels.withColumn("quality", F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
     assert [r.score for r in qc.score(odd, qc.fit(docs, flipped)).collect()] == [r.score for r in out]
+
+
+def test_classifier_is_the_same_for_repeated_rows_in_any_order(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    other = docs.select("doc_id", F.reverse("text").alias("text"))  # a second text for each id
+    many = docs.select("doc_id", "text").unionByName(other).crossJoin(spark.range(16)).drop("id")
+    models = [qc.fit(many.repartition(n), labels, rows=40) for n in (1, 7, 50)]
+    assert models[0].constant is None
+    for m in models[1:]:
+        assert (m.weights == models[0].weights).all() and (m.bias, m.slope, m.shift) == (models[0].bias, models[0].slope, models[0].shift)
+
+
+def test_fitting_rows_are_bounded_by_features(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    whole = {r.place: r.size for r in qc.sample(docs, labels, "text", "doc_id", "quality", 30, 10**9).collect()}
+    some = {r.place: r.size for r in qc.sample(docs, labels, "text", "doc_id", "quality", 30, 9000).collect()}
+    assert len(whole) == 30 and 0 < len(some) < 30 and sum(some.values()) <= 9000
+    assert sorted(some) == sorted(whole)[: len(some)]
+
+
+def test_dual_coordinate_descent_reaches_the_optimum_of_a_dense_fit():
+    rng = np.random.default_rng(3)
+    dense = rng.random((60, 64)) < 0.3
+    labels = (dense[:, :8].sum(axis=1) + rng.normal(0, 0.7, 60) > 2.4).astype(np.int64)
+    counts = dense.sum(axis=1)
+    columns = np.concatenate([np.flatnonzero(row) for row in dense]).astype(np.int32)
+    model = qc.Model(columns, counts, labels, bits=6)
+    smooth = [dense[labels == k].sum(axis=0) + qc.SMOOTHING for k in (0, 1)]
+    ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
+    x = np.c_[dense * ratio / np.sqrt(np.maximum(1, counts))[:, None], np.ones(60)]
+    side = np.where(labels == 1, 1.0, -1.0)
+
+    def loss(w):
+        return w @ w / 2 + qc.COST * np.maximum(0, 1 - side * (x @ w)).sum()
+
+    gram, alpha = (x * side[:, None]) @ (x * side[:, None]).T, np.zeros(60)
+    for _ in range(20_000):  # projected gradient on the dual
+        alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, qc.COST)
+    best = loss((alpha * side) @ x)
+    assert loss(np.r_[model.weights / ratio, model.bias]) < 1.01 * best
