@@ -3,131 +3,199 @@
 A word is removed when a window that covers it also starts in a document with a smaller ``doc_id``; windows are judged
 on the input.  Steps:
 
-1. Each task rolls a 64-bit hash over the word windows of a batch.  A window that several documents of the batch hold
-   leaves the batch once, for the smallest id; the others are hits already.  So a passage that a third of all documents
-   share costs one value a batch.  Values are packed into one row per batch and bucket.  A window's bucket is that of
-   the least second hash among its runs of four words, which neighbouring windows mostly share: so a document's
-   windows go to few buckets, and two windows meet only if that bucket and all 64 bits agree.
-2. Spark shuffles by bucket.  A bucket's windows are sorted and counted; each that occurs in a document after the
-   smallest id is a hit of that document.
-3. Hits, grouped by document, meet the texts again.  Covered words merge into maximal removal intervals.
-
-Only hashes, ids and hits are shuffled in steps 1 and 2, texts once in step 3.
+1. Buckets.  A window's place is the least hash among its runs of four words, which neighbouring windows mostly share.
+   Windows are counted by place, and buckets of about equal size are made of the places (``_repeats``).
+2. Hashes.  Each task rolls a hash over the word windows of a batch.  Hashes, packed into one row per batch and bucket,
+   are shuffled by bucket and counted there: windows that no other id has drop out.
+3. Words.  The windows that are left are sent to their buckets with their words, neighbours together.  Windows with
+   equal hashes are compared word by word there (and before, within a batch), so no hash decides a removal: all equal
+   windows but those of the smallest id are hits.
+4. Hits, grouped by document, meet the texts.  Covered words merge into maximal removal intervals.
 
 Defined results: null and empty texts have no words; a text of fewer than 50 words is kept; rows with a null id are
-kept whole and count for nobody; rows that share an id never remove each other's words.
+kept whole and count for nobody; rows that share an id never remove each other's words; ids are whole numbers (another
+type raises ``TypeError``); a single long text is one batch; other columns are not passed on, and may have any name.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm import _bytes as kernel
-from caseweave.llm._spark import bucket_count
+from caseweave.llm import _repeats as repeats
 
 WINDOW_WORDS = 50
 RUN_WORDS = 4
+#: Bits that window hashes are cut to: all; tests take few, so that different windows meet.
+HASH_BITS = 64
+#: Bytes of text whose windows are packed together.
+AT_ONCE = 4_000_000
 U = np.uint64
-I64 = pa.int64()
-PACKED = "bucket int, ids array<long>, hashes array<long>"
-HITS = "id long, hits array<long>"
+I64, I32 = pa.int64(), pa.int32()
+SEGMENTS = "bucket int, ids array<long>, texts array<long>, starts array<int>, sizes array<int>, words binary"
+
+
+def word_codes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each word, equal only for equal words."""
+    sizes = ends - starts
+    offsets = np.r_[0, np.cumsum(sizes)]
+    data = buf[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return words.dictionary_encode().indices.to_numpy()
+
+
+def equal_windows(codes: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Whether the ``size`` codes from ``a`` equal those from ``b``; neighbours that move on together are compared once."""
+    order = np.lexsort((a, b - a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)])
+    lengths = np.diff(np.r_[first, len(a)]) + size - 1
+    at = np.cumsum(lengths) - lengths
+    places = np.repeat(a[first] - at, lengths) + np.arange(lengths.sum())
+    wrong = np.r_[0, np.cumsum(codes[places] != codes[places + np.repeat(b[first] - a[first], lengths)])]
+    own = np.repeat(at - first, np.diff(np.r_[first, len(a)])) + np.arange(len(a))
+    equal = np.zeros(len(a), bool)
+    equal[order] = wrong[own + size] == wrong[own]
+    return equal
+
+
+def later(ids: np.ndarray, hashes: np.ndarray, codes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Of windows ``at`` places of ``codes``, those that equal a window of a smaller id.
+
+    Windows with one hash are compared with the first of them; those that differ from it, if any, go round again.
+    """
+    found, open_ = np.zeros(len(at), bool), np.arange(len(at))
+    while len(open_):
+        order = open_[np.argsort(hashes[open_], kind="stable")]
+        starts = repeats.runs(hashes[order])
+        first = repeats.spread(at[order[starts]], starts, len(order))
+        equal = equal_windows(codes, at[order], first, size)
+        same, group = order[equal], repeats.spread(np.arange(len(starts)), starts, len(order))[equal]
+        least = np.full(len(starts), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, ids[same])
+        found[same] = ids[same] > least[group]
+        open_ = order[~equal]
+    return found
 
 
 class _Windows:
     """Rolling hashes of a batch; bases are fixed, so every task makes the same values."""
 
-    def __init__(self, size: int):
-        self.size = size
+    def __init__(self, size: int, bits: int):
+        self.size, self.bits = size, bits
         self.of_bytes, self.of_words, self.second = kernel.Rolling(11), kernel.Rolling(12), kernel.Rolling(13)
 
-    def __call__(self, column: pa.Array, with_places: bool = False):
-        """Word starts, ends, first words; start word, text index and hash of each window, and what picks its bucket."""
-        buf, offsets = kernel.flat(column)
-        starts, ends, first = kernel.words(buf, offsets)
-        sums = self.of_bytes.prefix(buf)
-        values = kernel.mixed(self.of_bytes.spans(sums, starts, ends))
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        n = max(0, len(values) - self.size + 1)
-        at = np.flatnonzero(text[:n] == text[self.size - 1 :]) if n else np.zeros(0, np.int64)
-        roll = lambda r, size: kernel.mixed(r.windows(r.prefix(values), size))
-        hashes = roll(self.of_words, self.size)[at] if n else np.zeros(0, U)
-        places = hashes
-        if with_places and n:
-            run = min(RUN_WORDS, self.size)
-            places = kernel.sliding(roll(self.second, run), self.size - run + 1, np.minimum)[at]
-        return buf, starts, ends, first, at, text[at], hashes, places
-
-
-def _grouped(ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(ids, kind="stable")
-    ids, hashes = ids[order], hashes[order]
-    new = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[new, len(ids)])
-    return pa.RecordBatch.from_arrays([pa.array(ids[new], I64), kernel.lists(hashes.view(np.int64), counts, I64)], ["id", "hits"])
-
-
-def _first_of_each(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by hash and id, and the smallest id of each entry's hash in that order."""
-    order = np.argsort(hashes, kind="stable")
-    ordered, by = ids[order], hashes[order]
-    new = np.flatnonzero(np.r_[True, by[1:] != by[:-1]]) if len(by) else np.zeros(0, np.int64)
-    least = np.repeat(np.minimum.reduceat(ordered, new), np.diff(np.r_[new, len(by)])) if len(by) else ordered
-    return order, least
-
-
-def _pack(batches, size: int, buckets: int):
-    windows = _Windows(size)
-    for batch in kernel.chunks(batches, "text"):
-        *_, text, h, places = windows(batch.column(1), True)
-        if not len(h):
+    def __call__(self, column: pa.Array) -> _Windows:
+        """Word starts, ends and hashes, each text's first word, and the start word and text index of each window."""
+        self.buf, offsets = kernel.flat(column)
+        self.starts, self.ends, self.first = kernel.words(self.buf, offsets)
+        self.values = kernel.mixed(self.of_bytes.spans(self.of_bytes.prefix(self.buf), self.starts, self.ends))
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
+        n = max(0, len(self.values) - self.size + 1)
+        self.at = np.flatnonzero(text[:n] == text[self.size - 1 :]) if n else np.zeros(0, np.int64)
+        self.text = text[self.at]
+        return self
+
+    def places(self) -> np.ndarray:
+        if not len(self.at):
+            return np.zeros(0, U)
+        run = min(RUN_WORDS, self.size)
+        rolled = kernel.mixed(self.second.windows(self.second.prefix(self.values), run))
+        return kernel.mixed(kernel.sliding(rolled, self.size - run + 1, np.minimum)[self.at])
+
+    def hashes(self) -> np.ndarray:
+        if not len(self.at):
+            return np.zeros(0, U)
+        rolled = kernel.mixed(self.of_words.windows(self.of_words.prefix(self.values), self.size)[self.at])
+        return rolled & ~U(2 ** (64 - self.bits) - 1)
+
+
+def _count(batches, size: int):
+    windows = _Windows(size, HASH_BITS)
+    yield from repeats.counts_of(batches, lambda batch: windows(batch.column(2)).places())
+
+
+def _pack(batches, size: int, bits: int, buckets: repeats.Buckets):
+    windows = _Windows(size, bits)
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
+        w = windows(batch.column(2))
+        if len(w.at):
+            ids, texts = (batch.column(k).to_numpy(zero_copy_only=False)[w.text] for k in (0, 1))
+            hashes = w.hashes()
+            yield repeats.pack(ids, texts, hashes, buckets.split(w.places(), hashes), buckets.n)
+
+
+def _fetch(batches, size: int, bits: int, buckets: repeats.Buckets):
+    """The words of shared windows, one row for each bucket; hits found in the batch travel in buckets below zero."""
+    windows, pressed = _Windows(size, bits), zstandard.ZstdCompressor(1)
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
+        if not len(batch.column(3).flatten()):
             continue
-        ids = batch.column(0).to_numpy(zero_copy_only=False)[text]
-        order, least = _first_of_each(ids, h)
-        i, hh = ids[order], h[order]
-        new = np.r_[True, (hh[1:] != hh[:-1]) | (i[1:] != i[:-1])]  # a document's own repeats travel once, if adjacent
-        keep = (i == least) & new
-        local = (i > least) & new
-        bucket = (kernel.mixed(places[order]) % U(buckets)).astype(np.int64)[keep]
-        by = np.lexsort((i[keep], bucket))
-        bucket, ci, ch = bucket[by], i[keep][by], hh[keep][by]
-        edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+        w = windows(batch.column(2))
+        hashes, places = w.hashes(), w.places()
+        k = np.flatnonzero(repeats.asked(hashes, w.text, batch.column(3)))
+        if not len(k):
+            continue
+        bucket, hashes, at, text = buckets.split(places[k], hashes[k]), hashes[k], w.at[k], w.text[k]
+        ids, texts = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+        hit = later(ids[text], hashes, word_codes(w.buf, w.starts, w.ends), at, size)
+        bucket = np.where(hit, -1 - text % buckets.n, bucket)
+        order = np.lexsort((at, bucket))
+        bucket, at, text = bucket[order], at[order], text[order]
+        heads = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1])])
+        sizes = np.diff(np.r_[heads, len(at)])
+        bucket, at, text = bucket[heads], at[heads], text[heads]
+        edges = repeats.runs(bucket)
         counts = np.diff(np.r_[edges, len(bucket)])
-        rows = [pa.array(bucket[edges], pa.int32()), kernel.lists(ci, counts, I64), kernel.lists(ch.view(np.int64), counts, I64)]
-        if local.any():  # hits found in the batch travel as rows of one id, marked by a bucket below zero
-            own = _grouped(i[local], hh[local])
-            n = own.num_rows
-            below = -1 - (np.asarray(own.column(0)) % buckets)
-            extra = [pa.array(below, pa.int32()), kernel.lists(np.asarray(own.column(0)), np.ones(n, int), I64), own.column(1)]
-            rows = [pa.concat_arrays([a, b]) for a, b in zip(rows, extra, strict=True)]
-        yield pa.RecordBatch.from_arrays(rows, ["bucket", "ids", "hashes"])
-
-
-def _count(key, table: pa.Table) -> pa.Table:
-    """Hits of one bucket: each window in every document after the smallest id that holds it."""
-    if key[0].as_py() < 0:
-        (ids, _), hashes = kernel.flat_lists(table.column("ids")), table.column("hashes")
-        return pa.table({"id": pa.array(ids, I64), "hits": hashes})
-    (ids, _), (hashes, _) = kernel.flat_lists(table.column("ids")), kernel.flat_lists(table.column("hashes"))
-    order, least = _first_of_each(ids, hashes)
-    later = ids[order] > least
-    return pa.Table.from_batches([_grouped(ids[order][later], hashes[order][later])])
+        data, words = w.buf.tobytes(), []
+        a, b = w.starts[at].tolist(), w.ends[at + sizes + size - 2].tolist()
+        for begin, end in zip(edges.tolist(), np.r_[edges[1:], len(bucket)].tolist(), strict=True):
+            blob = b" ".join([data[a[j] : b[j]] for j in range(begin, end)]) if bucket[begin] >= 0 else b""
+            words.append(pressed.compress(blob) if blob else b"")
+        columns = [(ids[text], I64), (texts[text], I64), (at - w.first[text], I32), (sizes, I32)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[edges], I32), *(kernel.lists(c, counts, t) for c, t in columns), pa.array(words, pa.binary())],
+            ["bucket", "ids", "texts", "starts", "sizes", "words"],
+        )
+
+
+def _compare(bucket: int, table: pa.Table, size: int) -> pa.Table:
+    """Hits among one bucket's windows: runs of windows whose words start in a smaller id too."""
+    sizes, counts = kernel.flat_lists(table.column("sizes"))
+    ids, texts, starts = (kernel.flat_lists(table.column(c))[0] for c in ("ids", "texts", "starts"))
+    if bucket >= 0:
+        opened = zstandard.ZstdDecompressor()
+        blob = b" ".join([opened.decompress(x) for x in table.column("words").to_pylist()])
+        buf = np.frombuffer(blob, np.uint8)
+        begins, ends, _ = kernel.words(buf, np.array([0, len(buf)]))
+        sizes = sizes.astype(np.int64)
+        lengths, ahead = sizes + size - 1, np.cumsum(sizes) - sizes
+        at = np.repeat(np.cumsum(lengths) - lengths - ahead, sizes) + np.arange(sizes.sum())
+        codes, rolling = word_codes(buf, begins, ends), kernel.Rolling(14)
+        hashes = kernel.mixed(rolling.windows(rolling.prefix(kernel.mixed(codes.astype(U))), size)[at])
+        place = np.repeat(starts - ahead, sizes) + np.arange(len(at))
+        segment = np.repeat(np.arange(len(sizes)), sizes)
+        k = np.flatnonzero(later(ids[segment], hashes, codes, at, size))
+        segment, place = segment[k], place[k]
+        heads = np.flatnonzero(np.r_[True, (segment[1:] != segment[:-1]) | (place[1:] != place[:-1] + 1)]) if len(k) else k
+        ids, texts, starts, sizes = ids[segment[heads]], texts[segment[heads]], place[heads], np.diff(np.r_[heads, len(k)])
+    return pa.table(repeats.by_row(ids, texts, starts, sizes), ["id", "text_hash", "starts", "masks"])
 
 
 def _cut(batches, size: int):
     """Texts without the covered words, joined by one space."""
-    windows = _Windows(size)
     for batch in kernel.chunks(batches, "text"):
-        buf, starts, ends, first, at, text, h, _ = windows(batch.column(1))
+        buf, offsets = kernel.flat(batch.column(1))
+        starts, ends, first = kernel.words(buf, offsets)
         hits, counts = kernel.flat_lists(batch.column(2))
-        owner = np.repeat(np.arange(batch.num_rows), counts)
-        hit = kernel.members(text, h, owner, hits.astype(np.int64).view(U)) >= 0
-        gone = kernel.covered(at[hit], size, len(starts))
-        removed = np.add.reduceat(np.r_[gone.astype(np.int64), 0], first[:-1]) if len(first) > 1 else np.zeros(0, np.int64)
-        n_words = np.diff(first)
-        removed = np.where(n_words > 0, removed, 0)
+        lengths, _ = kernel.flat_lists(batch.column(3))
+        gone = kernel.covered(hits + np.repeat(first[:-1], counts), lengths.astype(np.int64) + size - 1, len(starts))
+        sums = np.r_[0, np.cumsum(gone)]
+        removed = sums[first[1:]] - sums[first[:-1]]
         data, texts = buf.tobytes(), []
         for k in range(batch.num_rows):
             a, b = first[k], first[k + 1]
@@ -139,22 +207,25 @@ def _cut(batches, size: int):
                 keep = a + np.flatnonzero(~gone[a:b])
                 texts.append(b" ".join([data[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, I64), pa.array(removed, I64), pa.array(texts, pa.binary()).cast(pa.string())],
+            [batch.column(0), pa.array(np.diff(first), I64), pa.array(removed, I64), pa.array(texts, pa.binary()).cast(pa.string())],
             ["id", "n_words", "n_removed", "kept_text"],
         )
 
 
-def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = WINDOW_WORDS) -> DataFrame:
+def substring_dedup(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = WINDOW_WORDS, bits: int = HASH_BITS, pieces: int = repeats.BUCKET_PIECES
+) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_words``, ``n_removed`` and ``kept_text``."""
-    spark = docs.sparkSession
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    buckets = bucket_count(spark)
-    packed = source.where("id is not null and text is not null").mapInArrow(lambda b: _pack(b, size, buckets), PACKED)
-    hits = packed.groupBy("bucket").applyInArrow(lambda key, table: _count(key, table), HITS)
-    hits = hits.groupBy("id").agg(F.flatten(F.collect_list("hits")).alias("hits")).withColumnRenamed("id", "hit_id")
-    met = source.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", "hits")
-    cut = met.mapInArrow(lambda b: _cut(b, size), "id long, n_words long, n_removed long, kept_text string")
-    return cut.withColumnRenamed("id", key)
+    source = repeats.whole_number(docs, key, text)
+    filled = source.where("id is not null and text is not null")
+    buckets = repeats.planned(filled.mapInArrow(lambda b: _count(b, size), repeats.COUNTED), pieces)
+    packed = filled.mapInArrow(lambda b: _pack(b, size, bits, buckets), repeats.PACKED)
+    found = repeats.dealt(packed, buckets).applyInArrow(lambda k, t: repeats.shared(k[0].as_py(), t), repeats.SHARED)
+    met = repeats.meet(source, found, "hashes")
+    segments = met.mapInArrow(lambda b: _fetch(b, size, bits, buckets), SEGMENTS)
+    hits = repeats.dealt(segments, buckets).applyInArrow(lambda k, t: _compare(k[0].as_py(), t, size), repeats.HITS)
+    last = repeats.meet(met.drop("hashes"), hits, "starts", "masks").select("id", "text", "starts", "masks")
+    return last.mapInArrow(lambda b: _cut(b, size), "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", key)
 
 
 def substring_dedup_query(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from caseweave.llm import line_dedup, simhash, substring_dedup, suffix_dedup
 
@@ -65,10 +66,7 @@ def test_blind_trie_and_quicksort():
     assert len({(c, g, s) for c, g, s in zip(classes, group, strings, strict=True)}) == len(set(classes)) == len(set(zip(group, strings, strict=True)))
 
 
-@pytest.mark.parametrize("size", [3, 50])
-def test_substring_dedup_equals_brute_force(spark, size):
-    rows = [(d, " ".join(t)) for d, t in texts(9)]
-    got = substring_dedup.substring_dedup(frame(spark, rows), size=size).collect()
+def brute_words(rows, size):
     first, expected = {}, []
     split = [(d, re.findall(r"[^\x20\x09-\x0D]+", t)) for d, t in rows]
     for d, w in split:
@@ -80,7 +78,28 @@ def test_substring_dedup_equals_brute_force(spark, size):
             if first[tuple(w[i : i + size])] < d:
                 gone |= set(range(i, i + size))
         expected.append((d, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
-    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == sorted(expected)
+    return sorted(expected)
+
+
+def cut_words(df, **how):
+    return sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.substring_dedup(df, **how).collect())
+
+
+@pytest.mark.parametrize(("size", "bits", "pieces"), [(3, 64, 2_000_000), (50, 64, 100), (3, 8, 2_000_000), (50, 8, 100), (3, 1, 50)])
+def test_substring_dedup_equals_brute_force(spark, size, bits, pieces):
+    """Also with hashes of 8 bits and of one bit, so that nearly all windows meet others, and with small buckets."""
+    rows = [(d, " ".join(t)) for d, t in texts(9)]
+    assert cut_words(frame(spark, rows).repartition(3), size=size, bits=bits, pieces=pieces) == brute_words(rows, size)
+
+
+def test_words_whose_hashes_collide_are_kept(spark):
+    """Polynomial hashes modulo 2**64 of a Thue-Morse word and of its complement are equal for every odd base."""
+    morse = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    other, lead = morse.translate(str.maketrans("ab", "ba")), " ".join(f"w{k}" for k in range(49))
+    rows = [(1, f"{lead} {morse}"), (2, f"{lead} {other}"), (3, f"{lead} {morse}"), (4, f"{lead} {other} {lead} {morse}")]
+    for parts in (1, 4):
+        assert cut_words(frame(spark, rows).repartition(parts)) == brute_words(rows, 50)
+    assert [r[2] for r in brute_words(rows, 50)] == [0, 0, 50, 100]
 
 
 def test_edges_of_substring_and_suffix_dedup(spark):
@@ -99,6 +118,21 @@ def test_hot_passage_over_many_rows(spark):
     assert {r.doc_id: r.n_removed for r in out} == {k: 60 if k else 0 for k in range(400)}
 
 
+def test_hot_run_amid_other_words_and_one_long_text(spark, monkeypatch):
+    """A run of words that all texts share with different words around it, and a text longer than a batch."""
+    monkeypatch.setattr(substring_dedup, "AT_ONCE", 3000)
+    rows = [(k, " ".join([*(f"a{k % 90}_{i}" for i in range(47)), "as is well known", *(f"b{k % 70}_{i}" for i in range(47))])) for k in range(300)]
+    rows += [(1000 + k, " ".join(f"c{i % 700}" for i in range(5000 + k))) for k in range(2)]
+    assert cut_words(frame(spark, rows).repartition(5), pieces=300) == brute_words(rows, 50)
+
+
+def test_rows_of_one_id_and_ids_of_other_types(spark):
+    rows = [(7, f"{WORDS} {k % 20}") for k in range(60)] + [(8, WORDS)]
+    assert cut_words(frame(spark, rows).repartition(4)) == brute_words(rows, 50)
+    with pytest.raises(TypeError, match="whole numbers"):
+        substring_dedup.substring_dedup(frame(spark).withColumn("doc_id", F.lit("d0")))
+
+
 def test_line_dedup_edges(spark):
     rows = [(1, "a\nb\nc\nd"), (2, "a\nb\nc"), (2, "a\nb\nc"), (None, "a\nb\nc"), (3, None), (4, ""), (5, "x\nx\nx\nx\nx"), (6, "\n\n\n\n"), (None, None)]
     out = line_dedup.line_dedup(frame(spark, rows))
