@@ -9,6 +9,7 @@ buckets of about equal size, and a cell that is larger than a bucket (a run of w
 split by a second hash.  The counts, at most ``CELLS`` rows whatever the input, are all that the driver sees.
 
 A row of the input is named by its id and the 64-bit hash of its text: rows that agree in both have the same result.
+Answers to rows are packed too, by buckets of rows, and made one row each before they are joined to the texts.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ U = np.uint64
 I64, I32 = pa.int64(), pa.int32()
 COUNTED = "cell int, n long"
 PACKED = "bucket int, ids array<long>, texts array<long>, counts array<int>, hashes binary"
-SHARED = "id long, text_hash long, hashes binary"
-HITS = "id long, text_hash long, starts array<int>, masks array<int>"
+SHARED = "bucket int, ids array<long>, texts array<long>, counts array<int>, hashes binary"
+HITS = "bucket int, ids array<long>, texts array<long>, counts array<int>, starts binary, lengths binary"
 
 
 def runs(*keys: np.ndarray) -> np.ndarray:
@@ -117,16 +118,44 @@ def _blobs(values: np.ndarray, edges: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(edges), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def _packed(bucket: np.ndarray, ids: np.ndarray, texts: np.ndarray, hashes: np.ndarray) -> list[pa.Array]:
-    """Rows of ``PACKED``, one for each bucket; equal rows of the input stand together."""
-    order = np.lexsort((texts, ids, bucket))
-    bucket, ids, texts, hashes = bucket[order], ids[order], texts[order], hashes[order]
+def _packed(bucket: np.ndarray, ids: np.ndarray, texts: np.ndarray, *values: np.ndarray) -> list[pa.Array]:
+    """One row for each bucket: the rows of the input in it, how many values each has, and the values, 32 bits each."""
+    order = np.lexsort((values[0], texts, ids, bucket))
+    bucket, ids, texts = bucket[order], ids[order], texts[order]
     own, edges = runs(bucket, ids, texts), runs(bucket)
     counts = np.diff(np.r_[own, len(ids)])
     sizes = np.diff(np.r_[np.searchsorted(own, edges), len(own)])
     rows = [pa.array(bucket[edges], I32)]
     rows += [kernel.lists(c, sizes, t) for c, t in ((ids[own], I64), (texts[own], I64), (counts, I32))]
-    return [*rows, _blobs(hashes, edges)]
+    return [*rows, *(_blobs(v[order], edges) for v in values)]
+
+
+def _unpacked(table: pa.Table, *columns: str) -> list[np.ndarray]:
+    """Id and text hash of each value, and the values."""
+    counts, _ = kernel.flat_lists(table.column("counts"))
+    rows = [np.repeat(kernel.flat_lists(table.column(c))[0], counts) for c in ("ids", "texts")]
+    return rows + [np.frombuffer(kernel.flat(table.column(c))[0].tobytes(), np.int32) for c in columns]
+
+
+def answers(ids: np.ndarray, texts: np.ndarray, values: dict[str, np.ndarray], spread_over: int) -> pa.Table:
+    """Values for rows of the input, packed by buckets of these rows."""
+    bucket = (kernel.mixed(ids.view(U) * U(3) + texts.view(U)) % U(spread_over)).astype(np.int64)
+    columns = _packed(bucket, ids, texts, *(v.astype(np.int32) for v in values.values()))
+    return pa.table(columns, ["bucket", "ids", "texts", "counts", *values])
+
+
+def _new_rows(ids: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Of a batch's rows the first of each id and text."""
+    new = np.zeros(len(ids), bool)
+    order = np.lexsort((texts, ids))
+    new[order[runs(ids[order], texts[order])]] = True
+    return new
+
+
+def once(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and text hashes of a batch, and which rows aren't repeated ones (these would send all they have again)."""
+    ids, texts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+    return ids, texts, _new_rows(ids, texts)
 
 
 def pack(ids: np.ndarray, texts: np.ndarray, hashes: np.ndarray, bucket: np.ndarray, spread_over: int) -> pa.RecordBatch:
@@ -135,8 +164,8 @@ def pack(ids: np.ndarray, texts: np.ndarray, hashes: np.ndarray, bucket: np.ndar
     What several ids of the batch have is known to be shared: it travels as such in a bucket below zero, and only two of
     its ids go to the bucket, so what a third of all texts hold costs two values a batch there.
     """
-    low = (hashes >> U(32)).astype(np.uint32)
-    order = np.argsort(bucket.astype(U) << U(32) | low, kind="stable")
+    low = (hashes >> U(32)).astype(np.uint32).view(np.int32)
+    order = np.argsort(bucket.astype(U) << U(32) | low.view(np.uint32), kind="stable")
     bucket, ids, texts, low = bucket[order], ids[order], texts[order], low[order]
     starts = runs(bucket, low)
     both = several(ids, starts)
@@ -153,50 +182,64 @@ def pack(ids: np.ndarray, texts: np.ndarray, hashes: np.ndarray, bucket: np.ndar
     return pa.RecordBatch.from_arrays(rows, ["bucket", "ids", "texts", "counts", "hashes"])
 
 
-def shared(bucket: int, table: pa.Table) -> pa.Table:
-    """Of one bucket's pieces those whose hash several ids have, by row of the input."""
-    counts, _ = kernel.flat_lists(table.column("counts"))
-    ids, texts = (np.repeat(kernel.flat_lists(table.column(c))[0], counts) for c in ("ids", "texts"))
-    hashes = np.frombuffer(kernel.flat(table.column("hashes"))[0].tobytes(), np.uint32)
+def shared(bucket: int, table: pa.Table, spread_over: int) -> pa.Table:
+    """Of one bucket's pieces those whose hash several ids have, as answers to their rows."""
+    ids, texts, hashes = _unpacked(table, "hashes")
     if bucket >= 0:
         order = np.argsort(hashes, kind="stable")
         order = order[several(ids[order], runs(hashes[order]))]
         ids, texts, hashes = ids[order], texts[order], hashes[order]
+    return answers(ids, texts, {"hashes": hashes}, spread_over)
+
+
+def hashes_of_rows(table: pa.Table) -> pa.Table:
+    """A row of its own, with all its shared hashes, for each row of the input."""
+    ids, texts, hashes = _unpacked(table, "hashes")
     order = np.lexsort((hashes, texts, ids))
     order = order[runs(ids[order], texts[order], hashes[order])]
     ids, texts, hashes = ids[order], texts[order], hashes[order]
     own = runs(ids, texts)
-    return pa.table({"id": pa.array(ids[own], I64), "text_hash": pa.array(texts[own], I64), "hashes": _blobs(hashes, own)})
+    return pa.table([pa.array(ids[own], I64), pa.array(texts[own], I64), _blobs(hashes, own)], ["id", "text_hash", "hashes"])
+
+
+def spans_of_rows(table: pa.Table) -> pa.Table:
+    """A row of its own, with its hits merged into maximal intervals, for each row of the input."""
+    ids, texts, starts, lengths = _unpacked(table, "starts", "lengths")
+    order = np.lexsort((starts, texts, ids))
+    ids, texts, starts, lengths = ids[order], texts[order], starts[order].astype(np.int64), lengths[order]
+    own = runs(ids, texts)
+    base = spread(np.arange(len(own)), own, len(ids)) << 33  # rows one after the other, too far apart to touch
+    ends = np.maximum.accumulate(base + starts + lengths) if len(ids) else base
+    heads = np.flatnonzero(np.r_[True, (base + starts)[1:] > ends[:-1]]) if len(ids) else own
+    lasts = np.r_[heads[1:], len(ids)][: len(heads)] - 1
+    starts, lengths = starts[heads].astype(np.int32), (ends[lasts] - (base + starts)[heads]).astype(np.int32)
+    edges = np.searchsorted(heads, own)
+    return pa.table([pa.array(ids[own], I64), pa.array(texts[own], I64), _blobs(starts, edges), _blobs(lengths, edges)], ["id", "text_hash", "starts", "lengths"])
+
+
+def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of a column of blobs, and how many each row has (null: none)."""
+    buf, offsets = kernel.flat(column)
+    return np.frombuffer(buf.tobytes(), np.int32), np.diff(offsets) // 4
 
 
 def asked(hashes: np.ndarray, text: np.ndarray, column: pa.Array) -> np.ndarray:
-    """Which pieces (64-bit hash and index of the text) have a hash that the text's list of blobs names."""
-    blobs, counts = column.flatten(), kernel.flat_lists(column)[1]
-    if not len(blobs):
+    """Which pieces (64-bit hash and index of the text) have a hash that the text's blob names."""
+    named, counts = numbers(column)
+    if not len(named):
         return np.zeros(len(hashes), bool)
-    buf, offsets = kernel.flat(blobs)
-    owner = np.repeat(np.repeat(np.arange(len(counts)), counts), np.diff(offsets) // 4)
-    wanted = np.unique(owner.astype(U) << U(32) | np.frombuffer(buf.tobytes(), np.uint32))
+    wanted = np.repeat(np.arange(len(counts)), counts).astype(U) << U(32) | named.view(np.uint32)
+    wanted.sort()
     own = text.astype(U) << U(32) | hashes >> U(32)
     place = np.searchsorted(wanted, own)
     place[place == len(wanted)] = 0
     return wanted[place] == own
 
 
-def by_row(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, masks: np.ndarray) -> list[pa.Array]:
-    """Rows of ``HITS`` from single hits."""
-    order = np.lexsort((starts, texts, ids))
-    ids, texts = ids[order], texts[order]
-    own = runs(ids, texts)
-    sizes = np.diff(np.r_[own, len(ids)])
-    return [pa.array(ids[own], I64), pa.array(texts[own], I64), kernel.lists(starts[order].astype(np.int32), sizes, I32), kernel.lists(masks[order].astype(np.int32), sizes, I32)]
-
-
-def meet(texts: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
-    """``texts`` with the lists of ``columns`` that ``found`` has for their row; one shuffle of the texts serves each call."""
-    lists = [(F.flatten(F.collect_list(c)) if found.schema[c].dataType.typeName() == "array" else F.collect_list(c)).alias(c) for c in columns]
-    grouped = found.groupBy("id", "text_hash").agg(*lists).withColumnsRenamed({"id": "found_id", "text_hash": "found_hash"})
-    return texts.join(grouped, (F.col("id") == F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left").drop("found_id", "found_hash")
+def meet(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """``texts`` with what ``found`` has for their row; one shuffle of the texts serves each call."""
+    found = found.withColumnsRenamed({"id": "found_id", "text_hash": "found_hash"})
+    return texts.join(found, (F.col("id") == F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left").drop("found_id", "found_hash")
 
 
 def whole_number(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -205,3 +248,17 @@ def whole_number(docs: DataFrame, key: str, text: str) -> DataFrame:
     if kind not in ("byte", "short", "integer", "long"):
         raise TypeError(f"column {key} has type {kind}; ids of this operator are whole numbers")
     return docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+
+
+def found_by_row(df: DataFrame, buckets: Buckets, find, answer: str, by_row, schema: str) -> DataFrame:
+    """What ``find(bucket, table)`` says of each bucket, made one row for each row of the input by ``by_row``."""
+    packed = dealt(df, buckets).applyInArrow(lambda key, table: find(key[0].as_py(), table), answer)
+    return dealt(packed, buckets).applyInArrow(lambda table: by_row(table), f"id long, text_hash long, {schema}")
+
+
+def shared_hashes(packed: DataFrame, buckets: Buckets) -> DataFrame:
+    return found_by_row(packed, buckets, lambda k, t: shared(k, t, buckets.n), SHARED, hashes_of_rows, "hashes binary")
+
+
+def spans(pieces: DataFrame, buckets: Buckets, find) -> DataFrame:
+    return found_by_row(pieces, buckets, find, HITS, spans_of_rows, "starts binary, lengths binary")

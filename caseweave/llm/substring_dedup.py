@@ -124,24 +124,24 @@ def _pack(batches, size: int, bits: int, buckets: repeats.Buckets):
     for batch in kernel.chunks(batches, "text", AT_ONCE):
         w = windows(batch.column(2))
         if len(w.at):
-            ids, texts = (batch.column(k).to_numpy(zero_copy_only=False)[w.text] for k in (0, 1))
-            hashes = w.hashes()
-            yield repeats.pack(ids, texts, hashes, buckets.split(w.places(), hashes), buckets.n)
+            ids, texts, new = repeats.once(batch)
+            hashes, k = w.hashes(), np.flatnonzero(new[w.text])
+            bucket = buckets.split(w.places(), hashes)[k]
+            yield repeats.pack(ids[w.text[k]], texts[w.text[k]], hashes[k], bucket, buckets.n)
 
 
 def _fetch(batches, size: int, bits: int, buckets: repeats.Buckets):
     """The words of shared windows, one row for each bucket; hits found in the batch travel in buckets below zero."""
     windows, pressed = _Windows(size, bits), zstandard.ZstdCompressor(1)
     for batch in kernel.chunks(batches, "text", AT_ONCE):
-        if not len(batch.column(3).flatten()):
+        if batch.column(3).null_count == batch.num_rows:
             continue
         w = windows(batch.column(2))
-        hashes, places = w.hashes(), w.places()
-        k = np.flatnonzero(repeats.asked(hashes, w.text, batch.column(3)))
+        hashes, places, (ids, texts, new) = w.hashes(), w.places(), repeats.once(batch)
+        k = np.flatnonzero(repeats.asked(hashes, w.text, batch.column(3)) & new[w.text])
         if not len(k):
             continue
         bucket, hashes, at, text = buckets.split(places[k], hashes[k]), hashes[k], w.at[k], w.text[k]
-        ids, texts = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
         hit = later(ids[text], hashes, word_codes(w.buf, w.starts, w.ends), at, size)
         bucket = np.where(hit, -1 - text % buckets.n, bucket)
         order = np.lexsort((at, bucket))
@@ -163,8 +163,8 @@ def _fetch(batches, size: int, bits: int, buckets: repeats.Buckets):
         )
 
 
-def _compare(bucket: int, table: pa.Table, size: int) -> pa.Table:
-    """Hits among one bucket's windows: runs of windows whose words start in a smaller id too."""
+def _compare(bucket: int, table: pa.Table, size: int, spread_over: int) -> pa.Table:
+    """Hits among one bucket's windows: words of runs of windows that start in a smaller id too."""
     sizes, counts = kernel.flat_lists(table.column("sizes"))
     ids, texts, starts = (kernel.flat_lists(table.column(c))[0] for c in ("ids", "texts", "starts"))
     if bucket >= 0:
@@ -183,17 +183,16 @@ def _compare(bucket: int, table: pa.Table, size: int) -> pa.Table:
         segment, place = segment[k], place[k]
         heads = np.flatnonzero(np.r_[True, (segment[1:] != segment[:-1]) | (place[1:] != place[:-1] + 1)]) if len(k) else k
         ids, texts, starts, sizes = ids[segment[heads]], texts[segment[heads]], place[heads], np.diff(np.r_[heads, len(k)])
-    return pa.table(repeats.by_row(ids, texts, starts, sizes), ["id", "text_hash", "starts", "masks"])
+    return repeats.answers(ids, texts, {"starts": starts, "lengths": sizes + size - 1}, spread_over)
 
 
-def _cut(batches, size: int):
+def _cut(batches):
     """Texts without the covered words, joined by one space."""
     for batch in kernel.chunks(batches, "text"):
         buf, offsets = kernel.flat(batch.column(1))
         starts, ends, first = kernel.words(buf, offsets)
-        hits, counts = kernel.flat_lists(batch.column(2))
-        lengths, _ = kernel.flat_lists(batch.column(3))
-        gone = kernel.covered(hits + np.repeat(first[:-1], counts), lengths.astype(np.int64) + size - 1, len(starts))
+        (begins, counts), (lengths, _) = repeats.numbers(batch.column(2)), repeats.numbers(batch.column(3))
+        gone = kernel.covered(begins + np.repeat(first[:-1], counts), lengths, len(starts))
         sums = np.r_[0, np.cumsum(gone)]
         removed = sums[first[1:]] - sums[first[:-1]]
         data, texts = buf.tobytes(), []
@@ -220,12 +219,11 @@ def substring_dedup(
     filled = source.where("id is not null and text is not null")
     buckets = repeats.planned(filled.mapInArrow(lambda b: _count(b, size), repeats.COUNTED), pieces)
     packed = filled.mapInArrow(lambda b: _pack(b, size, bits, buckets), repeats.PACKED)
-    found = repeats.dealt(packed, buckets).applyInArrow(lambda k, t: repeats.shared(k[0].as_py(), t), repeats.SHARED)
-    met = repeats.meet(source, found, "hashes")
+    met = repeats.meet(source, repeats.shared_hashes(packed, buckets))
     segments = met.mapInArrow(lambda b: _fetch(b, size, bits, buckets), SEGMENTS)
-    hits = repeats.dealt(segments, buckets).applyInArrow(lambda k, t: _compare(k[0].as_py(), t, size), repeats.HITS)
-    last = repeats.meet(met.drop("hashes"), hits, "starts", "masks").select("id", "text", "starts", "masks")
-    return last.mapInArrow(lambda b: _cut(b, size), "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", key)
+    spans = repeats.spans(segments, buckets, lambda k, t: _compare(k, t, size, buckets.n))
+    last = repeats.meet(source, spans).select("id", "text", "starts", "lengths")
+    return last.mapInArrow(_cut, "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", key)
 
 
 def substring_dedup_query(docs: DataFrame) -> DataFrame:

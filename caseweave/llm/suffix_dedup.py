@@ -5,207 +5,101 @@ UTF-8 bytes, matches stay inside a document, strings are judged on the input.
 
 Sorting every suffix would shuffle each byte many times over, so only suffixes that may repeat are sorted:
 
-1. Anchors.  Of the 24-byte grams in any 50-byte string the one with the least hash is its anchor (a minimizer); equal
-   strings have equal anchors at equal places.  Each anchor leaves its task with the hash of its context, the up to 76
-   bytes that all 50-byte strings around it can reach.  Contexts that several documents of a batch share leave once.
-2. By gram.  An anchor whose whole context also occurs in a smaller id is settled: all of its context goes.  Anchors
-   whose gram occurs in other documents with other contexts are asked for; all others are unique and drop out.
-3. Suffixes.  The asked contexts' 50-byte strings are the starts of the suffixes in question.  Those of one gram and
-   place are sorted: multikey quicksort over 8-byte keys to a shallow depth of 40 bytes, then a blind trie orders each
-   group that is still equal.  Strings that end in one leaf are equal, byte for byte; all but those of the smallest id
-   are hits.
-4. Settled contexts and hits, grouped by document, meet the texts; covered bytes merge into maximal runs.
+1. Anchors.  Of the 20-byte grams in any 50-byte string the one with the least hash is its anchor (a minimizer); equal
+   strings have equal anchors at equal places.  Anchors are counted by gram, and buckets of about equal size are made of
+   the grams (``_repeats``).  Hashes of the anchors' grams are shuffled by bucket; grams that no other id has drop out.
+2. Contexts.  An anchor that is left goes to its gram's bucket with its context, the bytes that the 50-byte strings
+   around it reach: these strings are the starts of the suffixes in question.  Grams too frequent for one bucket send
+   each string by itself, dealt by its hash.
+3. Deep-shallow sort.  Contexts of one gram are sorted: multikey quicksort over 8-byte keys to a shallow depth of 40
+   bytes, then a blind trie orders each group that is still equal.  Contexts that end in one leaf are equal, byte for
+   byte; all but those of the smallest id are hits.  The different contexts' strings of one gram and place are then
+   sorted in the same way, for contexts that agree in a part.  (Within a batch, contexts whose gram several ids have are
+   sorted before they leave, so what a third of all texts hold travels once a batch.)
+4. Hits, grouped by document, meet the texts; covered bytes merge into maximal runs.
+
+Hashes pick buckets and drop grams that one id has; every removal comes out of a leaf of the sort.
 
 Defined results: a null text is empty; texts of fewer than 50 bytes are kept; rows with a null id are kept whole and
-count for nobody; rows that share an id never remove each other's bytes.  The kept bytes may be cut inside a character.
+count for nobody; rows that share an id never remove each other's bytes; ids are whole numbers (another type raises
+``TypeError``); a single long text is one batch; other columns are not passed on, and may have any name.  The kept bytes
+may be cut inside a character.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseweave.llm import _bytes as kernel
-from caseweave.llm._spark import bucket_count
+from caseweave.llm import _repeats as repeats
+from caseweave.llm._repeats import runs, spread
 
 SIZE = 50
-GRAM = 24
+GRAM = 20
 REACH = SIZE - GRAM
+#: Bytes that a context reaches at most.
+WIDTH = SIZE + REACH
 SHALLOW_KEYS = 5
-#: Suffixes that one call sorts at a time, if no single group is larger.
+#: Rows that one call sorts at a time, if no single group is larger.
 SORT_AT_ONCE = 200_000
+#: Bytes of text whose anchors are packed together.
+AT_ONCE = 4_000_000
+NO_GRAM = np.uint64(2**64 - 1)
 U = np.uint64
 I64, I32 = pa.int64(), pa.int32()
-PACKED = "bucket int, ids array<long>, grams array<int>, contexts array<long>"
-MATCHED = "id long, settled array<long>, asked array<long>"
-CONTEXTS = "bucket int, id long, shape int, bytes binary"
-HITS = "id long, contexts array<long>, places array<int>"
+CONTEXTS = "bucket int, ids array<long>, texts array<long>, starts array<int>, masks array<int>, bytes binary"
 
 
 class _Anchors:
-    """Anchors of a batch of texts: place, gram hash, context and its hash."""
+    """Anchors of a batch of texts: place, gram hash and text."""
 
     def __init__(self):
-        self.gram, self.context = kernel.Rolling(31), kernel.Rolling(32)
+        self.gram = kernel.Rolling(31)
 
-    def context_hash(self, sums, lo, at, hi):
-        shape = (at - lo).astype(U) * U(0x9E3779B97F4A7C15) + (hi - at).astype(U) * U(0xC2B2AE3D27D4EB4F)
-        return kernel.mixed(self.context.spans(sums, lo, hi) + shape)
-
-    def __call__(self, column: pa.Array):
+    def __call__(self, column: pa.Array) -> _Anchors:
         self.buf, self.offsets = buf, offsets = kernel.flat(column)
         n = len(buf)
         if n < SIZE:
-            self.at = self.text = self.lo = self.hi = np.zeros(0, np.int64)
-            self.grams = self.hashes = np.zeros(0, U)
+            self.at = self.text = np.zeros(0, np.int64)
+            self.grams = np.zeros(0, U)
             return self
         text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
         grams = kernel.mixed(self.gram.windows(self.gram.prefix(buf), GRAM))
-        grams[text[: n - GRAM + 1] != text[GRAM - 1 :]] = U(2**64 - 1)
+        grams[text[: n - GRAM + 1] != text[GRAM - 1 :]] = NO_GRAM
         self.least = kernel.sliding(grams, REACH + 1, np.minimum)
         self.whole = text[: n - SIZE + 1] == text[SIZE - 1 :]
         reached = np.zeros(n - GRAM + 1 + REACH, U)
         reached[REACH : REACH + len(self.least)] = np.where(self.whole, self.least, U(0))
         at = np.flatnonzero(kernel.sliding(reached, REACH + 1, np.maximum) == grams)
-        at = at[grams[at] != U(2**64 - 1)]
-        self.at, self.text, self.grams = at, text[at].astype(np.int64), grams[at]
-        self.lo = np.maximum(at - REACH, offsets[self.text])
-        self.hi = np.minimum(at + GRAM + REACH, offsets[self.text + 1])
-        self.hashes = self.context_hash(self.context.prefix(buf), self.lo, at, self.hi)
+        self.at = at[grams[at] != NO_GRAM]
+        self.text, self.grams = text[self.at].astype(np.int64), grams[self.at]
         return self
 
-
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    """Where a new combination of the (sorted) keys begins."""
-    if not len(keys[0]):
-        return np.zeros(0, np.int64)
-    new = np.zeros(len(keys[0]), bool)
-    new[0] = True
-    for key in keys:
-        new[1:] |= key[1:] != key[:-1]
-    return np.flatnonzero(new)
+    def masks(self, k: np.ndarray) -> np.ndarray:
+        """Bit ``b`` of an anchor's mask: it is the anchor of the string that starts ``b`` bytes before it."""
+        at, masks = self.at[k], np.zeros(len(k), np.int64)
+        for back in range(REACH + 1):
+            i = at - back
+            fits = (i >= 0) & (i < len(self.least))
+            j = np.where(fits, i, 0)
+            masks |= (fits & self.whole[j] & (self.least[j] == self.grams[k])).astype(np.int64) << back
+        return masks
 
 
-def _spread(values: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    return np.repeat(values, np.diff(np.r_[starts, n]))
+def _reach(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes before the anchor and from it on that the strings of a mask reach."""
+    lowest = np.bitwise_count((masks & -masks) - 1).astype(np.int64)
+    highest = np.frexp(masks.astype(np.float64))[1].astype(np.int64) - 1
+    return highest, SIZE - lowest
 
 
-def _by_id(ids: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    starts = _runs(ids)
-    return ids[starts], np.diff(np.r_[starts, len(ids)]), [c[order] for c in columns]
-
-
-def _pack(batches, buckets: int):
-    anchors = _Anchors()
-    for batch in kernel.chunks(batches, "text"):
-        a = anchors(batch.column(1))
-        if not len(a.at):
-            continue
-        ids = batch.column(0).to_numpy(zero_copy_only=False)[a.text]
-        order = np.argsort(a.hashes, kind="stable")
-        i, h, g = ids[order], a.hashes[order], a.grams[order]
-        starts = _runs(h, g)
-        least = _spread(np.minimum.reduceat(i, starts), starts, len(i))
-        first = np.zeros(len(i), bool)
-        first[_runs(h, g, i)] = True
-        keep, local = first & (i == least), first & (i > least)
-        bucket = ((g[keep] >> U(32)) % U(buckets)).astype(np.int64)
-        by = np.lexsort((i[keep], bucket))
-        bucket, ci, cg, ch = bucket[by], i[keep][by], g[keep][by], h[keep][by]
-        edges = _runs(bucket)
-        counts = np.diff(np.r_[edges, len(bucket)])
-        rows = [
-            pa.array(bucket[edges], I32),
-            kernel.lists(ci, counts, I64),
-            kernel.lists(cg.astype(np.uint32).view(np.int32), counts, I32),
-            kernel.lists(ch.view(np.int64), counts, I64),
-        ]
-        if local.any():  # settled within the batch: rows of one id, marked by a bucket below zero
-            own, sizes, (settled,) = _by_id(i[local], h[local])
-            ones = np.ones(len(own), np.int64)
-            extra = [
-                pa.array(-1 - own % buckets, I32),
-                kernel.lists(own, ones, I64),
-                kernel.lists(np.zeros(0, np.int32), 0 * ones, I32),
-                kernel.lists(settled.view(np.int64), sizes, I64),
-            ]
-            rows = [pa.concat_arrays(pair) for pair in zip(rows, extra, strict=True)]
-        yield pa.RecordBatch.from_arrays(rows, ["bucket", "ids", "grams", "contexts"])
-
-
-def _match(bucket: int, table: pa.Table) -> pa.Table:
-    """Of one bucket's anchors: contexts settled by a smaller id, and contexts to be asked for."""
-    (ids, _), (hashes, _) = kernel.flat_lists(table.column("ids")), kernel.flat_lists(table.column("contexts"))
-    if bucket < 0:
-        empty = kernel.lists(np.zeros(0, np.int64), np.zeros(table.num_rows, np.int64), I64)
-        return pa.table({"id": pa.array(ids, I64), "settled": table.column("contexts"), "asked": empty})
-    grams, _ = kernel.flat_lists(table.column("grams"))
-    order = np.argsort(grams, kind="stable")
-    g, i, h = grams[order], ids[order], hashes[order]
-    starts = _runs(g)
-    if len(starts):
-        shared = _spread(np.minimum.reduceat(i, starts) != np.maximum.reduceat(i, starts), starts, len(g))
-        g, i, h = g[shared], i[shared], h[shared]
-    order = np.lexsort((h, g))
-    g, i, h = g[order], i[order], h[order]
-    starts = _runs(g, h)
-    least = _spread(np.minimum.reduceat(i, starts), starts, len(g)) if len(starts) else i
-    settled = i > least
-    groups = _runs(g)
-    several = _spread(np.add.reduceat(np.isin(np.arange(len(g)), starts).astype(np.int64), groups) > 1, groups, len(g)) if len(groups) else settled
-    first = np.zeros(len(g), bool)
-    first[starts] = True
-    asked_ctx = np.flatnonzero(several & ~settled)
-    keep = _runs(g[asked_ctx], h[asked_ctx])  # one occurrence of a context is enough
-    asked_ctx = asked_ctx[keep]
-    parts = []
-    for name, other, ii, hh in (("settled", "asked", i[settled], h[settled]), ("asked", "settled", i[asked_ctx], h[asked_ctx])):
-        own, sizes, (values,) = _by_id(ii, hh)
-        none = kernel.lists(np.zeros(0, np.int64), 0 * sizes, I64)
-        columns = {"id": pa.array(own, I64), name: kernel.lists(values, sizes, I64), other: none}
-        parts.append(pa.table({c: columns[c] for c in ("id", "settled", "asked")}))
-    return pa.concat_tables(parts)
-
-
-def _fetch(batches, buckets: int):
-    """The asked contexts: bytes, and in one number the gram's place and the strings whose anchor it is."""
-    anchors = _Anchors()
-    for batch in kernel.chunks(batches, "text"):
-        asked, counts = kernel.flat_lists(batch.column(2))
-        if not len(asked):
-            continue
-        a = anchors(batch.column(1))
-        owner = np.repeat(np.arange(batch.num_rows), counts)
-        found = kernel.members(a.text, a.hashes, owner, asked.astype(np.int64).view(U))
-        k = np.flatnonzero(found >= 0)
-        k = k[np.unique(found[k], return_index=True)[1]]  # a context that a text repeats is sent once
-        if not len(k):
-            continue
-        at, shape = a.at[k], np.zeros(len(k), np.int64)
-        for back in range(REACH + 1):
-            i = at - back
-            fits = (i >= 0) & (i < len(a.least))
-            j = np.where(fits, i, 0)
-            shape |= (fits & a.whole[j] & (a.least[j] == a.grams[k])).astype(np.int64) << back
-        shape |= (at - a.lo[k]) << (REACH + 1)
-        sizes = a.hi[k] - a.lo[k]
-        ends = np.cumsum(sizes)
-        data = a.buf[np.repeat(a.lo[k] - (ends - sizes), sizes) + np.arange(ends[-1])]
-        offsets = np.r_[0, ends].astype(np.int32)
-        ids = batch.column(0).to_numpy(zero_copy_only=False)[a.text[k]]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array((a.grams[k] % U(buckets)).astype(np.int32), I32),
-                pa.array(ids, I64),
-                pa.array(shape.astype(np.uint32).view(np.int32), I32),
-                pa.Array.from_buffers(pa.binary(), len(k), [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
-            ],
-            ["bucket", "id", "shape", "bytes"],
-        )
+def _string_places(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bit of each bit that is set."""
+    return np.nonzero((masks[:, None] >> np.arange(REACH + 1)) & 1)
 
 
 def multikey_quicksort(keys: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,24 +172,25 @@ class BlindTrie:
         return out
 
 
-def equal_classes(strings: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Deep-shallow sort of rows of 50 bytes within groups: a number for each row, equal for equal rows of a group."""
-    n = len(strings)
-    padded = np.zeros((n, -(-SIZE // 8) * 8), np.uint8)
-    padded[:, :SIZE] = strings
+def deep_shallow(rows: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Deep-shallow sort of rows of bytes within groups: a number for each row, equal for equal rows of a group."""
+    n, width = rows.shape
+    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = rows
     order, segment = multikey_quicksort(padded.view(">u8").astype(U), group, SHALLOW_KEYS)
-    starts = _runs(segment)
+    starts = runs(segment)
     sizes = np.diff(np.r_[starts, n])
     split = np.zeros(n, bool)  # where a new class begins, in the final order
     split[starts] = True
-    tail = strings[:, SHALLOW_KEYS * 8 :]
-    two = starts[sizes == 2]
-    split[two + 1] = (tail[order[two]] != tail[order[two + 1]]).any(axis=1)
-    for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-        rows = order[start : start + size].copy()
-        place = start
-        for leaf in BlindTrie([tail[r].tobytes() for r in rows]).leaves():
-            order[place : place + len(leaf)] = rows[leaf]
+    tail = rows[:, SHALLOW_KEYS * 8 :]
+    unlike = (tail[order] != tail[np.repeat(order[starts], sizes)]).any(axis=1)
+    mixed = np.logical_or.reduceat(unlike, starts) if n else np.zeros(0, bool)  # a group of equal rows is one leaf
+    two = starts[mixed & (sizes == 2)]
+    split[two + 1] = True
+    for start, size in zip(starts[mixed & (sizes > 2)].tolist(), sizes[mixed & (sizes > 2)].tolist(), strict=True):
+        own, place = order[start : start + size].copy(), start
+        for leaf in BlindTrie([tail[r].tobytes() for r in own]).leaves():
+            order[place : place + len(leaf)] = own[leaf]
             split[place] = True
             place += len(leaf)
     classes = np.zeros(n, np.int64)
@@ -303,97 +198,172 @@ def equal_classes(strings: np.ndarray, group: np.ndarray) -> np.ndarray:
     return classes
 
 
-def _sort(table: pa.Table) -> pa.Table:
-    """Hits among one bucket's contexts: per document and context, the places whose 50 bytes start in a smaller id."""
-    anchors = _Anchors()
-    buf, offsets = kernel.flat(table.column("bytes"))
-    ids = table.column("id").to_numpy()
-    shape = table.column("shape").to_numpy().view(np.uint32).astype(np.int64)
-    at = offsets[:-1] + (shape >> (REACH + 1))
-    grams = anchors.gram.spans(anchors.gram.prefix(buf), at, at + GRAM)
-    hashes = anchors.context_hash(anchors.context.prefix(buf), offsets[:-1], at, offsets[1:])
-    places = ((shape[:, None] >> np.arange(REACH + 1)) & 1).astype(bool)
-    row, back = np.nonzero(places)
-    group = kernel.mixed(grams[row] + back.astype(U) * U(0xD6E8FEB86659FD93))
+def _least_of_equal(ids: np.ndarray, group: np.ndarray, rows_of) -> np.ndarray:
+    """For each entry the smallest id among the equal entries of its group.
+
+    Groups are sorted some at a time; ``rows_of`` gives the bytes of the entries asked for.  A group that one
+    id has holds no hit and isn't sorted.
+    """
+    least = ids.copy()
     order = np.argsort(group, kind="stable")
-    row, back, group = row[order], back[order], group[order]
-    starts = _runs(group)
-    if len(starts):
-        mixed_ids = np.minimum.reduceat(ids[row], starts) != np.maximum.reduceat(ids[row], starts)
-        keep = _spread(mixed_ids, starts, len(row))
-        row, back, group = row[keep], back[keep], group[keep]
-    starts, hit = _runs(group), np.zeros(len(ids), np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(buf, SIZE) if len(buf) >= SIZE else None
-    ends, begin = np.r_[starts[1:], len(row)], 0
-    while begin < len(row):
+    order = order[repeats.several(ids[order], runs(group[order]))]
+    starts, begin = runs(group[order]), 0
+    ends = np.r_[starts[1:], len(order)]
+    while begin < len(order):
         end = int(ends[max(np.searchsorted(ends, begin + SORT_AT_ONCE, "right") - 1, np.searchsorted(ends, begin, "right"))])
-        r, b = row[begin:end], back[begin:end]
-        classes = equal_classes(windows[at[r] - b], group[begin:end])
-        least = np.full(classes.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, classes, ids[r])
-        later = ids[r] > least[classes]
-        np.bitwise_or.at(hit, r[later], np.int64(1) << b[later])
+        own = order[begin:end]
+        classes = deep_shallow(rows_of(own), group[own])
+        smallest = np.full(classes.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(smallest, classes, ids[own])
+        least[own] = smallest[classes]
         begin = end
-    k = np.flatnonzero(hit)
-    own, sizes, (contexts, masks) = _by_id(ids[k], hashes[k], hit[k])
-    return pa.table({"id": pa.array(own, I64), "contexts": kernel.lists(contexts.view(np.int64), sizes, I64), "places": kernel.lists(masks.astype(np.int32), sizes, I32)})
+    return least
+
+
+def _context_rows(buf: np.ndarray, at: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Contexts as rows of equal width: the mask, and the bytes around the anchor, zero where a context doesn't reach."""
+    before, after = _reach(masks)
+    column = np.arange(WIDTH) - REACH
+    inside = (column >= -before[:, None]) & (column < after[:, None])
+    places = np.where(inside, at[:, None] + column, 0)
+    rows = np.zeros((len(at), WIDTH + 4), np.uint8)
+    rows[:, :WIDTH] = np.where(inside, buf[places], 0)
+    rows[:, WIDTH:] = masks.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return rows
+
+
+def _group(grams: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    return kernel.mixed(grams + masks.astype(U) * U(0xD6E8FEB86659FD93))
+
+
+def _count(batches):
+    anchors = _Anchors()
+    yield from repeats.counts_of(batches, lambda batch: anchors(batch.column(2)).grams)
+
+
+def _pack(batches, buckets: repeats.Buckets):
+    anchors = _Anchors()
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
+        a = anchors(batch.column(2))
+        if len(a.at):
+            ids, texts, new = repeats.once(batch)
+            k = np.flatnonzero(new[a.text])
+            text, grams = a.text[k], a.grams[k]
+            yield repeats.pack(ids[text], texts[text], grams, buckets.split(grams, kernel.mixed(grams)), buckets.n)
+
+
+def _fetch(batches, buckets: repeats.Buckets):
+    """Contexts of shared grams, one row for each bucket; hits found in the batch travel in buckets below zero."""
+    anchors, strings, pressed = _Anchors(), kernel.Rolling(32), zstandard.ZstdCompressor(3)
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
+        if batch.column(3).null_count == batch.num_rows:
+            continue
+        a, (ids, texts, new) = anchors(batch.column(2)), repeats.once(batch)
+        k = np.flatnonzero(repeats.asked(a.grams, a.text, batch.column(3)) & new[a.text])
+        if not len(k):
+            continue
+        masks, at, text, grams = a.masks(k), a.at[k], a.text[k], a.grams[k]
+        bucket = buckets.whole(grams)
+        if (bucket < 0).any():  # a gram too frequent for one bucket: its strings go by themselves, dealt by their hash
+            alone = np.flatnonzero(bucket < 0)
+            row, back = _string_places(masks[alone])
+            row = alone[row]
+            sums = strings.prefix(a.buf)
+            hashes = kernel.mixed(strings.spans(sums, at[row] - back, at[row] - back + SIZE))
+            keep = np.flatnonzero(bucket >= 0)
+            bucket = np.r_[bucket[keep], buckets.split(grams[row], hashes)]
+            masks = np.r_[masks[keep], np.int64(1) << back]
+            at, text, grams = (np.r_[x[keep], x[row]] for x in (at, text, grams))
+        own = ids[text]
+        least = _least_of_equal(own, _group(grams, masks), lambda i, m=masks, p=at, b=a.buf: _context_rows(b, p[i], m[i]))
+        bucket = np.where(own > least, -1 - text % buckets.n, bucket)
+        order = np.lexsort((at, bucket))
+        bucket, masks, at, text = bucket[order], masks[order], at[order], text[order]
+        edges = runs(bucket)
+        ends = np.r_[edges[1:], len(bucket)]
+        before, after = _reach(masks)
+        sizes = np.where(bucket < 0, 0, before + after)
+        stops = np.cumsum(sizes)
+        data = a.buf[np.repeat(at - before - (stops - sizes), sizes) + np.arange(stops[-1])].tobytes()
+        bounds = np.r_[0, stops]
+        blobs = [pressed.compress(data[x:y]) if x < y else b"" for x, y in zip(bounds[edges].tolist(), bounds[ends].tolist(), strict=True)]
+        columns = [(ids[text], I64), (texts[text], I64), (at - a.offsets[text], I32), (masks, I32)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[edges], I32), *(kernel.lists(c.astype(t.to_pandas_dtype()), ends - edges, t) for c, t in columns), pa.array(blobs, pa.binary())],
+            ["bucket", "ids", "texts", "starts", "masks", "bytes"],
+        )
+
+
+def _sort(bucket: int, table: pa.Table, spread_over: int) -> pa.Table:
+    """Hits among one bucket's contexts: bytes of the strings that start in a smaller id too.
+
+    The strings of one context start within ``REACH`` bytes, so what they cover is one interval.
+    """
+    ids, texts, starts, masks = (kernel.flat_lists(table.column(c))[0] for c in ("ids", "texts", "starts", "masks"))
+    masks = masks.astype(np.int64)
+    if bucket >= 0:
+        opened = zstandard.ZstdDecompressor()
+        buf = np.frombuffer(b"".join([opened.decompress(x) for x in table.column("bytes").to_pylist()]), np.uint8)
+        before, after = _reach(masks)
+        at = np.cumsum(before + after) - after
+        gram = kernel.Rolling(31)
+        grams = kernel.mixed(gram.spans(gram.prefix(buf), at, at + GRAM))
+        least = _least_of_equal(ids, _group(grams, masks), lambda i: _context_rows(buf, at[i], masks[i]))
+        found = np.where(ids > least, masks, 0)
+        # The different contexts, for their smallest id: strings of one gram and place, for contexts that agree in a part.
+        shared = np.argsort(grams, kind="stable")
+        shared = np.sort(shared[repeats.several(ids[shared], runs(grams[shared]))])
+        shared = shared[ids[shared] == least[shared]]
+        row, back = _string_places(masks[shared])
+        row = shared[row]
+        windows = np.lib.stride_tricks.sliding_window_view(buf, SIZE) if len(buf) >= SIZE else None
+        string = at[row] - back
+        smallest = _least_of_equal(ids[row], _group(grams[row], back), lambda i: windows[string[i]])
+        hit = ids[row] > smallest
+        np.bitwise_or.at(found, row[hit], np.int64(1) << back[hit])
+        k = np.flatnonzero(found)
+        ids, texts, starts, masks = ids[k], texts[k], starts[k], found[k]
+    before, after = _reach(masks)
+    return repeats.answers(ids, texts, {"starts": starts - before, "lengths": before + after}, spread_over)
 
 
 def _cut(batches):
     """Texts without the covered bytes."""
-    anchors = _Anchors()
     for batch in kernel.chunks(batches, "text"):
-        a = anchors(batch.column(1))
-        n, rows = len(a.buf), np.arange(batch.num_rows)
-        settled, sizes = kernel.flat_lists(batch.column(2))
-        whole = kernel.members(a.text, a.hashes, np.repeat(rows, sizes), settled.astype(np.int64).view(U)) >= 0
-        starts, lengths = [a.lo[whole]], [(a.hi - a.lo)[whole]]
-        contexts, sizes = kernel.flat_lists(batch.column(3))
-        masks, _ = kernel.flat_lists(batch.column(4))
-        found = kernel.members(a.text, a.hashes, np.repeat(rows, sizes), contexts.astype(np.int64).view(U))
-        k = np.flatnonzero(found >= 0)
-        places = masks.astype(np.int64)[found[k]]
-        for back in range(REACH + 1):
-            on = k[(places >> back) & 1 == 1]
-            starts.append(a.at[on] - back)
-            lengths.append(np.full(len(on), SIZE))
-        gone = kernel.covered(np.concatenate(starts).astype(np.int64), np.concatenate(lengths).astype(np.int64), n)
+        buf, offsets = kernel.flat(batch.column(1))
+        (starts, counts), (lengths, _) = repeats.numbers(batch.column(2)), repeats.numbers(batch.column(3))
+        gone = kernel.covered(starts + np.repeat(offsets[:-1], counts), lengths, len(buf))
         sums = np.r_[0, np.cumsum(gone)]
-        removed = sums[a.offsets[1:]] - sums[a.offsets[:-1]]
+        removed = sums[offsets[1:]] - sums[offsets[:-1]]
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
-        heads = a.offsets[:-1][np.diff(a.offsets) > 0]
+        heads = offsets[:-1][np.diff(offsets) > 0]
         begins[heads] = gone[heads]
         spans = np.r_[0, np.cumsum(begins)]
-        kept = a.buf[~gone]
-        offsets = np.r_[0, np.cumsum(np.diff(a.offsets) - removed)].astype(np.int32)
+        ends = np.r_[0, np.cumsum(np.diff(offsets) - removed)].astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
-                pa.array(np.diff(a.offsets), I64),
+                pa.array(np.diff(offsets), I64),
                 pa.array(removed, I64),
-                pa.array(spans[a.offsets[1:]] - spans[a.offsets[:-1]], I64),
-                pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(kept)]),
+                pa.array(spans[offsets[1:]] - spans[offsets[:-1]], I64),
+                pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(buf[~gone])]),
             ],
             ["id", "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", pieces: int = repeats.BUCKET_PIECES // 2) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary)."""
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    buckets = bucket_count(docs.sparkSession)
-    packed = source.where("id is not null and text is not null").mapInArrow(lambda b: _pack(b, buckets), PACKED)
-    matched = packed.groupBy("bucket").applyInArrow(lambda k, t: _match(k[0].as_py(), t), MATCHED)
-    flat = lambda c: F.flatten(F.collect_list(c)).alias(c)
-    matched = matched.groupBy("id").agg(flat("settled"), flat("asked")).withColumnRenamed("id", "matched_id")
-    # Both joins are left joins of the same texts on the same key, so that Spark shuffles the texts once.
-    met = source.join(matched, F.col("id") == F.col("matched_id"), "left")
-    contexts = met.select("id", "text", "asked").mapInArrow(lambda b: _fetch(b, buckets), CONTEXTS)
-    hits = contexts.groupBy("bucket").applyInArrow(lambda t: _sort(t), HITS)
-    hits = hits.groupBy("id").agg(flat("contexts"), flat("places")).withColumnRenamed("id", "hit_id")
-    last = met.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", "settled", "contexts", "places")
-    return last.mapInArrow(lambda b: _cut(b), "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", key)
+    source = repeats.whole_number(docs, key, text)
+    filled = source.where("id is not null and text is not null")
+    buckets = repeats.planned(filled.mapInArrow(_count, repeats.COUNTED), pieces)
+    packed = filled.mapInArrow(lambda b: _pack(b, buckets), repeats.PACKED)
+    met = repeats.meet(source, repeats.shared_hashes(packed, buckets))
+    contexts = met.mapInArrow(lambda b: _fetch(b, buckets), CONTEXTS)
+    spans = repeats.spans(contexts, buckets, lambda k, t: _sort(k, t, buckets.n))
+    last = repeats.meet(source, spans).select("id", "text", "starts", "lengths")
+    return last.mapInArrow(_cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", key)
 
 
 def suffix_dedup_query(docs: DataFrame) -> DataFrame:

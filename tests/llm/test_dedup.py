@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -34,10 +35,7 @@ def texts(seed, n=40):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_suffix_dedup_equals_brute_force(spark, seed):
-    rows = texts(seed)
-    got = suffix_dedup.suffix_dedup(frame(spark, rows)).collect()
+def brute_bytes(rows):
     first = {}
     for d, t in rows:
         b = t.encode()
@@ -51,7 +49,59 @@ def test_suffix_dedup_equals_brute_force(spark, seed):
             if first[b[i : i + 50]] < d:
                 gone[i : i + 50] = True
         expected.append((d, len(b), int(gone.sum()), int((gone[1:] > gone[:-1]).sum() + gone[0]), bytes(x for x, g in zip(b, gone, strict=False) if not g)))
-    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(expected)
+    return sorted(expected)
+
+
+def cut_bytes(df, **how):
+    return sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.suffix_dedup(df, **how).collect())
+
+
+@pytest.mark.parametrize(("seed", "pieces"), [(0, 10**6), (1, 10**6), (2, 40), (3, 3)])
+def test_suffix_dedup_equals_brute_force(spark, seed, pieces):
+    """Also with buckets so small that most grams are split by their strings."""
+    rows = texts(seed)
+    assert cut_bytes(frame(spark, rows).repartition(3), pieces=pieces) == brute_bytes(rows)
+
+
+def test_no_hash_decides_a_removal(spark, monkeypatch):
+    """With gram hashes of 6 bits nearly all anchors meet others: the sort alone has to tell them apart."""
+    mixed = suffix_dedup.kernel.mixed
+
+    def few_bits(x):
+        return (mixed(x) >> np.uint64(58)) * np.uint64(0x0040_1004_0100_4011)
+
+    rows = texts(5)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array(range(len(rows))), pa.array([r[1] for r in rows])], ["id", "text_hash", "text"])
+    monkeypatch.setattr(suffix_dedup.kernel, "mixed", few_bits)
+    buckets = suffix_dedup.repeats.Buckets(np.ones(suffix_dedup.repeats.CELLS, np.int64), 4000)
+    def each(table, find):
+        keys = sorted(set(table.column("bucket").to_pylist()))
+        return pa.concat_tables([find(k, table.filter(pa.compute.equal(table.column("bucket"), k))) for k in keys])
+
+    def column(table, name):
+        by_row = dict(zip(table.column("text_hash").to_pylist(), table.column(name).to_pylist(), strict=True))
+        return pa.array([by_row.get(k) for k in range(len(rows))], pa.binary())
+
+    repeats = suffix_dedup.repeats
+    packed = pa.Table.from_batches(suffix_dedup._pack(iter([batch]), buckets))
+    found = each(each(packed, lambda k, t: repeats.shared(k, t, 5)), lambda k, t: repeats.hashes_of_rows(t))
+    asked = batch.append_column("hashes", column(found, "hashes"))
+    contexts = pa.Table.from_batches(suffix_dedup._fetch(iter([asked]), buckets))
+    spans = each(each(contexts, lambda k, t: suffix_dedup._sort(k, t, 5)), lambda k, t: repeats.spans_of_rows(t))
+    lists = [column(spans, c) for c in ("starts", "lengths")]
+    out = next(suffix_dedup._cut(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *lists], ["id", "text", "starts", "lengths"])])))
+    assert sorted(map(tuple, zip(*(c.to_pylist() for c in out.columns), strict=True))) == brute_bytes(rows)
+
+
+def test_hot_gram_with_many_contexts_and_one_long_text(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SORT_AT_ONCE", 500)
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    edges = [word(40) for _ in range(12)]
+    rows = [(k, f"{rng.choice(edges)}as is well known to all of us here{rng.choice(edges)}") for k in range(300)]
+    rows += [(1000 + k, "".join(f"{i % 700}-" for i in range(9000 + k))) for k in range(2)]
+    for pieces in (200, 10**6):
+        assert cut_bytes(frame(spark, rows).repartition(5), pieces=pieces) == brute_bytes(rows)
 
 
 def test_blind_trie_and_quicksort():
@@ -62,7 +112,7 @@ def test_blind_trie_and_quicksort():
     assert all(len({strings[i] for i in leaf}) == 1 for leaf in leaves)
     rows = np.array([list(("x" * 38 + s.decode()).ljust(50, "y").encode()) for s in strings], np.uint8)
     group = np.arange(300, dtype=np.uint64) % np.uint64(3)
-    classes = suffix_dedup.equal_classes(rows, group)
+    classes = suffix_dedup.deep_shallow(rows, group)
     assert len({(c, g, s) for c, g, s in zip(classes, group, strings, strict=True)}) == len(set(classes)) == len(set(zip(group, strings, strict=True)))
 
 
