@@ -6,15 +6,15 @@ in over half of the shingles' XXH64 values (seed 42); a text without words has f
 four or fewer differing bits; linked documents, directly or by way of others, form a component.
 
 1. Equal fingerprints collapse to one row with their smallest id (partial aggregation: a hot text costs a row a task).
-2. Index.  The 64 bits are cut into five segments.  Two fingerprints that differ in at most four bits agree in at least
-   one segment, so each fingerprint goes to five nodes, keyed by segment and value: the shared masked bit patterns.
-   Below such an upper node, its fingerprints are sorted by Gray rank and halved again and again; each lower node keeps
-   the bits that all its members share.  Pairs of nodes are compared from the top: if the shared bits of both differ
-   in more than four places the whole pair of groups is pruned, if even all bits that may differ are four or fewer the
-   whole pair is linked by one star, and otherwise its halves are compared.  No list of pairs is made: a node hands on
-   at most one link for each member, a spanning forest.
-3. Nodes that hold more than ``SPLIT`` fingerprints (near copies by the thousand) are cut once more: by five further
-   segments of what is left, so that a hot node spreads over tasks.
+2. Index.  Fingerprints are sorted by Gray rank, in which neighbours share many bits.  Two neighbours make a parent node
+   that holds the masked bit pattern they share, two such nodes the next, up to a root.  Pairs of nodes are followed from
+   the root: each pair carries the differences of the patterns so far, and at each level only bits that are newly shared
+   are compared and added.  Beyond four differences the whole pair of groups is pruned; if no members can come to more,
+   the whole pair is linked by one star.  No list of pairs is made: an index hands on at most one link for each member,
+   a spanning forest.
+3. An index holds some thousand fingerprints.  If there are more, each goes to five indexes by bits under five masks
+   without common bits: two fingerprints that differ in at most four bits meet in one of them.  The masks are as wide as
+   the count asks for; an index that is still too large (near copies by the thousand) is dealt out again by other bits.
 4. Components over links by rounds of large-star and small-star contraction with ``min`` (partial aggregation), the
    lineage cut at each round.
 
@@ -24,6 +24,9 @@ result; rows with a null id get the component of the others, and a component of
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,12 +38,16 @@ from caseweave.llm._spark import checkpointed
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-#: Bits of each segment, from the lowest: five segments, one more than the bits that may differ.
-SEGMENTS = (13, 13, 13, 13, 12)
-#: Fingerprints of an upper node beyond which it is cut by further segments.
-SPLIT = 20_000
+#: Fingerprints that one Gray-order index holds, about; one of more than ``SPLIT`` times as many is dealt out again.
+NODE = 2048
+SPLIT = 4
+#: Bits of a mask by which fingerprints are dealt to nodes, at most, and bits that bound a node when no more are unused.
+WIDEST = 12
+LAST_BITS = 16
+#: Fingerprints of the nodes that one call works on, about.
+BUCKET = 50_000
 PAIRS_AT_ONCE = 200_000
-LEAF = 8
+ALL = np.uint64(2**64 - 1)
 U = np.uint64
 I64 = pa.int64()
 
@@ -101,127 +108,138 @@ class Forest:
             self.root = up
 
 
-def link_node(prints: np.ndarray) -> np.ndarray:
-    """For the distinct fingerprints of one upper node, in Gray order: index of the root each is linked to."""
-    n = len(prints)
-    forest = Forest(n)
-    # levels[k]: for each block of LEAF * 2**k neighbours in Gray order, the bits set in all and the bits set in any
-    starts = np.arange(0, n, LEAF)
-    levels = [(np.bitwise_and.reduceat(prints, starts), np.bitwise_or.reduceat(prints, starts))]
+def gray_tree(prints: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Levels of an index over fingerprints in Gray order: for each node the bits its members share, as mask and pattern.
+
+    The lowest level is the fingerprints.  Two neighbours of a level make a parent, which takes over the bits in which
+    their patterns agree; the last level is the root.
+    """
+    levels = [(np.full(len(prints), ALL, U), prints)]
     while len(levels[-1][0]) > 1:
-        every, some = levels[-1]
-        halves = np.arange(0, len(every), 2)
-        levels.append((np.bitwise_and.reduceat(every, halves), np.bitwise_or.reduceat(some, halves)))
-    stack = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        mask, pattern = levels[-1]
+        left, right = np.arange(0, len(mask), 2), np.minimum(np.arange(1, len(mask) + 1, 2), len(mask) - 1)
+        shared = mask[left] & mask[right] & ~(pattern[left] ^ pattern[right])
+        levels.append((shared, pattern[left] & shared))
+    return levels
+
+
+def link_node(prints: np.ndarray, counts: dict | None = None) -> np.ndarray:
+    """For distinct fingerprints in Gray order: index of the root each is linked to.
+
+    Pairs of nodes are followed from the root down.  A pair carries the differing bits counted so far; on the way down
+    only bits that both nodes share, but not both of their parents did, are compared and added.  A pair with more than
+    ``MAX_BITS`` is pruned with all below it; a pair that cannot come to more, whatever its members, is linked by one
+    star.  ``counts`` takes the number of pairs seen, pruned, starred and linked.
+    """
+    n = len(prints)
+    forest, levels = Forest(n), gray_tree(prints)
+    counts = {} if counts is None else counts
+    top = np.zeros(1, np.int64)
+    stack = [(len(levels) - 1, top, top, np.zeros(1, np.int64), np.zeros(1, U))]  # level, both nodes, differences, bits compared
     while stack:
-        level, a, b = stack.pop()
+        level, a, b, differ, compared = stack.pop()
         if len(a) > PAIRS_AT_ONCE:
-            stack += [(level, a[k : k + PAIRS_AT_ONCE], b[k : k + PAIRS_AT_ONCE]) for k in range(0, len(a), PAIRS_AT_ONCE)]
-            continue
-        every, some = levels[level]
-        differ = (every[a] & ~some[b]) | (every[b] & ~some[a])  # shared by all of one, by none of the other
-        near = np.bitwise_count(differ) <= MAX_BITS
-        a, b = a[near], b[near]
-        may_differ = (some[a] | some[b]) & ~(every[a] & every[b])
-        close = np.bitwise_count(may_differ) <= MAX_BITS
-        width = LEAF << level
-        for x, y in zip(a[close].tolist(), b[close].tolist(), strict=True):  # one star for the whole pair of groups
-            members = np.r_[x * width : min(n, (x + 1) * width), y * width : min(n, (y + 1) * width)]
-            forest.link(members, np.full(len(members), members[0]))
-        a, b = a[~close], b[~close]
-        if not len(a):
+            parts = [slice(k, k + PAIRS_AT_ONCE) for k in range(0, len(a), PAIRS_AT_ONCE)]
+            stack += [(level, a[p], b[p], differ[p], compared[p]) for p in parts]
             continue
+        mask, pattern = levels[level]
+        both = mask[a] & mask[b]
+        differ = differ + np.bitwise_count((pattern[a] ^ pattern[b]) & both & ~compared)
+        near = differ <= MAX_BITS
+        close = near & (differ + (64 - np.bitwise_count(both).astype(np.int64)) <= MAX_BITS)
+        counts["seen"] = counts.get("seen", 0) + len(a)
+        counts["pruned"] = counts.get("pruned", 0) + int((~near).sum())
+        width = 1 << level
         if level:
+            for x, y in zip(a[close].tolist(), b[close].tolist(), strict=True):  # one star for the whole pair of groups
+                members = np.r_[x * width : min(n, (x + 1) * width), y * width : min(n, (y + 1) * width)]
+                forest.link(members, np.full(len(members), members[0]))
+                counts["starred"] = counts.get("starred", 0) + 1
+            go = near & ~close
+            a, b, differ, both = a[go], b[go], differ[go], both[go]
             same, size = a == b, len(levels[level - 1][0])
             left, right = 2 * a, 2 * b
-            a = np.r_[left, left + 1, left, (left + 1)[~same]]
-            b = np.r_[right, right + 1, right + 1, right[~same]]
-            there = (a < size) & (b < size)
-            stack.append((level - 1, a[there], b[there]))
-            continue
-        i = (a * LEAF)[:, None, None] + np.arange(LEAF)[None, :, None]
-        j = (b * LEAF)[:, None, None] + np.arange(LEAF)[None, None, :]
-        i, j = np.broadcast_arrays(i, j)
-        there = (i < n) & (j < n) & (i < j)
-        i, j = i[there], j[there]
-        linked = np.bitwise_count(prints[i] ^ prints[j]) <= MAX_BITS
-        forest.link(i[linked], j[linked])
+            c, d = np.r_[left, left + 1, left, (left + 1)[~same]], np.r_[right, right + 1, right + 1, right[~same]]
+            differ, both = np.r_[differ, differ, differ, differ[~same]], np.r_[both, both, both, both[~same]]
+            there = (c < size) & (d < size) & ((level > 1) | (c != d))
+            if there.any():
+                stack.append((level - 1, c[there], d[there], differ[there], both[there]))
+        else:
+            counts["linked"] = counts.get("linked", 0) + int(near.sum())
+            forest.link(a[near], b[near])
     forest.flatten()
     return forest.root
 
 
 def _links_of(table: pa.Table) -> pa.Table:
-    """Spanning forests of the upper nodes of one bucket."""
+    """Spanning forests of the nodes of one bucket."""
     node = table.column("node").to_numpy()
     prints = table.column("fp").to_numpy().view(U)
     order = np.lexsort((gray_rank(prints), node))
     node, prints = node[order], prints[order]
     starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
-    ends = np.r_[starts[1:], len(node)].astype(np.int64)
     left, right = [np.zeros(0, U)], [np.zeros(0, U)]
-    small = (ends - starts <= LEAF) & (ends - starts > 1)
-    if small.any():  # nodes of a few members are all leaf: compared at once
-        i = starts[small][:, None, None] + np.arange(LEAF)[None, :, None]
-        j = starts[small][:, None, None] + np.arange(LEAF)[None, None, :]
-        i, j = np.broadcast_arrays(i, j)
-        there = (i < j) & (j < ends[small][:, None, None])
-        i, j = i[there], j[there]
-        linked = np.bitwise_count(prints[i] ^ prints[j]) <= MAX_BITS
-        left.append(prints[i[linked]])
-        right.append(prints[j[linked]])
-    for s, e in zip(starts[ends - starts > LEAF].tolist(), ends[ends - starts > LEAF].tolist(), strict=True):
-        part = prints[s:e]
-        root = link_node(part)
-        moved = np.flatnonzero(root != np.arange(e - s))
-        left.append(part[moved])
-        right.append(part[root[moved]])
+    for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=False):
+        if e - s > 1:
+            part = prints[s:e]
+            root = link_node(part)
+            moved = np.flatnonzero(root != np.arange(e - s))
+            left.append(part[moved])
+            right.append(part[root[moved]])
     pair = [np.concatenate(x).view(np.int64) for x in (left, right)]
     return pa.table({"a": pa.array(pair[0], I64), "b": pa.array(pair[1], I64)})
 
 
-def _segment_masks(widths: tuple) -> list[int]:
-    masks, at = [], 0
-    for width in widths:
-        masks.append(((1 << width) - 1) << at)
-        at += width
-    return masks
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _rest_masks(mask: int, parts: int) -> list[int]:
-    """The bits outside ``mask`` cut into ``parts`` masks of about equal size."""
-    bits = [b for b in range(64) if not mask >> b & 1]
-    size = -(-len(bits) // parts)
-    return [sum(1 << b for b in bits[k : k + size]) for k in range(0, len(bits), size)]
+def deal_masks(used: int, width: int) -> list[int]:
+    """``MAX_BITS + 1`` masks of ``width`` bits each, or what is left, that share no bit with ``used`` nor each other."""
+    bits = [b for b in range(64) if not used >> b & 1]
+    parts = MAX_BITS + 1
+    width = min(width, len(bits) // parts)
+    return [sum(1 << b for b in bits[k::parts][:width]) for k in range(parts)]
+
 
+def near_links(prints: DataFrame, node_size: int = NODE) -> DataFrame:
+    """Links ``a, b`` between distinct fingerprints (column ``fp``) that connect all within four bits.
 
-def near_links(prints: DataFrame, split: int = SPLIT) -> DataFrame:
-    """Links ``a, b`` between distinct fingerprints (column ``fp``) that connect all within four bits."""
+    Each node is one Gray-order index.  If all fingerprints are more than a node holds they are dealt out: each goes to
+    five nodes, by the bits under five masks without common bits; two that differ in at most four bits agree under one of
+    them.  Masks have as many bits as the count asks for.  A node that is still too large is dealt out again by bits that
+    were not used for it, until it isn't, or so few bits are left that they bound it.
+    """
     spark = prints.sparkSession
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    masks = _segment_masks(SEGMENTS)
-    upper = F.explode(F.array(*(F.struct(F.lit(k).alias("segment"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("pattern")) for k, m in enumerate(masks))))
-    nodes = prints.select("fp", upper.alias("n")).select("fp", "n.segment", "n.pattern")
-    nodes = nodes.select("fp", "segment", F.xxhash64("segment", "pattern").alias("node"))
-    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > split).select("node")
-    large = checkpointed(sizes)
-    plain = nodes.select("fp", "node")
-    if not large.isEmpty():
-        hot = nodes.join(large, "node", "left_semi")
-        lower = F.array(*(
-            F.array(*(
-                F.xxhash64(F.lit(j), F.col("node"), F.col("fp").bitwiseAND(F.lit(_signed(m))))
-                for j, m in enumerate(_rest_masks(masks[k], MAX_BITS + 1))
-            ))
-            for k in range(len(masks))
-        ))
-        spread = hot.select("fp", F.explode(F.element_at(lower, F.col("segment") + 1)).alias("node"))
-        plain = plain.join(large, "node", "left_anti").unionByName(spread)
-    bucketed = plain.withColumn("bucket", F.pmod("node", F.lit(4 * buckets)))
-    links = bucketed.groupBy("bucket").applyInArrow(lambda t: _links_of(t.select(["node", "fp"])), "a long, b long")
+    total = prints.count()
+    nodes = prints.select("fp", F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("node"))
+    done, ways = [], [0]
+    width = max(0, math.ceil(math.log2(max(1, total) / node_size)))
+    while ways and width:
+        width, again = min(width, WIDEST), {}
+        for used in ways:
+            again[used] = [m for m in deal_masks(used, width) if m]
+        ways = sorted({used | m for used, masks in again.items() for m in masks})
+        if len(again) == 1:
+            masks = F.array(*(F.lit(_signed(m)) for m in again[0]))
+            spread = nodes.select("fp", "used", "node", F.explode(masks).alias("mask"))
+        else:  # five times as many rows a round, few rounds
+            rows = [(_signed(used), [_signed(m) for m in masks]) for used, masks in again.items()]
+            table = spark.createDataFrame(rows, "used long, masks array<long>")
+            spread = nodes.join(F.broadcast(table), "used").select("fp", "used", "node", F.explode("masks").alias("mask"))
+        nodes = spread.select(
+            "fp", F.col("used").bitwiseOR(F.col("mask")).alias("used"), F.xxhash64("node", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("node")
+        )
+        large = checkpointed(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SPLIT * node_size))
+        if large.isEmpty() or 64 - min(w.bit_count() for w in ways) < LAST_BITS:
+            break
+        done.append(nodes.join(large.select("node"), "node", "left_anti").select("fp", "node"))
+        nodes = nodes.join(large.select("node"), "node", "left_semi")
+        width = math.ceil(math.log2(large.agg(F.max("n")).first()[0] / node_size))
+    every = reduce(DataFrame.unionByName, [*done, nodes.select("fp", "node")])
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), 5 * total // BUCKET)
+    dealt = every.withColumn("bucket", F.pmod("node", F.lit(buckets))).repartition(buckets, "bucket")
+    links = dealt.groupBy("bucket").applyInArrow(lambda t: _links_of(t.select(["node", "fp"])), "a long, b long")
     return links.distinct()
 
 
@@ -261,13 +279,13 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("fp"), F.col("b").alias("root")).unionByName(roots)
 
 
-def simhash(docs: DataFrame, text: str = "text", key: str = "doc_id", split: int = SPLIT) -> DataFrame:
+def simhash(docs: DataFrame, text: str = "text", key: str = "doc_id", node_size: int = NODE) -> DataFrame:
     """One row per row of ``docs``: the id, ``fingerprint`` (16 hex digits) and ``component_id``."""
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     printed = checkpointed(source.mapInArrow(_fingerprints, f"id {kind}, fp long"))
     prints = checkpointed(printed.groupBy("fp").agg(F.min("id").alias("least")))
-    grouped = components(near_links(prints.select("fp"), split))
+    grouped = components(near_links(prints.select("fp"), node_size))
     rooted = prints.join(grouped, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(smallest, "root").select("fp", "component_id")

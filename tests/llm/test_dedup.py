@@ -221,19 +221,42 @@ def test_simhash_equals_brute_force(spark, sf_dir):
     assert got == {d: (f"{p:016x}", rows[root][0]) for (d, _), p, root in zip(rows, prints, roots, strict=True)}
 
 
-@pytest.mark.parametrize("split", [10**6, 150])
-def test_links_of_dense_families(spark, split):
+@pytest.mark.parametrize("node_size", [10**6, 150, 12])
+def test_links_of_dense_families(spark, node_size):
     rng = np.random.default_rng(1)
     bit = lambda shape: np.uint64(1) << rng.integers(0, 64, shape).astype(np.uint64)
     base = rng.integers(0, 2**63, 30, dtype=np.uint64)
     prints = np.unique(np.r_[(base[:, None] ^ bit((30, 20)) ^ bit((30, 20))).ravel(), base[0] ^ rng.integers(0, 2**12, 900, dtype=np.uint64)])
     df = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "fp long")
-    root = {r.fp: r.root for r in simhash.components(simhash.near_links(df, split)).collect()}
+    root = {r.fp: r.root for r in simhash.components(simhash.near_links(df, node_size)).collect()}
     got = [root.get(int(x), int(x)) for x in prints.view(np.int64)]
     expected = brute_roots(prints)
     assert len(set(zip(got, expected, strict=True))) == len(set(got)) == len(set(expected))
 
 
+def test_masks_that_deal_fingerprints_are_apart():
+    for used in (0, 0xFFF, 2**52 - 1):
+        masks = simhash.deal_masks(used, 12)
+        assert len(masks) == 5 and sum(m.bit_count() for m in masks) == sum(masks).bit_count() and not sum(masks) & used
+
+
+def test_gray_index_prunes_and_links(spark, sf_dir):
+    """On the documents of the largest tables: most pairs of groups are pruned above the leaves, links come from the index."""
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.1')}/documents.parquet")
+    found = docs.select(F.lit(0).alias("id"), "text").mapInArrow(simhash._fingerprints, "id int, fp long").select("fp").distinct()
+    prints = found.toArrow().column("fp").to_numpy().view(np.uint64)
+    prints = prints[np.argsort(simhash.gray_rank(prints))]
+    levels, counts = simhash.gray_tree(prints), {}
+    for level, (mask, pattern) in enumerate(levels):
+        owner = np.arange(len(prints)) >> level
+        assert not ((prints ^ pattern[owner]) & mask[owner]).any()
+    root = simhash.link_node(prints, counts)
+    pairs = len(prints) * (len(prints) - 1) // 2
+    assert counts["linked"] > 0 and counts["pruned"] > 0 and counts["seen"] < pairs
+    near = [(i, j) for i in range(0, len(prints), 50) for j in np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= 4)]
+    assert all(root[i] == root[j] for i, j in near)
+
+
 def test_chain_of_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
     roots = {r.fp: r.root for r in simhash.components(links).collect()}
