@@ -6,13 +6,14 @@ windows of 13 words; an item of fewer words, but not none, is one window.  Each
 collision counts.  A word inside any occurrence of a window is hit.  A document is contaminated when at least one word
 in twenty is hit; a pipeline drops such documents, or takes ``clean_text``, the text without its hit words.
 
-The set is broadcast only if the benchmark's text is at most ``broadcast_bytes``, which is measured first.  A larger
-benchmark is worked through in parts of about that size: one scan of the documents for each, written to the shared
-folder before the next part is loaded, and the found positions merged by document; nothing is left out.
+The set is broadcast only if the benchmark's text is at most ``broadcast_bytes``, which is measured first; it is held in
+arrays of some six times that size (``NgramSet``).  With a larger benchmark, windows of the documents whose hash passes a
+filter of fixed size are shuffled to the items' windows and joined on their words: same result, any size.
 
 Defined results: null and empty texts have no words and are clean; rows with equal ids are judged each for itself; a
 null id is passed on; repeated benchmark rows count once for each item id; items without words, or without id, are left
-out of the item list (the words of an item without id still count as hits).
+out of the item list (the words of an item without id still count as hits); ids of documents and items may have any
+type, an item's is named as text; a single long text is one batch.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from caseweave.llm._spark import checkpointed
 
 WINDOW_WORDS = 13
 BROADCAST_BYTES = 32_000_000
+#: Bits of the filter that is broadcast where the set isn't: 16 MB.
+FILTER_BITS = 1 << 27
 U = np.uint64
 I64 = pa.int64()
 
@@ -37,27 +40,6 @@ NORMAL = bytes(kernel.LOWER[b] if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= kern
 NORMAL_ARRAY = np.frombuffer(NORMAL, np.uint8)
 
 
-class NgramSet:
-    """Windows of a bounded set of benchmark items: by length, sorted hashes, words and item ids."""
-
-    def __init__(self, items: list[tuple], size: int):
-        by_length: dict[int, dict[bytes, set]] = {}
-        for item_id, text in items:
-            words = (text or "").encode().translate(NORMAL).split()
-            if words:
-                n = min(size, len(words))
-                grams = by_length.setdefault(n, {})
-                for i in range(len(words) - n + 1):
-                    grams.setdefault(b" ".join(words[i : i + n]), set()).add(item_id)
-        self.tables = []
-        for n, grams in sorted(by_length.items()):
-            names = list(grams)
-            column = pa.array(names, pa.binary())
-            hashes = _Roll().grams(column, n)
-            order = np.argsort(hashes, kind="stable")
-            self.tables.append((n, hashes[order], [names[k] for k in order], [grams[names[k]] for k in order]))
-
-
 class _Roll:
     def __init__(self):
         self.of_bytes, self.of_words = kernel.Rolling(21), kernel.Rolling(22)
@@ -69,32 +51,69 @@ class _Roll:
         values = kernel.mixed(self.of_bytes.spans(self.of_bytes.prefix(buf), starts, ends))
         return buf, starts, ends, first, self.of_words.prefix(values)
 
-    def grams(self, column: pa.Array, n: int) -> np.ndarray:
-        """Hash of each row, which is exactly ``n`` words."""
-        *_, first, sums = self.words(column)
-        return kernel.mixed(self.of_words.spans(sums, first[:-1], first[:-1] + n))
+    def windows(self, sums: np.ndarray, n: int) -> np.ndarray:
+        return kernel.mixed(self.of_words.windows(sums, n))
+
+
+def _item_windows(first: np.ndarray, size: int):
+    """For each length of window: the length, the first word of each window and the item it is of."""
+    counts = np.diff(first)
+    length = np.minimum(size, counts)
+    for n in np.unique(length[length > 0]).tolist():
+        items = np.flatnonzero(length == n)
+        many = counts[items] - n + 1
+        ahead = np.cumsum(many) - many
+        yield n, np.repeat(first[:-1][items] - ahead, many) + np.arange(many.sum()), np.repeat(items, many)
+
+
+class NgramSet:
+    """Windows of a bounded set of benchmark items: by length, sorted hashes, first words and item numbers.
+
+    The items' words are held once, as bytes and the start and end of each, so that the set takes some six times the
+    bytes of the items' texts.
+    """
+
+    def __init__(self, names: list, column: pa.Array, size: int):
+        roll, self.names = _Roll(), names
+        buf, starts, ends, first, sums = roll.words(column)
+        self.tables = []
+        for n, at, items in _item_windows(first, size):
+            hashes = roll.windows(sums, n)[at]
+            order = np.argsort(hashes, kind="stable")
+            self.tables.append((n, hashes[order], at[order].astype(np.int32), items[order].astype(np.int32)))
+        del sums
+        self.buf, self.starts, self.ends = buf, starts.astype(np.int32), ends.astype(np.int32)
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.buf, self.starts, self.ends)) + sum(x.nbytes for t in self.tables for x in t[1:])
+
+
+def _gram(data: bytes, starts: np.ndarray, ends: np.ndarray, at: int, n: int) -> bytes:
+    return b" ".join([data[s:e] for s, e in zip(starts[at : at + n].tolist(), ends[at : at + n].tolist(), strict=True)])
 
 
 def _scan(batches, shared):
     """Per document: number of words, hit words (merged, as starts and ends), ids of the items found."""
-    roll, tables = _Roll(), shared.value.tables
+    roll, found_in = _Roll(), shared.value
+    item_data = found_in.buf.tobytes()
     for batch in kernel.chunks(batches, "text"):
         buf, starts, ends, first, sums = roll.words(batch.column(1))
         data, n_docs = buf.tobytes(), batch.num_rows
         text = np.repeat(np.arange(n_docs), np.diff(first))
         edges = np.zeros(len(starts) + 1, np.int64)
         items: dict[int, set] = {}
-        for n, hashes, names, ids in tables:
-            h = kernel.mixed(roll.of_words.windows(sums, n))
+        for n, hashes, places, owners in found_in.tables:
+            h = roll.windows(sums, n)
             place = np.searchsorted(hashes, h)
             place[place == len(hashes)] = 0
             for i in np.flatnonzero((hashes[place] == h) & (text[: len(h)] == text[n - 1 :])).tolist():
-                gram, k = b" ".join([data[starts[j] : ends[j]] for j in range(i, i + n)]), int(place[i])
+                gram, k = _gram(data, starts, ends, i, n), int(place[i])
                 while k < len(hashes) and hashes[k] == h[i]:
-                    if names[k] == gram:
+                    if _gram(item_data, found_in.starts, found_in.ends, int(places[k]), n) == gram:
                         edges[i] += 1
                         edges[i + n] -= 1
-                        items.setdefault(int(text[i]), set()).update(ids[k])
+                        items.setdefault(int(text[i]), set()).add(found_in.names[owners[k]])
                     k += 1
         inside, spans_s, spans_e, counts = np.cumsum(edges[:-1]) > 0, [], [], np.zeros(n_docs, np.int64)
         for k in sorted(items):  # only documents with a hit
@@ -105,11 +124,76 @@ def _scan(batches, shared):
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         found = [sorted(items.get(k, set()) - {None}) for k in range(n_docs)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(np.diff(first), I64), kernel.lists(join(spans_s), counts, I64), kernel.lists(join(spans_e), counts, I64), pa.array(found, pa.list_(I64))],
+            [*batch.columns, pa.array(np.diff(first), I64), kernel.lists(join(spans_s), counts, I64), kernel.lists(join(spans_e), counts, I64), pa.array(found, pa.list_(pa.string()))],
             [*batch.schema.names, "n_words", "span_starts", "span_ends", "items"],
         )
 
 
+def _grams_of_items(batches, size: int):
+    """Each window of each item: its length, hash, words and item."""
+    roll = _Roll()
+    for batch in kernel.chunks(batches, "text"):
+        buf, starts, ends, first, sums = roll.words(batch.column(1))
+        data = buf.tobytes()
+        for n, at, items in _item_windows(first, size):
+            grams = [_gram(data, starts, ends, i, n) for i in at.tolist()]
+            arrays = [pa.array(np.full(len(at), n), pa.int32()), pa.array(roll.windows(sums, n)[at].view(np.int64), I64), pa.array(grams, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column(0).take(pa.array(items))], ["n", "hash", "gram", "item"])
+
+
+def _filter_bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return hashes & U(FILTER_BITS - 1), (hashes >> U(32)) & U(FILTER_BITS - 1)
+
+
+def _grams_of_documents(batches, lengths: list, shared):
+    """Those windows of each document whose hash passes the filter of the items' hashes."""
+    roll, bits = _Roll(), shared.value
+    passes = lambda b: (bits[b >> U(6)] >> (b & U(63))) & U(1) == 1
+    for batch in kernel.chunks(batches, "text"):
+        buf, starts, ends, first, sums = roll.words(batch.column(1))
+        data, text = buf.tobytes(), np.repeat(np.arange(batch.num_rows), np.diff(first))
+        for n in lengths:
+            h = roll.windows(sums, n)
+            one, two = _filter_bits(h)
+            at = np.flatnonzero(passes(one) & passes(two) & (text[: len(h)] == text[n - 1 :]))
+            grams = [_gram(data, starts, ends, i, n) for i in at.tolist()]
+            arrays = [pa.array(np.full(len(at), n), pa.int32()), pa.array(h[at].view(np.int64), I64), pa.array(grams, pa.binary()), pa.array(at - first[text[at]], I64)]
+            row = pa.array(text[at])
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column(0).take(row), batch.column(2).take(row)], ["n", "hash", "gram", "at", "found_id", "found_hash"])
+
+
+def _count_words(batches):
+    roll = _Roll()
+    for batch in kernel.chunks(batches, "text"):
+        yield batch.append_column("n_words", pa.array(np.diff(roll.words(batch.column(1))[3]), I64))
+
+
+def _by_shuffle(source: DataFrame, bench: DataFrame, columns: str, size: int) -> DataFrame:
+    """What ``_scan`` finds, for any size of benchmark: windows meet the items' windows by a join on their words.
+
+    A filter of the items' hashes, of a fixed size, keeps most windows of the documents from the shuffle.
+    """
+    grams = checkpointed(bench.mapInArrow(lambda b: _grams_of_items(b, size), "n int, hash long, gram binary, item string"))
+    lengths = sorted(r["n"] for r in grams.select("n").distinct().collect())  # at most ``size`` rows
+    low, high = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned("hash", 32).bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = grams.select(F.explode(F.array(low, high)).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 64, U)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(U)
+    shared = source.sparkSession.sparkContext.broadcast(table)
+    named = grams.groupBy("n", "hash", "gram").agg(F.collect_set("item").alias("items"))  # nulls are left out
+    hashed = source.select("id", "text", F.xxhash64("text").alias("text_hash"))
+    kind = source.schema["id"].dataType.simpleString()
+    mine = hashed.mapInArrow(lambda b: _grams_of_documents(b, lengths, shared), f"n int, hash long, gram binary, at long, found_id {kind}, found_hash long")
+    hits = mine.distinct().join(named, ["n", "hash", "gram"])
+    by_row = hits.groupBy("found_id", "found_hash").agg(
+        F.collect_list("at").alias("span_starts"), F.collect_list(F.col("at") + F.col("n")).alias("span_ends"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
+    )
+    counted = source.mapInArrow(_count_words, f"{columns}, n_words bigint").withColumn("text_hash", F.xxhash64("text"))
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
+    return counted.join(by_row, same, "left").drop("found_id", "found_hash", "text_hash")
+
+
 def _merge(starts: list, ends: list) -> tuple[list, list]:
     merged: list[list[int]] = []
     for s, e in sorted(zip(starts, ends, strict=True)):
@@ -129,7 +213,7 @@ def _verdict(batches, min_share: int, with_cut: bool, keep: bool):
         for k in range(batch.num_rows):
             starts, ends = _merge(rows["span_starts"][k] or [], rows["span_ends"][k] or [])
             n_hit = sum(ends) - sum(starts)
-            names = sorted(str(i) for i in set(rows["items"][k] or []))
+            names = sorted(set(rows["items"][k] or []))
             bad = n_hit > 0 and min_share * n_hit >= rows["n_words"][k]
             out["n_hit"].append(n_hit)
             out["n_items"].append(len(names))
@@ -157,14 +241,6 @@ def _without(text: str, starts: list, ends: list) -> str:
     return b"".join([*parts, data[at:]]).decode()
 
 
-def _parts(bench: DataFrame, limit: int):
-    """The benchmark in parts of at most about ``limit`` bytes of text, and whether another part follows."""
-    total = bench.agg(F.sum(F.octet_length("text") + 64).alias("n")).first()["n"] or 0
-    count = 1 if total <= limit else -(-2 * total // limit)
-    for k in range(count):
-        yield bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).collect(), k + 1 < count
-
-
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id",
     size: int = WINDOW_WORDS, min_share: int = 20, keep: bool = False, with_cut: bool = False, broadcast_bytes: int = BROADCAST_BYTES,
@@ -173,28 +249,19 @@ def decontaminate(
 
     ``with_cut`` adds ``clean_text``.  ``keep`` passes the other columns of ``docs`` on, and its text.
     """
-    context = docs.sparkSession.sparkContext
     others = [c for c in docs.columns if c not in (key, text)] if keep else []
     kept = {c: f"__kept_{k}" for k, c in enumerate(others)}
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), *(F.col(c).alias(n) for c, n in kept.items()))
-    bench = benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
-    found = "n_words bigint, span_starts array<bigint>, span_ends array<bigint>, items array<bigint>"
+    bench = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
-    scanned = None
-    for part, more in _parts(bench, broadcast_bytes):
-        shared = context.broadcast(NgramSet([tuple(r) for r in part], size))
-        if scanned is None:
-            scanned = source.mapInArrow(lambda b, s=shared: _scan(b, s), f"{columns}, {found}")
-        else:  # the next part scans the same rows and adds to what was found
-            spans = ("span_starts", "span_ends", "items")
-            renamed = scanned.select("id", "text", *kept.values(), *(F.col(c).alias(f"was_{c}") for c in spans))
-            was = ", ".join(f"`was_{c}` array<bigint>" for c in spans)
-            again = renamed.mapInArrow(lambda b, s=shared: _scan(b, s), f"{columns}, {was}, {found}")
-            both = [F.concat(c, f"was_{c}").alias(c) for c in spans]
-            scanned = again.select("id", "text", *kept.values(), "n_words", *both)
-        if more:  # so that no more than one part is in memory
-            scanned = checkpointed(scanned)
-            shared.destroy()
+    total = bench.agg(F.sum(F.octet_length("text") + 64).alias("n")).first()["n"] or 0
+    if total <= broadcast_bytes:
+        items = bench.toArrow().combine_chunks()
+        shared = docs.sparkSession.sparkContext.broadcast(NgramSet(items.column("item").to_pylist(), items.column("text"), size))
+        found = "n_words bigint, span_starts array<bigint>, span_ends array<bigint>, items array<string>"
+        scanned = source.mapInArrow(lambda b: _scan(b, shared), f"{columns}, {found}")
+    else:
+        scanned = _by_shuffle(source, bench, columns, size)
     id_type = source.schema["id"].dataType.simpleString()
     out = f"id {id_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean" + ", clean_text string" * with_cut
     out += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name != "id" and (keep or f.name != "text"))

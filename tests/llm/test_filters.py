@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from caseweave.llm import decontaminate as dc
@@ -45,6 +46,36 @@ def test_decontamination_in_parts_and_cut(spark):
     assert dc.decontaminate(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_large_set_of_items_is_held_in_bounded_arrays():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 50_000, 200)) for _ in range(3500)]
+    size = sum(map(len, texts))
+    found = dc.NgramSet([str(k) for k in range(len(texts))], pa.array(texts), dc.WINDOW_WORDS)
+    assert size > 4_000_000 and found.nbytes < 8 * size
+    assert dc.BROADCAST_BYTES * found.nbytes / size < 256_000_000
+
+
+def test_item_ids_of_any_type_both_ways(spark, sf_dir):
+    docs, bench = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "benchmark"))
+    named = bench.withColumn("item_id", F.concat(F.lit("item-"), "item_id"))
+    docs = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")).unionByName(docs.limit(20).withColumn("doc_id", F.lit(None).cast("string"))).repartition(5)
+    whole, shuffled = (sorted(map(repr, dc.decontaminate(docs, named, broadcast_bytes=n).collect())) for n in (10**9, 0))
+    assert whole == shuffled and len(whole) == docs.count()
+    plain = {f"d{r.doc_id}": (r.n_hit, r.n_items, r.contaminated) for r in dc.decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), bench).collect()}
+    assert {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in dc.decontaminate(docs, named).where("doc_id is not null").collect()} == plain
+
+
+def test_decontamination_of_one_long_text_and_a_hot_window(spark, monkeypatch):
+    monkeypatch.setattr(dc.kernel, "CHUNK_BYTES", 2000)
+    item = " ".join(f"q{k}" for k in range(13))
+    docs = spark.createDataFrame([(k, item) for k in range(200)] + [(1000, "x " * 5000 + item)], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(k, f"{item} z{k}") for k in range(30)], "item_id long, text string")
+    for limit in (10**9, 0):
+        out = {r.doc_id: r for r in dc.decontaminate(docs, bench, broadcast_bytes=limit).collect()}
+        assert all(out[k].n_hit == 13 and out[k].n_items == 30 and out[k].contaminated for k in range(200))
+        assert out[1000].n_words == 5013 and out[1000].n_hit == 13 and not out[1000].contaminated
+
+
 def test_url_parts_and_rules(spark):
     urls = ["HTTP://A.Example.COM/en/7?x", "https://example.com/en/8", "x://example.net/de/81", "x://b.net/de/", "x://netx/de/", None, "no scheme", "://", "x://h?q#f", "x://org/es/1"]
     df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
@@ -66,6 +97,26 @@ def test_mined_rules_block_what_labels_show(spark):
     assert out.where("verdict = 'block'").count() == 50 and out.where("host like 'spam%' and verdict = 'allow'").count() == 0
 
 
+def test_rules_without_meaning_are_pruned(spark):
+    """Labels that URLs say nothing of give no rule, however many combinations there are."""
+    rng = np.random.default_rng(4)
+    pages = [(i, f"http://h{rng.integers(9)}.host{rng.integers(9)}.io/{rng.choice(list('abcdef'))}/p?k{rng.integers(6)}=1") for i in range(1500)]
+    labels = spark.createDataFrame([(i, int(rng.random() > 0.25), 0) for i in range(1500)], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    assert uf.mined_rules(df, labels, min_chi_square=0.0).count() > 0
+    assert uf.mined_rules(df, labels).count() == 0 and uf.filter_urls(df, labels).where("verdict = 'block'").count() == 0
+
+
+def test_hot_host_and_long_url_with_sets_broadcast_or_salted(spark):
+    long = "http://spam.x.io/" + "a/" * 20_000
+    pages = [(i, "http://spam.x.io/p" if i % 3 == 0 else f"http://fine{i % 40}.y.io/p") for i in range(600)] + [(600, long), (601, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 != 0), 0) for i in range(600)], "doc_id long, quality int, toxic int")
+    whole, salted = (sorted(map(tuple, uf.filter_urls(df, labels, broadcast_bytes=n).collect())) for n in (10**9, 0))
+    assert whole == salted and len(whole) == 602
+    assert {r[0] for r in whole if r[4] == "block"} == {i for i in range(600) if i % 3 == 0} | {600}
+
+
 def test_classifier_on_held_out_rows(spark, sf_dir):
     folder = sf_dir.replace("0.001", "0.01")
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
