@@ -5,10 +5,11 @@ the rule's; the longest fitting rule wins.  They are compiled into one expressio
 
 Where no stated rule fits, mined rules decide.  A URL's tokens are its scheme, host labels, path parts (numbers as one
 token), query keys and fragment.  Labelled URLs, with a token for a bad label added, are mined by Spark's FP-growth.
-Rules ``tokens -> bad`` are pruned by support and confidence, and by dropping each rule that a smaller one covers.
-Matching is by inverted index: each rule is listed under its rarest token; a URL's tokens look up candidate rules by an
-equi-join, and a candidate fits if the URL has all its tokens.  Only distinct token sets are matched, so a hot host
-costs its token set once, and the rules are never collected.
+Rules ``tokens -> bad`` are pruned by support and confidence, by the significance of their bad share (chi-square), and
+by dropping each rule that a smaller one covers.  Matching is by inverted index: each rule is listed under its rarest
+token; a URL's tokens look up candidate rules by an equi-join, and a candidate fits if the URL has all its tokens.  Only
+distinct token sets are matched, and the sets that some rule fits are broadcast to the pages (or salted, if large), so a
+hot host costs its token set once.  The rules are never collected.
 
 Defined results: a null URL or one without ``://`` has empty host and path and no tokens, so it is allowed; repeated
 rows each get their verdict; labels without a page, and pages without a label, take no part in mining; with no labelled
@@ -21,6 +22,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.llm._spark import checkpointed
+
 #: The contract's rules.
 RULES = (
     ("block", "com", "/en/"),
@@ -36,6 +39,12 @@ MIN_SUPPORT = 0.002
 MIN_ROWS = 5
 #: More likely bad than not.
 MIN_CONFIDENCE = 0.5
+#: Chi-square of a rule's bad share against that of all labelled rows: five standard deviations, which some hundred
+#: thousand combinations without meaning don't reach by chance (one in 3.5 million does).
+MIN_CHI_SQUARE = 25.0
+#: Bytes of bad token sets that are broadcast at most, and parts that a set's pages are dealt to beyond.
+BROADCAST_BYTES = 32_000_000
+SALTS = 64
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
@@ -72,8 +81,9 @@ def tokens_of(url: Column) -> Column:
 
 
 def mined_rules(
-    pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_rows: int = MIN_ROWS
-) -> DataFrame:
+    pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+    min_rows: int = MIN_ROWS, min_chi_square: float = MIN_CHI_SQUARE,
+) -> DataFrame:
     """Rules ``antecedent`` (sorted tokens) -> bad, minimal ones only."""
     judged = labels.where("quality is not null or toxic is not null")
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
@@ -81,16 +91,22 @@ def mined_rules(
     rows = pages.join(judged, F.col("page_id") == F.col("doc_id")).select(tokens_of(F.col("url")).alias("tokens"), "bad")
     rows = rows.where(F.size("tokens") > 0)
     items = F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
-    baskets = rows.select(items.alias("items"))
-    n = baskets.count()
+    baskets = checkpointed(rows.select(items.alias("items"), F.col("bad").cast("int").alias("bad")))
+    n, n_bad = baskets.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     if not n:
         return pages.sparkSession.createDataFrame([], "antecedent array<string>")
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / n)), minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(F.array_sort("antecedent").alias("antecedent"))
-    # a rule that contains a smaller rule adds nothing: look each rule's tokens up in an index of the others
-    by_token = found.select(F.col("antecedent").alias("small"), F.element_at("antecedent", 1).alias("token"))
+    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
+    hits = F.round(F.col("support") * n)
+    fits = F.round(hits / F.col("confidence"))
+    apart = F.pow(hits * n - fits * n_bad, F.lit(2)) >= F.lit(float(min_chi_square)) * fits * n_bad * (n - n_bad)
+    found = checkpointed(found.where(apart & (hits * n > fits * n_bad)).select(F.array_sort("antecedent").alias("antecedent")))
+    # a rule that contains a smaller rule adds nothing: each rule is listed under its rarest token, and looked up by all tokens
+    spread = found.select("antecedent", F.explode("antecedent").alias("token"))
+    often = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rarest = spread.join(often, "token").groupBy("antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
     inside = (F.size("small") < F.size("antecedent")) & (F.size(F.array_except("small", "antecedent")) == 0)
-    larger = found.select("antecedent", F.explode("antecedent").alias("token")).join(by_token, "token").where(inside)
+    larger = spread.join(rarest.withColumnRenamed("antecedent", "small"), "token").where(inside)
     return found.join(larger.select("antecedent").distinct(), "antecedent", "left_anti")
 
 
@@ -104,16 +120,33 @@ def matched_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return met.select("tokens").distinct()
 
 
-def filter_urls(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, **mining) -> DataFrame:
+def marked(pages: DataFrame, sets: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+    """``pages`` with ``bad``: true where ``tokens`` is one of ``sets``.
+
+    The sets are broadcast if their measured size allows it, so that pages aren't shuffled; else both sides are salted,
+    so that the pages of one set go to many tasks.
+    """
+    sets = checkpointed(sets.withColumn("bad", F.lit(True)))
+    size = sets.agg(F.sum(F.octet_length(F.array_join("tokens", ",")) + 64)).first()[0] or 0
+    if size <= broadcast_bytes:
+        return pages.join(F.broadcast(sets), "tokens", "left")
+    salted = pages.withColumn("__salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)))
+    copies = sets.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(copies, ["tokens", "__salt"], "left").drop("__salt")
+
+
+def filter_urls(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, broadcast_bytes: int = BROADCAST_BYTES, **mining) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict``."""
     url = F.col("url")
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens"))
     name, verdict = stated_rule(F.col("host"), F.col("path"), rules)
     judged = judged.withColumns({"rule": name, "stated": verdict})
-    bad = matched_sets(judged.select("tokens").distinct(), mined_rules(pages, labels, **mining)).withColumn("bad", F.lit(True))
-    out = judged.join(bad, "tokens", "left")
-    mined = F.when(F.col("bad"), "block").otherwise("allow")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("stated", mined).alias("verdict"))
+    mined = checkpointed(mined_rules(pages, labels, **mining))
+    if mined.isEmpty():
+        out = judged.withColumn("bad", F.lit(False))
+    else:
+        out = marked(judged, matched_sets(judged.select("tokens").distinct(), mined), broadcast_bytes)
+    return out.select("page_id", "host", "path", "rule", F.coalesce("stated", F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"))
 
 
 def url_filter_query(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -139,9 +172,13 @@ l AS (SELECT doc_id, bool_or(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1)
 b AS (SELECT r, tokens, bad FROM t JOIN l ON page_id = doc_id WHERE len(tokens) > 0),
 subsets AS (SELECT r, bad, list_filter(tokens, lambda x, i: (k >> (i - 1)) & 1 = 1) AS s
             FROM (SELECT r, bad, tokens, unnest(range(1, CAST(power(2, len(tokens)) AS BIGINT))) AS k FROM b)),
-rules AS (SELECT s FROM subsets GROUP BY s
+c AS (SELECT count(*) AS every_row, count(*) FILTER (bad) AS every_bad FROM b),
+rules AS (SELECT s FROM subsets CROSS JOIN c GROUP BY s
           HAVING count(*) FILTER (bad) >= ceil(greatest({MIN_SUPPORT}, {MIN_ROWS} / (SELECT count(*) FROM b)) * (SELECT count(*) FROM b))
-             AND count(*) FILTER (bad) / count(*) >= {MIN_CONFIDENCE}),
+             AND count(*) FILTER (bad) / count(*) >= {MIN_CONFIDENCE}
+             AND count(*) FILTER (bad) * any_value(every_row) > count(*) * any_value(every_bad)
+             AND power(CAST(count(*) FILTER (bad) * any_value(every_row) - count(*) * any_value(every_bad) AS DOUBLE), 2)
+                 >= {MIN_CHI_SQUARE} * CAST(count(*) AS DOUBLE) * any_value(every_bad) * (any_value(every_row) - any_value(every_bad))),
 hit AS (SELECT DISTINCT r FROM t JOIN rules ON list_has_all(tokens, s)),
 j AS (SELECT r, page_id, host, path, CASE {" ".join(f"WHEN {c} THEN '{n}'" for _, n, c in _FITS)} END AS rule,
              CASE {" ".join(f"WHEN {c} THEN '{k}'" for k, n, c in _FITS)} END AS stated FROM t)
