@@ -61,20 +61,20 @@ def covered_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
 def line_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with ``text`` cut, and ``n_lines`` and ``n_removed`` (replacing columns of these names)."""
-    covered = covered_lines(docs, text, key)
-    others = [c for c in docs.columns if c not in (text, "n_lines", "n_removed")]
-    split = docs.select(*others, F.split(text, "\n").alias("__lines"), F.xxhash64(text).alias("__hash"))
-    joined = split.join(covered, (F.col(key) == F.col("__id")) & (F.col("__hash") == F.col("__text")), "left")
+    order = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    names = {c: f"__input_{k}" for k, c in enumerate(order)}  # no name of the input meets one of this function
+    source = docs.select(*(F.col(c).alias(n) for c, n in names.items()))
+    covered = covered_lines(source, names[text], names[key])
+    split = source.select(*(n for c, n in names.items() if c != text), F.split(names[text], "\n").alias("__lines"), F.xxhash64(names[text]).alias("__hash"))
+    joined = split.join(covered, (F.col(names[key]) == F.col("__id")) & (F.col("__hash") == F.col("__text")), "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__covered"))
     cut = F.array_join(F.transform(kept, lambda i: F.get(F.col("__lines"), i)), "\n")
-    whole = F.array_join("__lines", "\n")
     results = {
-        text: F.when(F.col("__covered").isNull(), whole).otherwise(cut),
+        text: F.when(F.col("__covered").isNull(), F.array_join("__lines", "\n")).otherwise(cut),
         "n_lines": F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines")).cast("long"),
         "n_removed": F.when(F.col("__covered").isNull(), 0).otherwise(F.size("__covered")).cast("long"),
     }
-    order = [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
-    return joined.select(*(results[c].alias(c) if c in results else F.col(c) for c in order))
+    return joined.select(*(results.get(c, F.col(names.get(c, c))).alias(c) for c in [*order, "n_lines", "n_removed"]))
 
 
 def line_dedup_query(docs: DataFrame) -> DataFrame:

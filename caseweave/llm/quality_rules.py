@@ -27,7 +27,7 @@ STOP_WORDS = (
 
 #: The contract's base rule and then the method's own rules.
 BASE_RULES = (
-    ("too_few_words", "n_words", "one", "<", 5000),
+    ("too_few_words", "n_words", "__one", "<", 5000),
     ("repeated_windows", "n_repeat_words", "n_words", ">", 50),
 )
 RULES = (
@@ -59,7 +59,7 @@ def metrics(text: Column) -> list[tuple[str, Column]]:
         ("__text", F.coalesce(text, F.lit(""))),
         ("__words", F.array_remove(F.split(F.col("__text"), SPACE), "")),
         ("__lines", lines),
-        ("one", F.lit(1).cast("long")),
+        ("__one", F.lit(1).cast("long")),
         ("n_words", long(F.size(words))),
         ("word_chars", long(F.length(F.array_join(words, "")))),
         ("n_symbols", long(F.size(F.split(F.col("__text"), r"[#*$%&|<>]")) - 1)),
@@ -84,18 +84,21 @@ def compile_rules(rules: tuple) -> list[Column]:
 def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the metrics, one ``broken_`` column per rule, ``base_failed`` and ``kept``.
 
-    Columns of the same names in ``docs`` are replaced.
+    Columns of the same names in ``docs`` are replaced; all others are kept, whatever their names.
     """
-    out = docs
-    temporary = []
-    for name, column in metrics(F.col(text)):
+    every = metrics(F.col("__source"))
+    temporary = [name for name, _ in every if name.startswith("__")]
+    results = [name for name, _ in every if name not in temporary] + [f"broken_{r[0]}" for r in BASE_RULES + RULES] + ["base_failed", "kept"]
+    others = {c: f"__input_{k}" for k, c in enumerate(docs.columns) if c not in results}
+    out = docs.select(*(F.col(c).alias(n) for c, n in others.items()), F.col(text).alias("__source"))
+    for name, column in every:
         out = out.withColumn(name, column)
-        temporary += [name] * (name.startswith("__") or name == "one")
     base, own = compile_rules(BASE_RULES), compile_rules(RULES)
     any_of = lambda rules: F.greatest(*(F.col(f"broken_{r[0]}") for r in rules))
     out = out.select("*", *base, *own)
     out = out.withColumn("base_failed", any_of(BASE_RULES))
-    return out.withColumn("kept", ~F.col("base_failed") & ~any_of(RULES)).drop(*temporary)
+    out = out.withColumn("kept", ~F.col("base_failed") & ~any_of(RULES))
+    return out.select(*(F.col(n).alias(c) for c, n in others.items()), *results)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def _sql_rules(rules: tuple) -> str:
-    return " OR ".join(f"100 * {top} {comparison} {percent} * {'1' if bottom == 'one' else bottom}" for _, top, bottom, comparison, percent in rules)
+    return " OR ".join(f"100 * {top} {comparison} {percent} * {'1' if bottom == '__one' else bottom}" for _, top, bottom, comparison, percent in rules)
 
 
 ORACLE_SQL = f"""

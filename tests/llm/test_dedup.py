@@ -194,6 +194,16 @@ def test_line_dedup_edges(spark):
     assert line_dedup.line_dedup(frame(spark).limit(0)).count() == 0
 
 
+def test_line_dedup_with_clashing_names_a_hot_line_and_a_long_text(spark):
+    long = "\n".join(f"line {k % 9000}" for k in range(20_000))
+    rows = [(k, f"own {k}\nhot 1\nhot 2\nhot 3\nend {k}", "l", "h", "i") for k in range(300)] + [(1000, long, "l", "h", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __lines string, __hash string, __id string").repartition(5)
+    out = {r.doc_id: r for r in line_dedup.line_dedup(df).collect()}
+    assert out[0].n_removed == 0 and all(out[k].text == f"own {k}\nend {k}" for k in range(1, 300))
+    assert out[1000].n_lines == 20_000 and out[1000].text == "\n".join(f"line {k}" for k in range(9000))
+    assert (out[5]["__lines"], out[5]["__hash"], out[5]["__id"]) == ("l", "h", "i")
+
+
 def brute_print(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", low)

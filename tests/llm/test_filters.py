@@ -22,6 +22,19 @@ def test_rules_on_nulls_long_texts_and_clashing_columns(spark):
     assert qr.quality_rules(df.limit(0)).count() == 0
 
 
+def test_rules_keep_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b c", 5, "x", "y", "z")], "doc_id long, text string, one int, __words string, __source string, kept string")
+    out = qr.annotate(df)
+    assert out.columns[:5] == ["doc_id", "text", "one", "__words", "__source"] and out.columns.count("kept") == 1
+    assert out.first()[:5] == (1, "a b c", 5, "x", "y") and out.first()["kept"] is False
+
+
+def test_repeated_windows_are_told_apart_by_their_words(spark):
+    rows = [(1, "ab c d x abc d e x ab c d"), (2, "a bc d x ab c d x a b cd"), (3, "p q r p q r p q r s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_repeat_words for r in qr.quality_rules(df).orderBy("doc_id").collect()] == [6, 0, 9]
+
+
 def test_rules_keep_good_documents(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     out = qr.quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).join(labels, "doc_id").where("not base_failed")
