@@ -46,6 +46,14 @@ def recover_json(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"(?s)\{.*\}", 0), F.lit(""))
 
 
+def parse_details(c: Column, schema: str) -> Column:
+    """Details written as JSON text as a struct of ``schema`` and ``raw``: the text itself where it is no JSON."""
+    parsed = F.from_json(c, f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    names = [f.split()[0] for f in schema.split(",")]
+    raw = F.when(parsed["_bad"].isNotNull(), c)
+    return F.when(c.isNotNull() & (c != ""), F.struct(*(parsed[n].alias(n) for n in names), raw.alias("raw")))
+
+
 def present(c: Column) -> Column:
     """The text, or null if it is empty, ``None`` or ``nan``."""
     return F.when(~c.isin("", "None", "nan"), c)

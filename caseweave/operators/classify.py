@@ -46,14 +46,18 @@ def classify(df: DataFrame, make, schema: str, key: str = "in_id", batch_size: i
 
 
 def classify_by_subcategory(df: DataFrame, make, taxonomy: DataFrame, subcategory: str, schema: str, label: str, key: str = "in_id",
-                            batch_size: int = 5, salts: int = 8, tries: int = 5) -> DataFrame:
+                            batch_size: int = 5, task_rows: int = 2000, tries: int = 5) -> DataFrame:
     """As ``classify``, in batches of one subcategory with its taxonomy's names; batches with invalid labels are tried again.
 
-    After ``tries`` rounds what is still invalid stays empty.  ``taxonomy`` has ``subcategory, name``.
+    After ``tries`` rounds what is still invalid stays empty.  ``taxonomy`` has ``subcategory, name``.  Rows are counted by
+    subcategory first; each subcategory is dealt to as many tasks as have about ``task_rows`` of its rows.
     """
     names = taxonomy.groupBy(F.col("subcategory").alias("__sub")).agg(F.sort_array(F.collect_set("name")).alias("__names"))
     joined = df.join(sized(names), F.col(subcategory) == F.col("__sub"), "left").drop("__sub")
-    dealt = joined.repartition(F.col(subcategory), F.pmod(F.xxhash64(key), F.lit(salts))).sortWithinPartitions(subcategory, key)
+    counted = df.groupBy(F.col(subcategory).alias("__of")).agg((F.ceil(F.count(F.lit(1)) / task_rows)).alias("__salts"))
+    salted = joined.join(sized(counted), F.col(subcategory).eqNullSafe(F.col("__of"))).drop("__of")
+    salted = salted.withColumn("__salt", F.pmod(F.xxhash64(key), "__salts")).drop("__salts")
+    dealt = salted.repartition(F.col(subcategory), "__salt").sortWithinPartitions(subcategory, "__salt", key).drop("__salt")
     columns = [c.split()[0] for c in schema.split(",")]
     kind = df.schema[key].dataType.simpleString()
 

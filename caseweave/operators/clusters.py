@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseweave.functions.labels import intervention_type, label_path, usable
+from caseweave.sources.shared import checkpointed
 
 #: Level-3 labels that catch all, compared with case.
 CATCH_ALL = ("Error / Failure", "Other", "Unknown", "Error", "General", "Application/Service", "Desktop Related", "Other RFI")
@@ -26,14 +27,22 @@ def clusters(frame: DataFrame) -> DataFrame:
 def rank_clusters(found: DataFrame, catch_all: tuple = CATCH_ALL, min_cluster: int = MIN_CLUSTER) -> DataFrame:
     """Rank by volume, share, running share, catch-all and viability; ties by path and levels.
 
-    The running sum is ordered within a labeler, over clusters and not incidents.
+    Clusters are sorted over range partitions.  Ranks and running sums are made within a partition's clusters of a
+    labeler, and shifted by the totals of the partitions before it (one row a partition and labeler).
     """
-    by = Window.partitionBy("model").orderBy(F.desc("n"), "path", *(F.asc_nulls_first(f"l{k}") for k in range(1, 5)))
-    total = F.sum("n").over(Window.partitionBy("model"))
-    running = F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    place = [F.desc("n"), F.col("path"), *(F.asc_nulls_first(f"l{k}") for k in range(1, 5))]
+    dealt = checkpointed(found.repartitionByRange("model", *place).withColumn("__part", F.spark_partition_id()))
+    totals = dealt.groupBy("model", "__part").agg(F.count(F.lit(1)).alias("__rows"), F.sum("n").alias("__sum"))
+    before = Window.partitionBy("model").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    whole = F.sum("__sum").over(Window.partitionBy("model")).alias("__total")
+    shifts = totals.select("model", "__part", ahead("__rows").alias("__rank"), ahead("__sum").alias("__before"), whole)
+    by = Window.partitionBy("model", "__part").orderBy(*place)
+    running = F.col("__before") + F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     catches = F.coalesce(F.col("l3").isin(*catch_all), F.lit(False))
-    return found.select(
-        "*", F.row_number().over(by).alias("rank"), (F.col("n") / total * 100).alias("pct"), (running / total * 100).alias("cumulative_pct"),
+    return dealt.join(shifts, ["model", "__part"]).select(
+        *found.columns, (F.col("__rank") + F.row_number().over(by)).cast("int").alias("rank"), (F.col("n") / F.col("__total") * 100).alias("pct"),
+        (running / F.col("__total") * 100).alias("cumulative_pct"),
         catches.alias("catch_all"), ((F.col("n") >= min_cluster) & ~catches & usable(F.col("l4"))).alias("viable"),
     )
 

@@ -16,16 +16,28 @@ from caseweave.sources.shared import scratch
 from caseweave.streaming import incidents as st
 
 
-@query("""SELECT o_orderkey AS in_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderpriority END AS label, o_totalprice AS amount FROM orders WHERE o_orderkey % 10 <> 0""")
-def read_csv_tolerant(spark, sf_dir):
-    path, k = scratch(spark, "csv"), F.col("o_orderkey")
-    label = F.when(k % 6 == 0, F.element_at(F.array(F.lit("None"), F.lit("N/A"), F.lit("nan")), (k % 3 + 1).cast("int"))).otherwise(F.col("o_orderpriority"))
-    good = F.concat_ws(",", k.cast("string"), F.concat(F.lit('"'), label, F.lit('"')), F.col("o_totalprice").cast("string"))
-    line = F.when(k % 10 == 0, F.concat(good, F.lit(",too,many"))).otherwise(good)
+def _csv_lines(spark, sf_dir, name: str) -> str:
+    """Orders as CSV: lines with too many and with too few columns, line breaks inside quotes, texts for null, rows without id."""
+    path, k = scratch(spark, name), F.col("o_orderkey")
+    nulls = F.element_at(F.array(F.lit("None"), F.lit("N/A"), F.lit("nan")), (k % 3 + 1).cast("int"))
+    label = F.when(k % 6 == 0, nulls).when(k % 6 == 1, F.concat("o_orderpriority", F.lit(",\n"), "o_orderstatus")).otherwise(F.col("o_orderpriority"))
+    key = F.when(k % 14 == 3, "").otherwise(k.cast("string"))
+    good = F.concat_ws(",", key, F.concat(F.lit('"'), label, F.lit('"')), F.col("o_totalprice").cast("string"))
+    line = F.when(k % 10 == 0, F.concat(good, F.lit(",too,many"))).when(k % 10 == 5, key).otherwise(good)
     table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
-    rows = spark.read.csv(path, schema="in_id long, label string, amount double", mode="DROPMALFORMED", quote='"', escape='"')
-    strings = F.when(~F.col("label").isin(*io.NULL_TEXTS), F.col("label"))
-    return rows.withColumn("label", strings)
+    return path
+
+
+@query("""SELECT CASE WHEN o_orderkey % 14 <> 3 THEN o_orderkey END AS in_id, CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 6 = 1 THEN o_orderpriority || ',' || chr(10) || o_orderstatus ELSE o_orderpriority END AS label,
+o_totalprice AS amount FROM orders WHERE o_orderkey % 10 NOT IN (0, 5)""")
+def read_csv_tolerant(spark, sf_dir):
+    return io.read_csv(spark, _csv_lines(spark, sf_dir, "csv"), "in_id long, label string, amount double", header=False, multi_line=True)
+
+
+@query("""SELECT count(*) FILTER (o_orderkey % 10 NOT IN (0, 5)) AS n_rows, count(*) FILTER (o_orderkey % 10 IN (0, 5) AND NOT (o_orderkey % 14 = 3 AND o_orderkey % 10 = 5)) AS n_malformed,
+count(*) FILTER (o_orderkey % 14 = 3 AND o_orderkey % 10 NOT IN (0, 5)) AS n_without_id FROM orders""")
+def csv_read_counts(spark, sf_dir):
+    return io.read_counts(spark, _csv_lines(spark, sf_dir, "counts"), "in_id long, label string, amount double", header=False, multi_line=True)
 
 
 @query("""SELECT o_orderkey AS in_id, CASE WHEN o_orderkey % 4 <> 0 THEN 'say "' || o_orderpriority || '", ' || o_orderstatus END AS note, CASE WHEN o_orderkey % 8 <> 0 THEN o_totalprice END AS amount FROM orders WHERE o_orderkey % 8 <> 0""")
@@ -61,14 +73,10 @@ def l4_taxonomy_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("source", (F.col("doc_id") % 5).alias("k")).distinct()
     entry = F.struct(F.concat(F.lit("fix_"), F.col("k").cast("string")).alias("name"), (F.col("k") < 2).alias("is_actionable"))
     made = docs.groupBy("source").agg(F.collect_list(entry).alias("categories"))
-    at = F.when(F.col("source") == "src3", "2024-04-30T00:00:00").otherwise("2024-05-02T10:00:00").alias("created_at")
-    # one document per subcategory, in a folder of its name
-    rows = made.select(F.concat(F.col("source"), F.lit(".json")).alias("file"), F.col("source").alias("category"), at, "categories")
-    rows.repartition("file").write.partitionBy("file").json(path)
-    docs = spark.read.schema(io.L4_SCHEMA).option("recursiveFileLookup", True).json(path)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)\.json/[^/]*$", 1)
-    fresh = docs.select("*", name.alias("subcategory")).where(F.col("created_at") >= F.lit(now - dt.timedelta(hours=24)))
-    return fresh.select("subcategory", F.explode("categories").alias("c")).select("subcategory", "c.name", "c.is_actionable")
+    at = F.when(F.col("source") == "src3", "2024-04-30T00:00:00").when(F.col("source") != "src1", "2024-05-02T10:00:00.123456").alias("s3_uploaded_at")
+    name = F.concat(F.lit("l4_"), tx.safe_name(F.col("source")), F.lit("_taxonomy.json")).alias("file")
+    made.select(name, at, "categories").repartition("file").write.partitionBy("file").json(path)  # a document for each subcategory
+    return io.l4_taxonomies(spark, path, now)
 
 
 @query("""WITH r AS (SELECT DISTINCT strftime(date_trunc('day', o_orderdate), '%Y%m%d-%H%M%S') AS run_id, date_trunc('day', o_orderdate) AS run_at FROM orders WHERE o_orderkey % 40 = 0
@@ -133,6 +141,14 @@ def json_details(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", k.alias("k"), reply.alias("reply"), parsed.k.alias("recovered"), details.alias("details"), tx.safe_name(F.concat("event_type", F.lit(" A/b"))).alias("safe"))
 
 
+@query("""SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN event_type END AS event, CASE WHEN event_id % 5 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+CASE WHEN event_id % 5 = 0 THEN 'not json: ' || event_type END AS raw FROM events""")
+def json_details_raw(spark, sf_dir):
+    written = F.to_json(F.struct(F.col("event_type").alias("event"), F.get_json_object("props", "$.k").cast("long").alias("k")))
+    text = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("not json: "), "event_type")).otherwise(written)
+    return table(spark, sf_dir, "events").select("event_id", tx.parse_details(text, "event string, k long").alias("d")).select("event_id", "d.*")
+
+
 def _stub():
     """A stand-in for a model: labels from the text's length, silent on some rows."""
 
@@ -193,6 +209,15 @@ def _events(spark, sf_dir):
 @query("SELECT DISTINCT user_id FROM events WHERE user_id % 3 <> 0")
 def stream_incremental_dedup(spark, sf_dir):
     out, target = scratch(spark, "dedup"), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")).where("user_id % 3 = 0")
+    # a delay longer than the table: each id passes once, and nothing here takes away what the stream gives out twice
+    fresh = st.incremental_dedup(_events(spark, sf_dir).select("user_id", "ts"), target, "user_id", "ts", "36500 days")
+    st.run_once(fresh.select("user_id").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
+    return spark.read.schema("user_id long").parquet(out)
+
+
+@query("SELECT DISTINCT user_id FROM events WHERE user_id % 3 <> 0")
+def stream_dedup_with_late_rows(spark, sf_dir):
+    out, target = scratch(spark, "late-dedup"), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")).where("user_id % 3 = 0")
     fresh = st.incremental_dedup(_events(spark, sf_dir).select("user_id", "ts"), target, "user_id", "ts")
     st.run_once(fresh.select("user_id").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
     return st.complete_dedup(table(spark, sf_dir, "events"), spark.read.schema("user_id long").parquet(out), target, "user_id")
@@ -210,7 +235,7 @@ def stream_upsert(spark, sf_dir):
 
     rows = _events(spark, sf_dir).select("user_id", "event_type", "value", "event_id")
     st.run_once(rows.writeStream.foreachBatch(apply).option("checkpointLocation", f"{out}/state"))
-    return spark.read.parquet(sink.version(last["n"]))
+    return sink.read(spark, last["n"], rows.schema)
 
 
 @query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where none is named."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only in a local session without it."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 

@@ -32,23 +32,53 @@ def label_counts(stream: DataFrame, label: str, moment: str, width: str = "1 hou
 
 
 class VersionedUpsert:
-    """``foreachBatch`` sink: each batch is upserted into the version before it and written as the next version.
+    """``foreachBatch`` sink: upserts each batch, and rewrites only what the batch touches.
 
-    A key's row is the last one by ``order`` over all batches, so an older row in a later batch replaces nothing.
-    A replayed batch rewrites its own version from the same base, so nothing is applied twice; the path that is read is
-    never the one that is written.
+    Rows are kept in ``buckets`` parts by a hash of the key.  A batch reads the parts that its keys fall into, merges, and
+    writes these parts as version ``number``; a list of parts (at most ``buckets`` rows) says which version of each holds.
+    A key's row is the last one by ``order`` over all batches, so an older row in a later batch replaces nothing.  A
+    replayed batch starts from the list before it, so nothing is applied twice; no path is read and written at once.
+    Versions that neither the new list nor the one before it names are deleted.
     """
 
-    def __init__(self, path: str, key: str, order: list[str]):
-        self.path, self.key, self.order = path, key, order
+    def __init__(self, path: str, key: str, order: list[str], buckets: int = 64):
+        self.path, self.key, self.order, self.buckets = path, key, order, buckets
 
-    def version(self, number: int) -> str:
-        return f"{self.path}/v{number}"
+    def _part(self, bucket: int, version: int) -> str:
+        return f"{self.path}/v{version}/part={bucket}"
+
+    def _parts(self, spark: SparkSession, number: int) -> dict[int, int]:
+        """Version of each part as of a batch."""
+        if number < 0:
+            return {}
+        return {r["part"]: r["version"] for r in spark.read.schema("part int, version int").json(f"{self.path}/parts-{number}").collect()}
+
+    def read(self, spark: SparkSession, number: int, schema: str) -> DataFrame:
+        """The rows as of a batch."""
+        paths = [self._part(p, v) for p, v in sorted(self._parts(spark, number).items())]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        if number:
-            batch = batch.sparkSession.read.parquet(self.version(number - 1)).unionByName(batch)
-        keep_last(batch, [self.key], self.order).write.mode("overwrite").parquet(self.version(number))
+        spark, part = batch.sparkSession, F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        before = self._parts(spark, number - 1)
+        last = keep_last(batch, [self.key], self.order).withColumn("part", part)
+        last = last.persist()  # read for the list of its parts and for the merge
+        touched = sorted(r["part"] for r in last.select("part").distinct().collect())
+        merged = last.drop("part")
+        held = [self._part(p, before[p]) for p in touched if p in before]
+        if held:
+            merged = keep_last(spark.read.schema(batch.schema).parquet(*held).unionByName(merged), [self.key], self.order)
+        merged.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/v{number}")
+        last.unpersist()
+        after = before | dict.fromkeys(touched, number)
+        listed = spark.createDataFrame(sorted(after.items()), "part int, version int")
+        listed.coalesce(1).write.mode("overwrite").json(f"{self.path}/parts-{number}")
+        self._clean(spark, set(self._parts(spark, number - 2).items()) - set(before.items()) - set(after.items()))
+
+    def _clean(self, spark: SparkSession, dropped: set) -> None:
+        for part, version in dropped:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self._part(part, version))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def late_ids(source: DataFrame, streamed: DataFrame, key: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Truth tables, invariants and edge cases of the incident operators."""
 
 import datetime as dt
+import json
 import math
 import os
 import re
@@ -17,13 +18,14 @@ from pyspark.sql import functions as F
 from caseweave.functions import labels as lb
 from caseweave.functions import text as tx
 from caseweave.operators import classify as cf
+from caseweave.operators import clusters as cl
 from caseweave.operators import judge as jd
 from caseweave.operators import merge as mg
 from caseweave.operators import similarity as sim
 from caseweave.plans import measures
 from caseweave.plans.base import incidents
 from caseweave.registry import ORACLES, QUERIES
-from caseweave.sources import io
+from caseweave.sources import io, shared
 from caseweave.streaming import incidents as si
 from tests.oracle import duck, rows_of_duck, rows_of_spark
 
@@ -119,7 +121,74 @@ def test_upsert_sink_survives_replay(spark, tmp_path):
     sink(first, 0)
     sink(second, 1)
     sink(second, 1)
-    assert {r.in_id: r.v for r in spark.read.parquet(sink.version(1)).collect()} == {1: "a", 2: "e", 3: "d"}
+    assert {r.in_id: r.v for r in sink.read(spark, 1, first.schema).collect()} == {1: "a", 2: "e", 3: "d"}
+
+
+def test_upsert_sink_rewrites_what_a_batch_touches(spark, tmp_path):
+    sink, schema = si.VersionedUpsert(str(tmp_path), "in_id", ["seq"], buckets=8), "in_id long, seq long, v string"
+    sink(spark.createDataFrame([(k, 1, "a") for k in range(200)], schema), 0)
+    assert len(list((tmp_path / "v0").glob("part=*"))) == 8
+    for number in range(1, 5):
+        sink(spark.createDataFrame([(7, number + 1, f"b{number}")], schema), number)
+        assert len(list((tmp_path / f"v{number}").glob("part=*"))) == 1
+    rows = {r.in_id: r.v for r in sink.read(spark, 4, schema).collect()}
+    assert rows == {k: "b4" if k == 7 else "a" for k in range(200)}
+    assert [len(list((tmp_path / f"v{n}").glob("part=*"))) for n in range(5)] == [7, 0, 0, 1, 1]  # two lists back are gone
+    sink(spark.createDataFrame([], schema), 5)
+    assert sink.read(spark, 5, schema).count() == 200
+
+
+def test_taxonomy_files_by_subcategory(spark, tmp_path):
+    now = dt.datetime(2024, 5, 2, 12)
+    stamps = {"network": "2024-05-02T01:00:00.000001", "email_server": None, "old": "2024-04-30T00:00:00"}
+    for name, stamp in stamps.items():
+        doc = {"categories": [{"name": f"{name}-1", "is_actionable": True}, {"name": f"{name}-2"}]} | ({"s3_uploaded_at": stamp} if stamp else {})
+        (tmp_path / "v1").mkdir(exist_ok=True)
+        (tmp_path / "v1" / f"l4_{name}_taxonomy.json").write_text(json.dumps(doc, indent=2))
+    (tmp_path / "v1" / "other.json").write_text("{}")
+    rows = sorted(map(tuple, io.l4_taxonomies(spark, str(tmp_path), now).collect()), key=repr)
+    assert rows == [("email_server", "email_server-1", True), ("email_server", "email_server-2", None), ("network", "network-1", True), ("network", "network-2", None)]
+
+
+def test_csv_reads_agree_whatever_is_asked_for(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('in_id,label,n\n1,a,1\n2,"b, c",2\n3,d\n4,e,5,6\n,f,7\nx,g,8\n')
+    schema, path = "in_id long, label string, n int", str(tmp_path / "x.csv")
+    rows = io.read_csv(spark, path, schema)
+    assert [tuple(r) for r in rows.collect()] == [(1, "a", 1), (2, "b, c", 2), (None, "f", 7)]
+    assert rows.count() == rows.select("label").count() == 3
+    assert tuple(io.read_counts(spark, path, schema).first()) == (3, 3, 1)
+
+
+def test_details_that_are_no_json_are_kept_raw(spark):
+    rows = [('{"a": 1}',), ("oops",), (None,), ("",), ("{}",)]
+    out = spark.createDataFrame(rows, "t string").select(tx.parse_details(F.col("t"), "a int").alias("d")).collect()
+    assert [r.d and tuple(r.d) for r in out] == [(1, None), (None, "oops"), None, None, (None, None)]
+
+
+def test_clusters_ranked_over_range_partitions(spark):
+    rows = [("A" if k % 3 else "B", f"p{k % 57}", "x", "y", "z", f"f{k % 5}") for k in range(900)]
+    found = spark.createDataFrame(rows, "model string, path string, l1 string, l2 string, l3 string, l4 string").groupBy("model", "path", "l1", "l2", "l3", "l4").agg(F.count(F.lit(1)).alias("n"))
+    out = cl.rank_clusters(found.repartition(7)).collect()
+    for model in "AB":
+        mine = sorted((r for r in out if r.model == model), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, len(mine) + 1))
+        assert [(-r.n, r.path, r.l4) for r in mine] == sorted((-r.n, r.path, r.l4) for r in mine)
+        total = sum(r.n for r in mine)
+        assert all(math.isclose(r.cumulative_pct, sum(x.n for x in mine[: i + 1]) / total * 100) for i, r in enumerate(mine))
+
+
+def test_shared_folder_has_to_be_named_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Session())
 
 
 def test_empty_tables(spark):
@@ -166,7 +235,7 @@ def test_pair_cosine_of_long_texts(spark):
         assert rows[k] is None if expected is None else math.isclose(rows[k], expected, abs_tol=1e-9)
 
 
-@pytest.mark.parametrize("name", ["stream_upsert", "stream_incremental_dedup", "stream_label_counts"])
+@pytest.mark.parametrize("name", ["stream_upsert", "stream_incremental_dedup", "stream_dedup_with_late_rows", "stream_label_counts"])
 def test_streams_of_batches_out_of_order(spark, sf_dir, tmp_path, monkeypatch, name):
     """The newest rows come first; a watermark drops late rows from the second batch after it on."""
     os.makedirs(tmp_path / "events.parquet")
