@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,7 +14,8 @@ from caseweave.operators import clusters as cl
 from caseweave.operators import compare as cmp
 from caseweave.operators import merge as mg
 from caseweave.operators import validate as va
-from caseweave.plans.base import INCIDENTS, incidents, query, sql_usable, table
+from caseweave.plans import comparison  # noqa: F401  its queries' SQL
+from caseweave.plans.base import INCIDENTS, ORACLES, incidents, query, table
 from caseweave.sources.shared import checkpointed
 
 LEVELS = ("category", "subcategory", "product")
@@ -108,10 +110,40 @@ def workload_null_reasons(spark, sf_dir):
     return _run(spark, sf_dir)["null_reasons"]
 
 
-@query(f"""WITH {INCIDENTS} {" UNION ALL ".join(f"SELECT 'L{k}' AS level, round(avg(CAST({sql_usable(f'a_l{k}')} AS DOUBLE)) * 100, 6) AS a_pct, count(*) FILTER ({sql_usable(f'a_l{k}')} AND {sql_usable(f'b_l{k}')}) AS n_both FROM incidents" for k in range(1, 5))}""")
+#: Tables of the comparison: the query with the same rows, what names a row, and its figures.
+COMPARISON = {
+    "coverage": ("label_coverage", ("level",), ("a_pct", "b_pct")),
+    "granularity": ("label_granularity", ("model", "level"), ("rows", "labels", "top10_pct", "entropy")),
+    "agreement": ("label_agreement", ("level",), ("n_both", "agreement_pct")),
+    "strata": ("stratified_agreement", ("stratum", "a_l1", "a_l2", "a_l3", "period", "level"), ("rows", "n_both", "agreement_pct")),
+    "disagreements": ("top_disagreements", ("level", "b", "a"), ("n", "pct", "rank")),
+    "clusters": ("cluster_rank_cumulative", ("model", "path", "l1", "l2", "l3", "l4"), ("n", "rank", "pct", "cumulative_pct")),
+    "pareto": ("pareto_summary", ("model",), ("incidents", "paths", "to_cover_50", "to_cover_80")),
+}
+
+
+def stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables of the comparison as rows ``part, row_name, figure, value``."""
+    out = []
+    for part, (_, keys, figures) in COMPARISON.items():
+        name = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys))
+        each = F.explode(F.array(*(F.struct(F.lit(f).alias("figure"), F.round(F.col(f).cast("double"), 6).alias("value")) for f in figures)))
+        out.append(tables[part].select(F.lit(part).alias("part"), name.alias("row_name"), each.alias("f")).select("part", "row_name", "f.figure", "f.value"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _sql_stacked() -> str:
+    parts = []
+    for part, (query_name, keys, figures) in COMPARISON.items():
+        name = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+        for figure in figures:
+            parts.append(f"SELECT '{part}' AS part, concat_ws('|', {name}) AS row_name, '{figure}' AS figure, round(CAST({figure} AS DOUBLE), 6) AS value FROM ({ORACLES[query_name]})")
+    return " UNION ALL ".join(parts)
+
+
+@query(_sql_stacked())
 def workload_comparison(spark, sf_dir):
-    tables = compare_labelers(incidents(spark, sf_dir))
-    return tables["coverage"].join(tables["agreement"], "level").select("level", F.round("a_pct", 6).alias("a_pct"), "n_both")
+    return stacked(compare_labelers(incidents(spark, sf_dir)))
 
 
 @query("""SELECT o_orderkey AS in_id, o_orderstatus AS status, CASE WHEN o_orderkey % 4 = 0 OR o_orderkey % 10 = 0 THEN 'again' ELSE o_orderpriority END AS ai_l4 FROM orders WHERE o_orderkey % 7 <> 0""")
