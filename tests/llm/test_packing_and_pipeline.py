@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -184,3 +185,39 @@ def test_pipeline_rereads_each_stage_from_parquet(spark, sf_dir, monkeypatch):
     assert out.columns == docs.columns and out.count() == docs.where("doc_id % 7 <> 0").count()
     assert all(files and columns == docs.columns for files, columns in seen)
     assert len({files[0].rsplit("/", 1)[0] for files, _ in seen}) == 3
+
+
+CLASHING = ("id", "score", "predicted", "n_words", "n_lines", "__id", "__lines", "__column_0", "fp", "length", "kept")
+
+
+def odd_documents(spark, sf_dir):
+    """Nulls in every column, empty and very long texts, repeated rows, ties, and columns with the operators' names."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.limit(30).collect()}
+    rows = [(k, v, "en", "src0", len(v)) for k, v in texts.items()] * 2
+    rows += [(None, next(iter(texts.values())), None, None, None), (900_001, None, "en", "x", 0), (900_001, None, "en", "x", 0), (900_002, "", None, None, None)]
+    rows += [(900_003, "the long text of one word after another \n" * 9000, "en", "x", 1), (None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    return frame.select("*", *(F.lit(f"own {c}").alias(c) for c in CLASHING)), rows
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_documents(spark, sf_dir, name):
+    docs, rows = odd_documents(spark, sf_dir)
+    stage = dict(corpus_pipeline.STAGES)[name]
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    out = stage(spark, docs, sf_dir)
+    found = collections.Counter((r.doc_id, r.text) if "text" in out.columns else r.doc_id for r in out.collect())
+    given = collections.Counter((r[0], r[1]) for r in rows)
+    if name == "pack":
+        assert set(found) == {r[0] for r in rows} and found[900_001] == 2 and found[900_003] > 1
+        return
+    assert out.columns == docs.columns and all(r[c] == f"own {c}" for r in out.collect() for c in CLASHING)
+    if name == "line_dedup":
+        assert sum(found.values()) == len(rows) and found[900_001, None] == 2 and found[None, None] == 1 and found[900_002, ""] == 1
+    else:
+        assert all(found[k] == given[k] for k in found)
+    if name == "simhash_dedup":
+        assert (900_001, None) in found and (900_002, "") not in found and (None, None) in found
+    if name == "decontaminate":
+        assert (900_001, None) in found and (900_002, "") in found and (None, None) in found
