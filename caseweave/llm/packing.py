@@ -38,9 +38,9 @@ END_ID = 1
 SALTS = 64
 RANK_ROWS = 500_000
 #: Words that a task remembers the ids of; as many older ones are kept until the newer ones are full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 #: Bytes of text whose words are told apart together.
-AT_ONCE = 4_000_000
+AT_ONCE = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 
