@@ -32,6 +32,8 @@ WINDOW_WORDS = 13
 BROADCAST_BYTES = 32_000_000
 #: Bits of the filter that is broadcast where the set isn't: 16 MB.
 FILTER_BITS = 1 << 27
+#: Bytes of text whose windows are looked up together.
+AT_ONCE = 1_000_000
 U = np.uint64
 I64 = pa.int64()
 
@@ -97,7 +99,7 @@ def _scan(batches, shared):
     """Per document: number of words, hit words (merged, as starts and ends), ids of the items found."""
     roll, found_in = _Roll(), shared.value
     item_data = found_in.buf.tobytes()
-    for batch in kernel.chunks(batches, "text"):
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
         buf, starts, ends, first, sums = roll.words(batch.column(1))
         data, n_docs = buf.tobytes(), batch.num_rows
         text = np.repeat(np.arange(n_docs), np.diff(first))
@@ -132,7 +134,7 @@ def _scan(batches, shared):
 def _grams_of_items(batches, size: int):
     """Each window of each item: its length, hash, words and item."""
     roll = _Roll()
-    for batch in kernel.chunks(batches, "text"):
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
         buf, starts, ends, first, sums = roll.words(batch.column(1))
         data = buf.tobytes()
         for n, at, items in _item_windows(first, size):
@@ -149,7 +151,7 @@ def _grams_of_documents(batches, lengths: list, shared):
     """Those windows of each document whose hash passes the filter of the items' hashes."""
     roll, bits = _Roll(), shared.value
     passes = lambda b: (bits[b >> U(6)] >> (b & U(63))) & U(1) == 1
-    for batch in kernel.chunks(batches, "text"):
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
         buf, starts, ends, first, sums = roll.words(batch.column(1))
         data, text = buf.tobytes(), np.repeat(np.arange(batch.num_rows), np.diff(first))
         for n in lengths:
@@ -164,7 +166,7 @@ def _grams_of_documents(batches, lengths: list, shared):
 
 def _count_words(batches):
     roll = _Roll()
-    for batch in kernel.chunks(batches, "text"):
+    for batch in kernel.chunks(batches, "text", AT_ONCE):
         yield batch.append_column("n_words", pa.array(np.diff(roll.words(batch.column(1))[3]), I64))
 
 
