@@ -87,7 +87,10 @@ def top_disagreement_in_stratum(spark, sf_dir):
     return cmp.stratum_top_pair(incidents(spark, sf_dir))
 
 
-FIELDS = {"rationale": "brief_description", "resolution_action": "resolution", "root_cause": "b_l4", "confidence": "a_l4_confidence"}
+FIELDS = {
+    "rationale": "brief_description", "l4_rationale": "resolution", "keywords": "a_l3", "root_cause_indicator": "a_l1", "root_cause": "b_l4",
+    "l4_resolution_action": "a_l4", "actionability_reason": "a_actionable", "l4_confidence": "a_l4_confidence",
+}
 
 
 @query(f"""WITH {INCIDENTS}, w AS (SELECT *, {sql_usable("a_l4")} AS good, {sql_trueish("a_actionable")} AS yes FROM incidents),

@@ -79,14 +79,14 @@ def l4_taxonomy_table(spark, sf_dir):
     return io.l4_taxonomies(spark, path, now)
 
 
-@query("""WITH r AS (SELECT DISTINCT strftime(date_trunc('day', o_orderdate), '%Y%m%d-%H%M%S') AS run_id, date_trunc('day', o_orderdate) AS run_at FROM orders WHERE o_orderkey % 40 = 0
-UNION SELECT strftime(date_trunc('day', o_orderdate), '%Y%m%d_%H%M%S'), date_trunc('day', o_orderdate) FROM orders WHERE o_orderkey % 40 = 1)
+@query("""WITH r AS (SELECT DISTINCT strftime(date_trunc('day', o_orderdate), '%Y%m%d-%H%M%S') AS run_id, date_trunc('day', o_orderdate) AS run_at FROM orders WHERE o_orderkey % 3 = 0
+UNION SELECT strftime(date_trunc('day', o_orderdate), '%Y%m%d_%H%M%S'), date_trunc('day', o_orderdate) FROM orders WHERE o_orderkey % 3 = 1)
 SELECT run_id, place FROM (SELECT run_id, dense_rank() OVER (ORDER BY run_at DESC) AS place FROM r) WHERE place > 5""")
 def retain_latest_runs(spark, sf_dir):
     day = F.date_trunc("day", "o_orderdate")
-    k = F.col("o_orderkey") % 40
+    k = F.col("o_orderkey") % 3
     named = F.when(k == 0, F.date_format(day, "yyyyMMdd-HHmmss")).when(k == 1, F.date_format(day, "yyyyMMdd_HHmmss")).otherwise("no run")
-    runs = table(spark, sf_dir, "orders").where(k < 3).select(named.alias("run_id"))
+    runs = table(spark, sf_dir, "orders").select(named.alias("run_id"))
     return io.runs_to_delete(runs).withColumn("place", F.col("place").cast("long"))
 
 
@@ -111,11 +111,17 @@ def context_l123(spark, sf_dir):
     return cf.context_l123(rows, ["resolution", "brief_description"], "batch", "in_id").select("in_id", "context")
 
 
-@query(f"""WITH {INCIDENTS} SELECT in_id, concat_ws(chr(10), CASE WHEN {sql_trueish("a_actionable")} THEN 'Self-resolved: yes' END, 'Category: ' || a_l1, 'Issue: ' || CASE WHEN substr(a_l4, 1, 60) NOT IN ('', 'None', 'nan') THEN a_l4 END,
-'Description: ' || CASE WHEN substr(brief_description, 1, 50) NOT IN ('', 'None', 'nan') THEN substr(brief_description, 1, 50) END, 'Resolution: ' || CASE WHEN substr(resolution, 1, 30) NOT IN ('', 'None', 'nan') THEN substr(resolution, 1, 30) END) AS context FROM incidents""")
+#: Name, column and cut of each line.
+L4_LINES = (
+    ("Category", "a_l1", 200), ("Subcategory", "a_l2", 200), ("Issue", "a_l4", 200), ("Description", "brief_description", 500), ("Resolution", "resolution", 500),
+    ("Action", "b_l4", 400), ("Comments", "resolution", 400), ("Updates", "resolution", 300), ("Notes", "brief_description", 300), ("Error", "a_l3", 200), ("Rationale", "b_l3", 200),
+)
+
+
+@query(f"""WITH {INCIDENTS} SELECT in_id, concat_ws(chr(10), CASE WHEN {sql_trueish("a_actionable")} THEN 'Self-resolved: yes' END,
+{", ".join(f"'{n}: ' || CASE WHEN substr({c}, 1, {w}) NOT IN ('', 'None', 'nan') THEN substr({c}, 1, {w}) END" for n, c, w in L4_LINES)}) AS context FROM incidents""")
 def context_l4(spark, sf_dir):
-    fields = [("Category", "a_l1", 40), ("Issue", "a_l4", 60), ("Description", "brief_description", 50), ("Resolution", "resolution", 30)]
-    return incidents(spark, sf_dir).select("in_id", cf.context_l4(fields, "a_actionable").alias("context"))
+    return incidents(spark, sf_dir).select("in_id", cf.context_l4(list(L4_LINES), "a_actionable").alias("context"))
 
 
 @query(f"""WITH {INCIDENTS} SELECT in_id, substr(coalesce(nullif(concat_ws(chr(10), nullif(trim(brief_description), ''), 'ISSUE: ' || nullif(trim(a_l4), '')), ''), '(none)'), 1, 120) AS states,

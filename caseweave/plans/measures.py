@@ -68,16 +68,28 @@ def validity_report(spark, sf_dir):
     return out.withColumn("pct", F.round(F.col("pct").cast("double"), 6))
 
 
-@query(f"WITH {RUNS} SELECT original_l1, original_l2, count(*) AS n FROM x WHERE NOT ({VALID}) GROUP BY ALL ORDER BY n DESC, original_l1 NULLS FIRST, original_l2 NULLS FIRST LIMIT 10")
+LEVEL_PAIRS = {"l1_l2": ("original_l1", "original_l2"), "l2_l3": ("original_l2", "original_l3")}
+
+
+@query(f"WITH {RUNS} " + " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{name}' AS levels, {a} AS upper, {b} AS lower, count(*) AS n FROM x WHERE NOT ({VALID}) GROUP BY {a}, {b} ORDER BY n DESC, {a} NULLS FIRST, {b} NULLS FIRST LIMIT 10)"
+    for name, (a, b) in LEVEL_PAIRS.items()
+))
 def worst_label_pairs(spark, sf_dir):
-    return sm.worst_pairs(_runs(spark, sf_dir), "validation_status", "original_l1", "original_l2")
+    runs = _runs(spark, sf_dir)
+    worst = [sm.worst_pairs(runs, "validation_status", a, b).select(F.lit(name).alias("levels"), F.col(a).alias("upper"), F.col(b).alias("lower"), "n") for name, (a, b) in LEVEL_PAIRS.items()]
+    return worst[0].unionByName(worst[1])
 
 
-@query(f"""WITH {INCIDENTS}, c AS (SELECT CAST(date_trunc('week', opened_at) AS DATE) AS period, a_l3, count(*) AS n FROM incidents WHERE {sql_usable("a_l3")} GROUP BY ALL),
-t AS (SELECT period, n, n / sum(n) OVER (PARTITION BY period) AS p FROM c)
-SELECT period, CAST(sum(n) AS BIGINT) AS rows, round(sum(-p * log2(p)), 6) AS entropy, round(max(p) * 100, 6) AS top_pct FROM t GROUP BY period""")
+@query(f"""WITH {INCIDENTS}, w AS (SELECT unit, CAST(CASE unit WHEN 'week' THEN date_trunc('week', opened_at) ELSE date_trunc('month', opened_at) END AS DATE) AS period, a_l3
+  FROM incidents, (VALUES ('week'), ('month')) AS u(unit) WHERE {sql_usable("a_l3")}),
+c AS (SELECT unit, period, a_l3, count(*) AS n FROM w GROUP BY ALL),
+t AS (SELECT unit, period, n, n / sum(n) OVER (PARTITION BY unit, period) AS p FROM c)
+SELECT unit, period, CAST(sum(n) AS BIGINT) AS rows, round(sum(-p * log2(p)), 6) AS entropy, round(max(p) * 100, 6) AS top_pct FROM t GROUP BY unit, period""")
 def label_drift(spark, sf_dir):
-    return rounded(sm.label_drift(incidents(spark, sf_dir), "a_l3", "opened_at", "week"), "entropy", "top_pct")
+    rows = incidents(spark, sf_dir)
+    drift = [sm.label_drift(rows, "a_l3", "opened_at", unit).select(F.lit(unit).alias("unit"), "*") for unit in ("week", "month")]
+    return rounded(drift[0].unionByName(drift[1]), "entropy", "top_pct")
 
 
 @query(f"""WITH {RUNS}, b AS (SELECT CASE WHEN length(trim(coalesce(original_l3, ''))) >= 9 THEN 'rich' ELSE 'sparse' END AS text_kind FROM x WHERE NOT ({VALID}))
