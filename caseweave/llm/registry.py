@@ -1,15 +1,14 @@
-"""The ten operators' queries over their whole tables, and DuckDB SQL where SQL can state the same rows."""
+"""The operators' queries over their whole tables, and DuckDB SQL where SQL can state the same rows."""
 
 from __future__ import annotations
 
 from caseweave.llm import (
     chat_format, decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup,
-    suffix_dedup, url_filter,
+    suffix_dedup, token_counts, url_filter,
 )
 from caseweave.llm._spark import read_table
 
 
-
 def _on_documents(operator):
     return lambda spark, sf_dir: operator(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +30,7 @@ QUERIES = {
     ),
     "op9_pack": _on_documents(packing.pack_query),
     "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
+    "op13_token_counts": _on_documents(token_counts.token_counts_query),
 }
 ORACLES = {
     "op1_chat_format": chat_format.ORACLE_SQL,
