@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from caseweave.llm import (
-    chat_format, decontaminate, hard_negatives, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup,
-    suffix_dedup, token_counts, url_filter,
+    chat_format, conversation_repair, decontaminate, hard_negatives, line_dedup, packing, quality_classifier, quality_rules,
+    simhash, substring_dedup, suffix_dedup, token_counts, url_filter,
 )
 from caseweave.llm._spark import read_table
 
@@ -31,6 +31,7 @@ QUERIES = {
     "op9_pack": _on_documents(packing.pack_query),
     "op10_substring_dedup": _on_documents(substring_dedup.substring_dedup_query),
     "op11_hard_negatives": lambda spark, sf_dir: hard_negatives.hard_negatives_query(read_table(spark, sf_dir, "embeddings")),
+    "op12_conversation_repair": lambda spark, sf_dir: conversation_repair.conversation_repair_query(read_table(spark, sf_dir, "conversations")),
     "op13_token_counts": _on_documents(token_counts.token_counts_query),
 }
 ORACLES = {
@@ -42,4 +43,5 @@ ORACLES = {
     "op7_url_filter": url_filter.ORACLE_SQL,
     "op10_substring_dedup": substring_dedup.ORACLE_SQL,
     "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op12_conversation_repair": conversation_repair.ORACLE_SQL,
 }
