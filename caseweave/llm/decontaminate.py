@@ -6,14 +6,17 @@ windows of 13 words; an item of fewer words, but not none, is one window.  Each
 collision counts.  A word inside any occurrence of a window is hit.  A document is contaminated when at least one word
 in twenty is hit; a pipeline drops such documents, or takes ``clean_text``, the text without its hit words.
 
-The set is broadcast only if the benchmark's text is at most ``broadcast_bytes``, which is measured first; it is held in
-arrays of some six times that size (``NgramSet``).  With a larger benchmark, windows of the documents whose hash passes a
-filter of fixed size are shuffled to the items' windows and joined on their words: same result, any size.
+The set is broadcast only if the benchmark's texts and ids are at most ``broadcast_bytes``, which is measured first; it is
+held in arrays of some six times that size (``NgramSet``).  With a larger benchmark, each document's distinct windows whose
+hash passes a filter of fixed size are shuffled to the items' distinct windows and joined on their words, the frequent ones
+salted: same result, any size.  Both ways a window that many items share is one entry; its items are looked up after the
+search, once for each set of windows that documents have.
 
 Defined results: null and empty texts have no words and are clean; rows with equal ids are judged each for itself; a
 null id is passed on; repeated benchmark rows count once for each item id; items without words, or without id, are left
 out of the item list (the words of an item without id still count as hits); ids of documents and items may have any
-type, an item's is named as text; a single long text is one batch.
+type, an item's is named as text; a single long text is one batch; an empty table of documents gives no rows, one of items
+no hits; other columns of ``docs``, whatever their names, are passed on with ``keep`` (but those that a result's name replaces).
 """
 
 from __future__ import annotations
@@ -34,6 +37,12 @@ BROADCAST_BYTES = 32_000_000
 FILTER_BITS = 1 << 27
 #: Bytes of text whose windows are looked up together.
 AT_ONCE = 1_000_000
+#: Sets of windows whose items a task remembers.
+KNOWN_SETS = 4096
+#: Beyond the bound, rows of one window (one a document) that are joined together, about.
+TASK_HITS = 100_000
+#: Digest of no items.
+NO_ITEMS = hashlib.sha256(b"").hexdigest()
 U = np.uint64
 I64 = pa.int64()
 
@@ -68,21 +77,36 @@ def _item_windows(first: np.ndarray, size: int):
         yield n, np.repeat(first[:-1][items] - ahead, many) + np.arange(many.sum()), np.repeat(items, many)
 
 
+def _gram(data: bytes, starts: np.ndarray, ends: np.ndarray, at: int, n: int) -> bytes:
+    return b" ".join([data[s:e] for s, e in zip(starts[at : at + n].tolist(), ends[at : at + n].tolist(), strict=True)])
+
+
 class NgramSet:
-    """Windows of a bounded set of benchmark items: by length, sorted hashes, first words and item numbers.
+    """Distinct windows of a bounded set of benchmark items: by length, sorted hashes, first words and lists of item numbers.
 
     The items' words are held once, as bytes and the start and end of each, so that the set takes some six times the
-    bytes of the items' texts.
+    bytes of the items' texts.  A window that many items share is one entry with a run of ``owners``.
     """
 
     def __init__(self, names: list, column: pa.Array, size: int):
         roll, self.names = _Roll(), names
         buf, starts, ends, first, sums = roll.words(column)
-        self.tables = []
+        data, self.tables = buf.tobytes(), []
         for n, at, items in _item_windows(first, size):
             hashes = roll.windows(sums, n)[at]
             order = np.argsort(hashes, kind="stable")
-            self.tables.append((n, hashes[order], at[order].astype(np.int32), items[order].astype(np.int32)))
+            hashes, at, items = hashes[order], at[order], items[order]
+            new = np.r_[True, hashes[1:] != hashes[:-1]]
+            edges = np.append(np.flatnonzero(new), len(hashes))
+            for k in np.flatnonzero(np.diff(edges) > 1).tolist():  # equal hashes: windows are told apart by their words
+                span = slice(edges[k], edges[k + 1])
+                grams = [_gram(data, starts, ends, i, n) for i in at[span].tolist()]
+                if len(set(grams)) > 1:
+                    again = sorted(range(len(grams)), key=grams.__getitem__)
+                    at[span], items[span] = at[span][again], items[span][again]
+                    new[span] = [i == 0 or grams[again[i]] != grams[again[i - 1]] for i in range(len(again))]
+            heads = np.flatnonzero(new)
+            self.tables.append((n, hashes[heads], at[heads].astype(np.int32), np.append(heads, len(hashes)).astype(np.int32), items.astype(np.int32)))
         del sums
         self.buf, self.starts, self.ends = buf, starts.astype(np.int32), ends.astype(np.int32)
 
@@ -90,44 +114,56 @@ class NgramSet:
     def nbytes(self) -> int:
         return sum(x.nbytes for x in (self.buf, self.starts, self.ends)) + sum(x.nbytes for t in self.tables for x in t[1:])
 
-
-def _gram(data: bytes, starts: np.ndarray, ends: np.ndarray, at: int, n: int) -> bytes:
-    return b" ".join([data[s:e] for s, e in zip(starts[at : at + n].tolist(), ends[at : at + n].tolist(), strict=True)])
+    def items(self, windows: tuple) -> tuple[int, str]:
+        """Number of the items that have some of the windows ``(table, entry)``, and their ids' digest."""
+        owners = [self.tables[t][4][self.tables[t][3][k] : self.tables[t][3][k + 1]] for t, k in windows]
+        found = sorted({self.names[k] for k in np.unique(np.concatenate(owners)).tolist()} - {None})
+        return len(found), hashlib.sha256(",".join(found).encode()).hexdigest()
 
 
 def _scan(batches, shared):
-    """Per document: number of words, hit words (merged, as starts and ends), ids of the items found."""
-    roll, found_in = _Roll(), shared.value
+    """Per document: number of words, hit words (merged, as starts and ends), number and digest of the items found.
+
+    An occurrence of a window costs one comparison of words, however many items share it; a set of windows is turned
+    into items once for all documents of the task that have the same set (or until too many sets are remembered).
+    """
+    roll, found_in, known = _Roll(), shared.value, {}
     item_data = found_in.buf.tobytes()
     for batch in kernel.chunks(batches, "text", AT_ONCE):
         buf, starts, ends, first, sums = roll.words(batch.column(1))
         data, n_docs = buf.tobytes(), batch.num_rows
         text = np.repeat(np.arange(n_docs), np.diff(first))
         edges = np.zeros(len(starts) + 1, np.int64)
-        items: dict[int, set] = {}
-        for n, hashes, places, owners in found_in.tables:
+        windows: dict[int, set] = {}
+        for table, (n, hashes, places, _, _) in enumerate(found_in.tables):
             h = roll.windows(sums, n)
             place = np.searchsorted(hashes, h)
             place[place == len(hashes)] = 0
             for i in np.flatnonzero((hashes[place] == h) & (text[: len(h)] == text[n - 1 :])).tolist():
                 gram, k = _gram(data, starts, ends, i, n), int(place[i])
-                while k < len(hashes) and hashes[k] == h[i]:
+                while k < len(hashes) and hashes[k] == h[i]:  # one entry, but for colliding hashes
                     if _gram(item_data, found_in.starts, found_in.ends, int(places[k]), n) == gram:
                         edges[i] += 1
                         edges[i + n] -= 1
-                        items.setdefault(int(text[i]), set()).add(found_in.names[owners[k]])
+                        windows.setdefault(int(text[i]), set()).add((table, k))
                     k += 1
         inside, spans_s, spans_e, counts = np.cumsum(edges[:-1]) > 0, [], [], np.zeros(n_docs, np.int64)
-        for k in sorted(items):  # only documents with a hit
+        n_items, digests = np.zeros(n_docs, np.int64), [NO_ITEMS] * n_docs
+        for k in sorted(windows):  # only documents with a hit
             step = np.diff(np.r_[False, inside[first[k] : first[k + 1]], False].astype(np.int8))
             spans_s.append(np.flatnonzero(step == 1))
             spans_e.append(np.flatnonzero(step == -1))
             counts[k] = len(spans_s[-1])
+            own = tuple(sorted(windows[k]))
+            if own not in known:
+                if len(known) >= KNOWN_SETS:
+                    known.clear()
+                known[own] = found_in.items(own)
+            n_items[k], digests[k] = known[own]
         join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        found = [sorted(items.get(k, set()) - {None}) for k in range(n_docs)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(np.diff(first), I64), kernel.lists(join(spans_s), counts, I64), kernel.lists(join(spans_e), counts, I64), pa.array(found, pa.list_(pa.string()))],
-            [*batch.schema.names, "n_words", "span_starts", "span_ends", "items"],
+            [*batch.columns, pa.array(np.diff(first), I64), kernel.lists(join(spans_s), counts, I64), kernel.lists(join(spans_e), counts, I64), pa.array(n_items), pa.array(digests)],
+            [*batch.schema.names, "n_words", "span_starts", "span_ends", "n_items", "items_sha256"],
         )
 
 
@@ -148,7 +184,7 @@ def _filter_bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grams_of_documents(batches, lengths: list, shared):
-    """Those windows of each document whose hash passes the filter of the items' hashes."""
+    """Of each document its distinct windows whose hash passes the filter of the items' hashes, with their places."""
     roll, bits = _Roll(), shared.value
     passes = lambda b: (bits[b >> U(6)] >> (b & U(63))) & U(1) == 1
     for batch in kernel.chunks(batches, "text", AT_ONCE):
@@ -157,11 +193,14 @@ def _grams_of_documents(batches, lengths: list, shared):
         for n in lengths:
             h = roll.windows(sums, n)
             one, two = _filter_bits(h)
-            at = np.flatnonzero(passes(one) & passes(two) & (text[: len(h)] == text[n - 1 :]))
-            grams = [_gram(data, starts, ends, i, n) for i in at.tolist()]
-            arrays = [pa.array(np.full(len(at), n), pa.int32()), pa.array(h[at].view(np.int64), I64), pa.array(grams, pa.binary()), pa.array(at - first[text[at]], I64)]
-            row = pa.array(text[at])
-            yield pa.RecordBatch.from_arrays([*arrays, batch.column(0).take(row), batch.column(2).take(row)], ["n", "hash", "gram", "at", "found_id", "found_hash"])
+            found: dict[tuple[int, bytes], list[int]] = {}
+            for i in np.flatnonzero(passes(one) & passes(two) & (text[: len(h)] == text[n - 1 :])).tolist():
+                found.setdefault((int(text[i]), _gram(data, starts, ends, i, n)), []).append(i)
+            row = pa.array([r for r, _ in found], pa.int32())
+            hashes = h[[p[0] for p in found.values()]].view(np.int64)
+            places = [[i - first[r] for i in p] for (r, _), p in found.items()]
+            arrays = [pa.array(np.full(len(found), n), pa.int32()), pa.array(hashes, I64), pa.array([g for _, g in found], pa.binary()), pa.array(places, pa.list_(I64))]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column(0).take(row), batch.column(2).take(row)], ["n", "hash", "gram", "places", "found_id", "found_hash"])
 
 
 def _count_words(batches):
@@ -183,14 +222,27 @@ def _by_shuffle(source: DataFrame, bench: DataFrame, columns: str, size: int) ->
     table = np.zeros(FILTER_BITS // 64, U)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(U)
     shared = source.sparkSession.sparkContext.broadcast(table)
-    named = grams.groupBy("n", "hash", "gram").agg(F.collect_set("item").alias("items"))  # nulls are left out
+    items = checkpointed(grams.groupBy("n", "hash", "gram").agg(F.collect_set("item").alias("items")).withColumn("window", F.monotonically_increasing_id()))  # null items are left out
     hashed = source.select("id", "text", F.xxhash64("text").alias("text_hash"))
     kind = source.schema["id"].dataType.simpleString()
-    mine = hashed.mapInArrow(lambda b: _grams_of_documents(b, lengths, shared), f"n int, hash long, gram binary, at long, found_id {kind}, found_hash long")
-    hits = mine.distinct().join(named, ["n", "hash", "gram"])
-    by_row = hits.groupBy("found_id", "found_hash").agg(
-        F.collect_list("at").alias("span_starts"), F.collect_list(F.col("at") + F.col("n")).alias("span_ends"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items")
+    mine = hashed.mapInArrow(lambda b: _grams_of_documents(b, lengths, shared), f"n int, hash long, gram binary, places array<long>, found_id {kind}, found_hash long")
+    mine = checkpointed(mine)
+    # Windows meet without their items.  One that a great many documents have is dealt to several tasks.
+    hot = mine.groupBy("n", "hash").agg(F.floor(F.count(F.lit(1)) / TASK_HITS).alias("more")).where("more > 0")
+    salts = items.select("n", "hash", "gram", "window").join(hot, ["n", "hash"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("more", F.lit(0).cast("long")))))
+    salted = mine.join(hot, ["n", "hash"], "left").withColumn("salt", F.pmod(F.xxhash64("found_id", "found_hash"), F.coalesce("more", F.lit(0).cast("long")) + 1))
+    hits = salted.drop("more").join(salts.drop("more"), ["n", "hash", "gram", "salt"])
+    spans = hits.groupBy("found_id", "found_hash").agg(
+        F.collect_set(F.struct("n", "places")).alias("found"), F.array_sort(F.collect_set("window")).alias("windows")
     )
+    starts = F.flatten(F.transform("found", lambda f: f.places))
+    ends = F.flatten(F.transform("found", lambda f: F.transform(f.places, lambda x: x + f.n)))
+    by_row = checkpointed(spans.select("found_id", "found_hash", starts.alias("span_starts"), ends.alias("span_ends"), "windows"))
+    # Each set of windows is turned into items once, however many documents have it.
+    sets = by_row.select("windows").distinct().select("windows", F.explode("windows").alias("window")).join(items.select("window", "items"), "window")
+    named = sets.groupBy("windows").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    named = named.select("windows", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+    by_row = by_row.join(named, "windows").drop("windows")
     counted = source.mapInArrow(_count_words, f"{columns}, n_words bigint").withColumn("text_hash", F.xxhash64("text"))
     same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
     return counted.join(by_row, same, "left").drop("found_id", "found_hash", "text_hash")
@@ -207,19 +259,18 @@ def _merge(starts: list, ends: list) -> tuple[list, list]:
 
 
 def _verdict(batches, min_share: int, with_cut: bool, keep: bool):
-    """From the found spans to counts, the item digest, the verdict and, if asked for, the text without its hit words."""
+    """From the found spans to counts, the verdict and, if asked for, the text without its hit words."""
     for batch in batches:
-        used = [c for c in ("n_words", "span_starts", "span_ends", "items", "text") if c != "text" or with_cut]
+        used = [c for c in ("n_words", "span_starts", "span_ends", "n_items", "items_sha256", "text") if c != "text" or with_cut]
         rows = batch.select(used).to_pydict()
         out: dict[str, list] = {c: [] for c in ("n_hit", "n_items", "items_sha256", "contaminated", "clean_text")}
         for k in range(batch.num_rows):
             starts, ends = _merge(rows["span_starts"][k] or [], rows["span_ends"][k] or [])
             n_hit = sum(ends) - sum(starts)
-            names = sorted(set(rows["items"][k] or []))
             bad = n_hit > 0 and min_share * n_hit >= rows["n_words"][k]
             out["n_hit"].append(n_hit)
-            out["n_items"].append(len(names))
-            out["items_sha256"].append(hashlib.sha256(",".join(names).encode()).hexdigest())
+            out["n_items"].append(rows["n_items"][k] or 0)
+            out["items_sha256"].append(rows["items_sha256"][k] or NO_ITEMS)
             out["contaminated"].append(bad)
             if with_cut:
                 out["clean_text"].append(_without(rows["text"][k], starts, ends) if starts else rows["text"][k])
@@ -256,11 +307,11 @@ def decontaminate(
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), *(F.col(c).alias(n) for c, n in kept.items()))
     bench = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
-    total = bench.agg(F.sum(F.octet_length("text") + 64).alias("n")).first()["n"] or 0
+    total = bench.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0)) + 64).alias("n")).first()["n"] or 0
     if total <= broadcast_bytes:
         items = bench.toArrow().combine_chunks()
         shared = docs.sparkSession.sparkContext.broadcast(NgramSet(items.column("item").to_pylist(), items.column("text"), size))
-        found = "n_words bigint, span_starts array<bigint>, span_ends array<bigint>, items array<string>"
+        found = "n_words bigint, span_starts array<bigint>, span_ends array<bigint>, n_items bigint, items_sha256 string"
         scanned = source.mapInArrow(lambda b: _scan(b, shared), f"{columns}, {found}")
     else:
         scanned = _by_shuffle(source, bench, columns, size)

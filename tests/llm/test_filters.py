@@ -1,5 +1,7 @@
 """Quality rules, decontamination, URL filters and the classifier: edges, and held-out accuracy."""
 
+import hashlib
+import time
 import zlib
 
 import numpy as np
@@ -195,3 +197,30 @@ def test_dual_coordinate_descent_reaches_the_optimum_of_a_dense_fit():
         alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, qc.COST)
     best = loss((alpha * side) @ x)
     assert loss(np.r_[model.weights / ratio, model.bias]) < 1.01 * best
+
+
+def test_a_window_that_very_many_items_share(spark, monkeypatch):
+    """Cost goes by distinct windows, not by items times occurrences, and rows of a hot one-word item go to several tasks."""
+    line = " ".join(f"q{k}" for k in range(13))
+    names, texts = [str(k) for k in range(100_000)], [line] * 100_000
+    found = dc.NgramSet(names, pa.array(texts), dc.WINDOW_WORDS)
+    assert [len(t[1]) for t in found.tables] == [1]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([f"{line} x " * 400, "clean"])], ["id", "text"])
+    begun = time.perf_counter()
+    (out,) = dc._scan(iter([batch]), type("Shared", (), {"value": found}))
+    assert time.perf_counter() - begun < 2 and out.column("n_items").to_pylist() == [100_000, 0]
+    assert out.column("items_sha256")[0].as_py() == hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+    monkeypatch.setattr(dc, "TASK_HITS", 10)
+    docs = spark.createDataFrame([(k, f"the {line} a b" if k % 3 else f"the dog{k}") for k in range(120)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, line) for k in range(50)] + [(50, "the"), (51, f"{line} a"), (None, "dog7")], "item_id long, text string")
+    whole, shuffled = (sorted(map(tuple, dc.decontaminate(docs, bench, broadcast_bytes=n).collect())) for n in (10**9, 0))
+    assert whole == shuffled and {r[3] for r in whole} == {1, 52} and all(r[5] for r in whole)
+
+
+def test_colliding_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(dc._Roll, "windows", lambda self, sums, n: np.zeros(max(0, len(sums) - n), np.uint64))
+    found = dc.NgramSet(["a", "b", "c"], pa.array(["x y", "z w", "x y"]), 13)
+    assert [t[3].tolist() for t in found.tables] == [[0, 2, 3]]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["k x y", "z w"])], ["id", "text"])
+    (out,) = dc._scan(iter([batch]), type("Shared", (), {"value": found}))
+    assert out.column("n_items").to_pylist() == [2, 1] and out.column("span_starts").to_pylist() == [[1], [0]]
