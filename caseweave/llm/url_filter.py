@@ -6,18 +6,33 @@ the rule's; the longest fitting rule wins.  They are compiled into one expressio
 Where no stated rule fits, mined rules decide.  A URL's tokens are its scheme, host labels, path parts (numbers as one
 token), query keys and fragment.  Labelled URLs, with a token for a bad label added, are mined by Spark's FP-growth.
 Rules ``tokens -> bad`` are pruned by support and confidence, by the significance of their bad share (chi-square), and
-by dropping each rule that a smaller one covers.  Matching is by inverted index: each rule is listed under its rarest
-token; a URL's tokens look up candidate rules by an equi-join, and a candidate fits if the URL has all its tokens.  Only
-distinct token sets are matched, and the sets that some rule fits are broadcast to the pages (or salted, if large), so a
-hot host costs its token set once.  The rules are never collected.
+by dropping rules that a smaller one covers.  FP-growth would list every subset of a URL that is repeated, so it gets
+baskets in which such subsets are already one:
+
+- tokens with too few bad rows for any rule are dropped, and tokens of the very same labelled rows become one class, since a
+  rule with one of them is as good as one with another of them or several (rows are told apart by 128 bits of hash);
+- a class that is a rule by itself leaves, as larger rules with it add nothing;
+- each basket is dealt out once for each of its classes as leader, with the more frequent classes of the basket.  Classes
+  that all of the leader's rows have are left out, and those of the same rows among the leader's become one.  So nested URLs
+  (``/a``, ``/a/b``, ...) give single classes too.  Items carry their leader's name, so one run mines all leaders.
+
+What is left to mine are combinations that differ in their rows; the time grows with the number of these, and with the
+square of a labelled URL's classes.  A rule is a list of groups of tokens; it fits a URL that has a token of each group.
+Matching is by inverted index: each rule is listed under the tokens of its rarest group; a URL's tokens look up
+candidate rules by an equi-join, and a candidate fits if the URL has a token of all its groups.  Only distinct token sets
+are matched, and the sets that some rule fits are broadcast to the pages (or salted, if large), so a hot host costs its
+token set once.  The rules are never collected.
 
 Defined results: a null URL or one without ``://`` has empty host and path and no tokens, so it is allowed; repeated
 rows each get their verdict; labels without a page, and pages without a label, take no part in mining; with no labelled
-pages there are no mined rules.
+pages there are no mined rules; URLs are taken whole, however long; no pages give no rows; columns besides ``page_id``
+and ``url`` are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +49,8 @@ RULES = (
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label=bad"
+#: Between a leader's name and an item's; no token begins with it, so names can't be mixed up.
+SEPARATOR = "\x00"
 MIN_SUPPORT = 0.002
 #: Rows that a mined combination must have whatever the share, so that small tables don't mine single rows.
 MIN_ROWS = 5
@@ -84,39 +101,78 @@ def mined_rules(
     pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
     min_rows: int = MIN_ROWS, min_chi_square: float = MIN_CHI_SQUARE,
 ) -> DataFrame:
-    """Rules ``antecedent`` (sorted tokens) -> bad, minimal ones only."""
+    """Rules -> bad: ``groups`` (a URL needs a token of each), and ``antecedent``, the first token of each group, sorted."""
     judged = labels.where("quality is not null or toxic is not null")
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     judged = judged.groupBy("doc_id").agg(F.max(bad).alias("bad"))
-    rows = pages.join(judged, F.col("page_id") == F.col("doc_id")).select(tokens_of(F.col("url")).alias("tokens"), "bad")
-    rows = rows.where(F.size("tokens") > 0)
-    items = F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
-    baskets = checkpointed(rows.select(items.alias("items"), F.col("bad").cast("int").alias("bad")))
-    n, n_bad = baskets.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
-    if not n:
-        return pages.sparkSession.createDataFrame([], "antecedent array<string>")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / n)), minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    hits = F.round(F.col("support") * n)
-    fits = F.round(hits / F.col("confidence"))
-    apart = F.pow(hits * n - fits * n_bad, F.lit(2)) >= F.lit(float(min_chi_square)) * fits * n_bad * (n - n_bad)
-    found = checkpointed(found.where(apart & (hits * n > fits * n_bad)).select(F.array_sort("antecedent").alias("antecedent")))
-    # a rule that contains a smaller rule adds nothing: each rule is listed under its rarest token, and looked up by all tokens
-    spread = found.select("antecedent", F.explode("antecedent").alias("token"))
-    often = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rarest = spread.join(often, "token").groupBy("antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
-    inside = (F.size("small") < F.size("antecedent")) & (F.size(F.array_except("small", "antecedent")) == 0)
-    larger = spread.join(rarest.withColumnRenamed("antecedent", "small"), "token").where(inside)
-    return found.join(larger.select("antecedent").distinct(), "antecedent", "left_anti")
+    rows = pages.join(judged, F.col("page_id") == F.col("doc_id")).select(tokens_of(F.col("url")).alias("tokens"), F.col("bad").cast("int").alias("bad"))
+    rows = checkpointed(rows.where(F.size("tokens") > 0).withColumn("row", F.monotonically_increasing_id()))
+    n, n_bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    empty = pages.sparkSession.createDataFrame([], "antecedent array<string>, groups array<array<string>>")
+    if not 0 < n_bad < n:
+        return empty
+    # a rule with fewer bad rows can't be significant, even if all its rows are bad
+    least = max(1, math.ceil(min_support * n), min_rows, math.ceil(min_chi_square * n_bad / (n - n_bad)))
+
+    def sure(hits: Column, fits: Column) -> Column:
+        apart = F.pow(hits * n - fits * n_bad, F.lit(2)) >= F.lit(float(min_chi_square)) * fits * n_bad * (n - n_bad)
+        return apart & (hits * n > fits * n_bad) & (hits >= min_confidence * fits)
+
+    same_rows = [F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("y")]
+    counts = [F.count(F.lit(1)).alias("fits"), F.sum("bad").alias("hits"), *same_rows]
+    occurs = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    often = occurs.groupBy("token").agg(*counts).where(F.col("hits") >= least)
+    classes = often.groupBy("fits", "hits", "x", "y").agg(F.min("token").alias("class"), F.array_sort(F.collect_list("token")).alias("tokens"))
+    classes = checkpointed(classes.select("class", "tokens", "fits", "hits", sure(F.col("hits"), F.col("fits")).alias("alone")))
+    single = classes.where("alone").select(F.array("class").alias("antecedent"), F.array("tokens").alias("groups"))
+    # one token stands for its class, as it has the same rows
+    held = checkpointed(occurs.join(classes.where("not alone").select(F.col("class").alias("token"), "fits"), "token").withColumnRenamed("token", "class"))
+    leaders, others = held.select("row", "bad", F.col("class").alias("leader"), F.col("fits").alias("led")), held.select("row", F.col("class").alias("other"), F.col("fits").alias("n"))
+    pairs = leaders.join(others, "row").where((F.col("n") > F.col("led")) | ((F.col("n") == F.col("led")) & (F.col("other") > F.col("leader"))))
+    within = pairs.groupBy("leader", "led", "other").agg(*counts).where((F.col("hits") >= least) & (F.col("fits") < F.col("led")))
+    alike = within.join(classes.select(F.col("class").alias("other"), "tokens"), "other").groupBy("leader", "fits", "hits", "x", "y")
+    alike = checkpointed(alike.agg(F.min("other").alias("other"), F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens")))
+    item = F.concat("leader", F.lit(SEPARATOR), "other")
+    baskets = pairs.join(alike.select("leader", "other"), ["leader", "other"]).groupBy("row", "leader", "bad").agg(F.collect_list(item).alias("items"))
+    tag = F.concat("leader", F.lit(SEPARATOR + BAD))
+    baskets = checkpointed(baskets.select(F.when(F.col("bad") == 1, F.concat("items", F.array(tag))).otherwise(F.col("items")).alias("items")))
+    n_baskets = baskets.count()
+    if not n_baskets:
+        return checkpointed(single)
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_baskets, minConfidence=min_confidence).fit(baskets)
+    hits = F.round(F.col("support") * n_baskets)
+    found = model.associationRules.where(F.col("consequent")[0].endswith(SEPARATOR + BAD) & sure(hits, F.round(hits / F.col("confidence"))))
+    found = checkpointed(found.select(F.array_sort("antecedent").alias("items")))
+    # a rule that contains a smaller rule adds nothing: each rule is listed under its rarest item, and looked up by all items
+    spread = found.select("items", F.explode("items").alias("item"))
+    listed = _rarest(spread, "items", "item", spread.groupBy("item").agg(F.count(F.lit(1)).alias("n")))
+    inside = (F.size("small") < F.size("items")) & (F.size(F.array_except("small", "items")) == 0)
+    larger = spread.join(listed.withColumnRenamed("items", "small"), "item").where(inside)
+    minimal = found.join(larger.select("items").distinct(), "items", "left_anti").select("items", F.explode("items").alias("item"))
+    named = minimal.join(alike.select(item.alias("item"), "leader", "other", "tokens"), "item").groupBy("items", "leader").agg(
+        F.collect_list("other").alias("others"), F.collect_list("tokens").alias("groups")
+    )
+    led = classes.select(F.col("class").alias("leader"), F.col("tokens").alias("own"))
+    mined = named.join(led, "leader").select(
+        F.array_sort(F.concat(F.array("leader"), "others")).alias("antecedent"), F.concat(F.array("own"), "groups").alias("groups")
+    )
+    return checkpointed(single.unionByName(mined))
+
+
+def _rarest(spread: DataFrame, of: str, token: str, often: DataFrame) -> DataFrame:
+    """``of`` with its rarest ``token`` by ``often``."""
+    return spread.join(often, token, "left").groupBy(of).agg(F.min_by(token, F.struct(F.coalesce("n", F.lit(0)), token)).alias(token))
 
 
 def matched_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct ``tokens`` of ``sets`` that some rule fits."""
     spread = sets.select("tokens", F.explode("tokens").alias("token"))
     often = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    listed = rules.select("antecedent", F.explode("antecedent").alias("token")).join(often, "token", "left")
-    rarest = listed.groupBy("antecedent").agg(F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
-    met = spread.join(rarest, "token").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    listed = rules.select("groups", F.posexplode("groups").alias("at", "group")).select("groups", "at", F.explode("group").alias("token"))
+    rare = listed.join(often, "token", "left").groupBy("groups", "at").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+    rare = rare.groupBy("groups").agg(F.min_by("at", F.struct("n", "at")).alias("at"))
+    index = listed.join(rare, ["groups", "at"]).select("token", "groups")
+    met = spread.join(index, "token").where(F.forall("groups", lambda g: F.arrays_overlap(g, F.col("tokens"))))
     return met.select("tokens").distinct()
 
 
@@ -141,7 +197,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, broad
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens"))
     name, verdict = stated_rule(F.col("host"), F.col("path"), rules)
     judged = judged.withColumns({"rule": name, "stated": verdict})
-    mined = checkpointed(mined_rules(pages, labels, **mining))
+    mined = mined_rules(pages, labels, **mining)
     if mined.isEmpty():
         out = judged.withColumn("bad", F.lit(False))
     else:

@@ -1,6 +1,7 @@
 """Quality rules, decontamination, URL filters and the classifier: edges, and held-out accuracy."""
 
 import hashlib
+import itertools
 import time
 import zlib
 
@@ -224,3 +225,49 @@ def test_colliding_hashes_are_told_apart(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["k x y", "z w"])], ["id", "text"])
     (out,) = dc._scan(iter([batch]), type("Shared", (), {"value": found}))
     assert out.column("n_items").to_pylist() == [2, 1] and out.column("span_starts").to_pylist() == [[1], [0]]
+
+
+def blocked_by_all_subsets(rows, pages, support=uf.MIN_SUPPORT, confidence=uf.MIN_CONFIDENCE, least=uf.MIN_ROWS, chi=uf.MIN_CHI_SQUARE):
+    """Pages that some combination of tokens blocks, trying every subset of the labelled rows' tokens."""
+    n, n_bad = len(rows), sum(bad for _, bad in rows)
+    subsets = {frozenset(s) for tokens, _ in rows for k in range(1, len(tokens) + 1) for s in itertools.combinations(sorted(tokens), k)}
+    rules = []
+    for s in subsets:
+        fits, hits = sum(s <= t for t, _ in rows), sum(bad and s <= t for t, bad in rows)
+        enough = hits >= max(support * n, least) and hits >= confidence * fits and hits * n > fits * n_bad
+        if enough and (hits * n - fits * n_bad) ** 2 >= chi * fits * n_bad * (n - n_bad):
+            rules.append(s)
+    return {key for key, tokens in pages.items() if any(s <= tokens for s in rules)}, len(rules)
+
+
+def test_mined_verdicts_equal_those_of_all_subsets(spark):
+    rng = np.random.default_rng(12)
+    made = []
+    for i in range(900):
+        a, b, c = rng.integers(4, size=3)
+        deep = "/".join("pqrs"[: rng.integers(5)])  # nested paths
+        made.append((i, f"http://h{a}.k{b}.io/{deep}/x{c}" + ("?u=1" if a == b else ""), int(not ((a == 1 and c == 2) or (b == 3 and len(deep) > 4) or rng.random() < 0.15))))
+    df = spark.createDataFrame([r[:2] for r in made], "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in made if i % 3], "doc_id long, quality int, toxic int")
+    tokens = {r.page_id: frozenset(r.t) for r in df.select("page_id", uf.tokens_of(F.col("url")).alias("t")).collect()}
+    rows = [(tokens[i], q == 0) for i, q, _ in labels.collect()]
+    for options in ({}, {"min_chi_square": 4.0, "min_confidence": 0.3}):
+        names = {"min_chi_square": "chi", "min_confidence": "confidence"}
+        expected, n_rules = blocked_by_all_subsets(rows, tokens, **{names[k]: v for k, v in options.items()})
+        out = {r.page_id for r in uf.filter_urls(df, labels, (), **options).collect() if r.verdict == "block"}
+        assert out == expected and n_rules > 3 and 0 < len(out) < 900
+        assert uf.mined_rules(df, labels, **options).count() < n_rules
+
+
+def test_mining_ends_on_deep_repeated_and_nested_urls(spark):
+    name = lambda k: f"{chr(97 + k // 26)}{chr(97 + k % 26)}"  # noqa: E731  (numbers are one token)
+    parts = [f"p{name(k)}" for k in range(40)]
+    deep = [(i, "http://deep.io/" + "/".join(parts)) for i in range(10)]
+    nested = [(100 + 12 * d + i, "http://nest.io/" + "/".join(f"n{name(k)}" for k in range(d + 1))) for d in range(30) for i in range(12)]
+    other = [(1000 + i, f"http://o{i % 7}.net/{i % 11}") for i in range(500)]
+    df = spark.createDataFrame(deep + nested + other, "page_id long, url string")
+    bad = {i for i, _ in deep} | {i for i, u in nested if f"n{name(20)}" in u}
+    labels = spark.createDataFrame([(i, int(i not in bad), 0) for i, _ in deep + nested + other], "doc_id long, quality int, toxic int")
+    begun = time.perf_counter()
+    assert {r.page_id for r in uf.filter_urls(df, labels, (), min_confidence=0.95).collect() if r.verdict == "block"} == bad
+    assert time.perf_counter() - begun < 60
