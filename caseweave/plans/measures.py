@@ -165,22 +165,22 @@ def tfidf_vectors(spark, sf_dir):
 PAIRS = f"{TFIDF}, pairs AS (SELECT a.in_id AS i, b.in_id AS j, sum(a.weight * b.weight) AS cosine FROM vectors a JOIN vectors b USING (term) WHERE a.in_id < b.in_id GROUP BY ALL HAVING sum(a.weight * b.weight) >= 0.35 - 1e-12)"
 
 
-def _pairs(spark, sf_dir):
+def _vectors(spark, sf_dir):
     frame = incidents(spark, sf_dir)
-    pairs = sim.similar_pairs(sim.tfidf(frame, "in_id", "brief_description"), "in_id")
-    return sim.pair_flags(pairs, frame, "in_id", ["a_l1", "b_l1", "a_l4"])
+    return sim.tfidf(frame, "in_id", "brief_description"), "in_id", frame, ["a_l1", "b_l1", "a_l4"]
 
 
 @query(f"""WITH {PAIRS} SELECT i, j, round(cosine, 6) AS cosine, x.a_l1 IS NOT DISTINCT FROM y.a_l1 AS same_a_l1, x.b_l1 IS NOT DISTINCT FROM y.b_l1 AS same_b_l1,
 x.a_l4 IS NOT DISTINCT FROM y.a_l4 AS same_a_l4 FROM pairs JOIN incidents x ON x.in_id = i JOIN incidents y ON y.in_id = j""")
 def similar_pairs(spark, sf_dir):
-    return rounded(_pairs(spark, sf_dir), "cosine")
+    vectors, key, frame, columns = _vectors(spark, sf_dir)
+    return rounded(sim.similar_pairs(vectors, key, frame=frame, columns=columns), "cosine")
 
 
 @query(f"""WITH {PAIRS} SELECT count(*) AS pairs, round(avg(CAST(x.a_l1 IS NOT DISTINCT FROM y.a_l1 AS DOUBLE)) * 100, 6) AS same_a_l1_pct, round(avg(CAST(x.b_l1 IS NOT DISTINCT FROM y.b_l1 AS DOUBLE)) * 100, 6) AS same_b_l1_pct,
 round(avg(CAST(x.a_l4 IS NOT DISTINCT FROM y.a_l4 AS DOUBLE)) * 100, 6) AS same_a_l4_pct FROM pairs JOIN incidents x ON x.in_id = i JOIN incidents y ON y.in_id = j""")
 def pair_stability_summary(spark, sf_dir):
-    return rounded(sim.stability_summary(_pairs(spark, sf_dir)), "same_a_l1_pct", "same_b_l1_pct", "same_a_l4_pct")
+    return rounded(sim.stability_counts(*_vectors(spark, sf_dir)), "same_a_l1_pct", "same_b_l1_pct", "same_a_l4_pct")
 
 
 def sql_cosine(a: str, b: str) -> str:
