@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from caseweave.functions import text as tx
 from caseweave.operators import classify as cf
-from caseweave.plans.base import INCIDENTS, incidents, query, sql_trueish, table
+from caseweave.plans.base import INCIDENTS, incidents, query, sql_norm, sql_trueish, sql_usable, table
+from caseweave.plans.comparison import rounded
 from caseweave.plans.validation import L4TAX, _l4tax
 from caseweave.sources import io
 from caseweave.sources.shared import scratch
@@ -212,47 +213,67 @@ def _events(spark, sf_dir):
     return st.file_stream(spark, f"{sf_dir}/event[s].parquet")  # a pattern: a stream takes a folder or a pattern, not a file
 
 
+def _dedup(spark, sf_dir, name: str, delay: str):
+    out, target = scratch(spark, name), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")).where("user_id % 3 = 0")
+    fresh = st.incremental_dedup(_events(spark, sf_dir).select("user_id", "ts"), st.known_ids(target, "user_id", f"{out}-known"), "user_id", "ts", delay)
+    st.run_once(fresh.select("user_id").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
+    return spark.read.schema("user_id long").parquet(out), target
+
+
 @query("SELECT DISTINCT user_id FROM events WHERE user_id % 3 <> 0")
 def stream_incremental_dedup(spark, sf_dir):
-    out, target = scratch(spark, "dedup"), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")).where("user_id % 3 = 0")
     # a delay longer than the table: each id passes once, and nothing here takes away what the stream gives out twice
-    fresh = st.incremental_dedup(_events(spark, sf_dir).select("user_id", "ts"), target, "user_id", "ts", "36500 days")
-    st.run_once(fresh.select("user_id").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
-    return spark.read.schema("user_id long").parquet(out)
+    return _dedup(spark, sf_dir, "dedup", "36500 days")[0]
 
 
 @query("SELECT DISTINCT user_id FROM events WHERE user_id % 3 <> 0")
 def stream_dedup_with_late_rows(spark, sf_dir):
-    out, target = scratch(spark, "late-dedup"), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id")).where("user_id % 3 = 0")
-    fresh = st.incremental_dedup(_events(spark, sf_dir).select("user_id", "ts"), target, "user_id", "ts")
-    st.run_once(fresh.select("user_id").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
-    return st.complete_dedup(table(spark, sf_dir, "events"), spark.read.schema("user_id long").parquet(out), target, "user_id")
+    streamed, target = _dedup(spark, sf_dir, "late-dedup", "6 hours")
+    return st.complete_dedup(table(spark, sf_dir, "events"), streamed, target, "user_id")
 
 
-@query("SELECT user_id, event_type, value, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
-def stream_upsert(spark, sf_dir):
-    out = scratch(spark, "upsert")
-    sink = st.VersionedUpsert(out, "user_id", ["event_id"])
+def _through(spark, rows, sink) -> int:
+    """Runs a stream into a sink; the number of its last batch."""
     last = {"n": -1}
 
     def apply(batch, number):
         sink(batch, number)
         last["n"] = number
 
+    st.run_once(rows.writeStream.foreachBatch(apply).option("checkpointLocation", f"{sink.path}/state"))
+    return last["n"]
+
+
+@query("SELECT user_id, event_type, value, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def stream_upsert(spark, sf_dir):
+    sink = st.VersionedUpsert(scratch(spark, "upsert"), "user_id", ["event_id"])
     rows = _events(spark, sf_dir).select("user_id", "event_type", "value", "event_id")
-    st.run_once(rows.writeStream.foreachBatch(apply).option("checkpointLocation", f"{out}/state"))
-    return sink.read(spark, last["n"], rows.schema)
+    return sink.read(spark, _through(spark, rows, sink), rows.schema)
 
 
 @query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events
 WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(date_trunc('milliseconds', ts)) - INTERVAL 6 HOUR FROM events) GROUP BY ALL""")
 def stream_label_counts(spark, sf_dir):
-    out = scratch(spark, "counts")
-    counts = st.label_counts(_events(spark, sf_dir).select("event_type", "ts"), "event_type", "ts")
-    st.run_once(counts.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", f"{out}-state"))
-    streamed = spark.read.schema("start timestamp, event_type string, n long").parquet(out)
-    late = st.late_counts(table(spark, sf_dir, "events"), streamed, "event_type", "ts")
-    return st.complete_counts(streamed, late, "event_type").withColumn("start", F.col("start").cast("timestamp_ntz"))
+    sink = st.WindowCounts(scratch(spark, "counts"), "ts", {"L1": F.col("event_type")})
+    counts = sink.read(spark, _through(spark, _events(spark, sf_dir).select("event_type", "ts"), sink), sink.schema)
+    return st.closed_windows(counts).select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("label").alias("event_type"), "n")
+
+
+_EVENT_LEVELS = {"L1": "CASE WHEN event_id % 11 = 0 THEN ' None ' WHEN event_id % 13 = 0 THEN NULL ELSE event_type END", "L2": "CASE WHEN user_id % 9 = 0 THEN 'Other' ELSE concat('u', cast(user_id % 7 AS string)) END"}
+
+
+@query(f"""WITH s AS (SELECT date_trunc('hour', ts) AS start, level, v FROM (SELECT ts, unnest([{{'level': 'L1', 'v': {_EVENT_LEVELS["L1"]}}}, {{'level': 'L2', 'v': {_EVENT_LEVELS["L2"]}}}], recursive := true) FROM events)),
+c AS (SELECT start, level, CASE WHEN {sql_usable("v")} THEN {sql_norm("v")} END AS label, count(*) AS n FROM s GROUP BY ALL),
+w AS (SELECT start, level, CAST(sum(n) AS BIGINT) AS rows, coalesce(sum(n) FILTER (label IS NOT NULL), 0) * 100 / sum(n) AS usable_pct, count(*) FILTER (label IS NOT NULL) AS labels,
+  max(n) FILTER (label IS NOT NULL) * 100 / sum(n) FILTER (label IS NOT NULL) AS top_pct,
+  log2(sum(n) FILTER (label IS NOT NULL)) - sum(n * log2(n)) FILTER (label IS NOT NULL) / sum(n) FILTER (label IS NOT NULL) AS entropy FROM c GROUP BY ALL)
+SELECT start, level, rows, round(usable_pct, 6) AS usable_pct, labels, round(top_pct, 6) AS top_pct, round(entropy, 6) + 0.0 AS entropy,
+  round(usable_pct - lag(usable_pct) OVER b, 6) + 0.0 AS usable_drift, round(top_pct - lag(top_pct) OVER b, 6) + 0.0 AS top_drift FROM w WINDOW b AS (PARTITION BY level ORDER BY start)""")
+def stream_label_coverage(spark, sf_dir):
+    sink = st.WindowCounts(scratch(spark, "coverage"), "ts", {k: F.expr(e) for k, e in _EVENT_LEVELS.items()})
+    counts = sink.read(spark, _through(spark, _events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts"), sink), sink.schema)
+    out = st.coverage_by_window(counts).withColumn("start", F.col("start").cast("timestamp_ntz"))
+    return rounded(out, "usable_pct", "top_pct", "entropy", "usable_drift", "top_drift")
 
 
 @query("SELECT event_id, 'missing_in_target' AS side FROM events WHERE event_id % 10 = 0")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import StructField, StructType, TimestampType
 
+from caseweave.functions.labels import norm, usable
 from caseweave.operators.merge import keep_last, reconcile_ids
 
 
@@ -18,69 +25,208 @@ def run_once(query) -> None:
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def incremental_dedup(stream: DataFrame, target: DataFrame, key: str, moment: str, delay: str = "6 hours") -> DataFrame:
-    """New incidents: one row per id within the delay, without ids that the target holds."""
-    timed = stream.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, delay)
-    return timed.dropDuplicatesWithinWatermark([key]).join(target.select(key), key, "left_anti")
+def known_ids(target: DataFrame, key: str, path: str, closed: str | None = None) -> DataFrame:
+    """The target's ids (and when they were closed) as a stream, from a copy that is written to ``path`` once.
 
+    A restarted job doesn't read the target.  All files come with the first trigger, so the ids are in the state when the
+    first incidents are judged.
+    """
+    spark = target.sparkSession
+    moment = F.max(F.col(closed).cast("timestamp") if closed else F.lit(None).cast("timestamp")).alias("__moment")
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        target.where(F.col(key).isNotNull()).groupBy(key).agg(moment).write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(StructType([target.schema[key], StructField("__moment", TimestampType())])).parquet(path)
 
-def label_counts(stream: DataFrame, label: str, moment: str, width: str = "1 hour", delay: str = "6 hours") -> DataFrame:
-    """Rows per label and window, given out when the window is closed."""
-    timed = stream.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, delay)
-    counts = timed.groupBy(F.window(moment, width), label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col("window.start").alias("start"), label, "n")
 
+#: Moment of a known id that has none: above the first watermark, below all others.
+UNDATED = 1000
+#: Last moment of an id that stays for good.
+FOREVER = 1 << 60
 
-class VersionedUpsert:
-    """``foreachBatch`` sink: upserts each batch, and rewrites only what the batch touches.
 
-    Rows are kept in ``buckets`` parts by a hash of the key.  A batch reads the parts that its keys fall into, merges, and
-    writes these parts as version ``number``; a list of parts (at most ``buckets`` rows) says which version of each holds.
-    A key's row is the last one by ``order`` over all batches, so an older row in a later batch replaces nothing.  A
-    replayed batch starts from the list before it, so nothing is applied twice; no path is read and written at once.
-    Versions that neither the new list nor the one before it names are deleted.
-    """
+def incremental_dedup(
+    stream: DataFrame, known: DataFrame, key: str, moment: str, delay: str = "6 hours", look_back_hours: float = 24 * 366
+) -> DataFrame:
+    """New incidents: the first row of each id (by moment), without ids that ``known`` (see ``known_ids``) has given.
 
-    def __init__(self, path: str, key: str, order: list[str], buckets: int = 64):
-        self.path, self.key, self.order, self.buckets = path, key, order, buckets
+    An id that was seen stays in the state until the watermark is ``look_back_hours`` beyond its last row or closing (a
+    known id without a moment stays for good), so neither the target nor earlier output is read again: a trigger's work
+    goes by its own rows.  Rows later than ``delay`` are dropped by the stream (``complete_dedup`` finds them); rows
+    without an id are one id.
+    """
+    columns = stream.columns
+    timed = stream.select(*columns, F.col(moment).cast("timestamp").alias("__moment"), F.lit(False).alias("__known"))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields if f.name != key]
+    dated = F.greatest(F.coalesce("__moment", F.timestamp_millis(F.lit(UNDATED))), F.timestamp_millis(F.lit(UNDATED))).alias("__moment")
+    given = known.select(key, *nulls, dated, F.lit(True).alias("__known")).select(*columns, "__moment", "__known")
+    both = timed.unionByName(given).withWatermark("__moment", delay)
+    kept = int(look_back_hours * 3_600_000)
+
+    def judge(_, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        fresh, last, first = not state.exists, state.get[0] if state.exists else 0, None
+        for frame in frames:
+            fresh = fresh and not frame["__known"].any()
+            last = max(last, int(frame["__moment"].max().timestamp() * 1000))
+            if fresh:
+                row = frame.sort_values("__moment", kind="stable").iloc[:1]
+                if first is None or row["__moment"].iloc[0] < first["__moment"].iloc[0]:
+                    first = row
+            elif (frame["__known"] & (frame["__moment"] <= pd.Timestamp(UNDATED, unit="ms"))).any():
+                last = FOREVER
+        state.update((last,))
+        if last < FOREVER:
+            state.setTimeoutTimestamp(max(last + kept, state.getCurrentWatermarkMs() + 1))
+        if fresh:
+            yield first[columns]
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    return both.groupBy(key).applyInPandasWithState(judge, schema, "last long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+class MergeLog:
+    """``foreachBatch`` sink: an append-only log of runs that readers merge.
+
+    A batch writes its own rows as one run, whatever the log holds: bytes in proportion to the batch.  ``merge`` turns
+    rows of any runs into one for each key; it has to give the same whatever the grouping and order (the last row by a
+    total order, sums).  Runs of about one size are compacted into one when there are ``fanout`` of them, sizes being measured, so
+    a row is rewritten about as often as the log grows ``fanout``-fold, and a read meets few runs.  A list names the
+    runs as of each batch.  A replayed batch starts from the list before it and writes the same paths, so nothing is applied
+    twice; no path is read and written at once.  Runs that neither the new list nor the one before it names are deleted.
+    """
 
-    def _part(self, bucket: int, version: int) -> str:
-        return f"{self.path}/v{version}/part={bucket}"
+    def __init__(self, path: str, merge: Callable[[DataFrame], DataFrame], fanout: int = 4, unit: int = 1 << 20):
+        self.path, self.merge, self.fanout, self.unit = path, merge, fanout, unit
+        self.written: list[int] = []  # bytes that each batch wrote, compaction included
 
-    def _parts(self, spark: SparkSession, number: int) -> dict[int, int]:
-        """Version of each part as of a batch."""
+    def _list(self, spark: SparkSession, number: int) -> dict[str, int]:
         if number < 0:
             return {}
-        return {r["part"]: r["version"] for r in spark.read.schema("part int, version int").json(f"{self.path}/parts-{number}").collect()}
+        return {r["run"]: r["bytes"] for r in spark.read.schema("run string, bytes long").json(f"{self.path}/runs-{number}").collect()}
+
+    def _runs(self, spark: SparkSession, number: int) -> dict[str, int]:
+        """Name and bytes of the runs as of a batch; bytes of -1 mark runs that the batch itself compacted."""
+        return {r: n for r, n in self._list(spark, number).items() if n >= 0}
+
+    def _rows(self, spark: SparkSession, runs: list[str], schema) -> DataFrame:
+        return spark.read.schema(schema).parquet(*(f"{self.path}/{r}" for r in runs))
+
+    def _write(self, rows: DataFrame, run: str) -> int:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{run}")
+        path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{run}")
+        return path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def _tier(self, size: int) -> int:
+        return int(math.log(max(size, self.unit) / self.unit, self.fanout))
 
-    def read(self, spark: SparkSession, number: int, schema: str) -> DataFrame:
-        """The rows as of a batch."""
-        paths = [self._part(p, v) for p, v in sorted(self._parts(spark, number).items())]
-        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    def read(self, spark: SparkSession, number: int, schema) -> DataFrame:
+        """The merged rows as of a batch."""
+        runs = sorted(self._runs(spark, number))
+        return self.merge(self._rows(spark, runs, schema)) if runs else spark.createDataFrame([], schema)
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        spark, part = batch.sparkSession, F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        before = self._parts(spark, number - 1)
-        last = keep_last(batch, [self.key], self.order).withColumn("part", part)
-        last = last.persist()  # read for the list of its parts and for the merge
-        touched = sorted(r["part"] for r in last.select("part").distinct().collect())
-        merged = last.drop("part")
-        held = [self._part(p, before[p]) for p in touched if p in before]
-        if held:
-            merged = keep_last(spark.read.schema(batch.schema).parquet(*held).unionByName(merged), [self.key], self.order)
-        merged.withColumn("part", part).repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/v{number}")
-        last.unpersist()
-        after = before | dict.fromkeys(touched, number)
-        listed = spark.createDataFrame(sorted(after.items()), "part int, version int")
-        listed.coalesce(1).write.mode("overwrite").json(f"{self.path}/parts-{number}")
-        self._clean(spark, set(self._parts(spark, number - 2).items()) - set(before.items()) - set(after.items()))
+        spark = batch.sparkSession
+        listed = self._list(spark, number - 1)
+        before = {r: n for r, n in listed.items() if n >= 0}
+        own = {f"run-{number}": self._write(self.merge(batch), f"run-{number}")}
+        runs = before | own
+        while True:
+            tiers: dict[int, list[str]] = {}
+            for run, size in runs.items():
+                tiers.setdefault(self._tier(size), []).append(run)
+            full = min((t for t, r in tiers.items() if len(r) >= self.fanout), default=None)
+            if full is None:
+                break
+            name = f"run-{number}-{full}"
+            size = self._write(self.merge(self._rows(spark, sorted(tiers[full]), batch.schema)), name)
+            own[name] = size
+            runs = {r: n for r, n in runs.items() if r not in tiers[full]} | {name: size}
+            if self._tier(size) == full:  # smaller than its parts: nothing to gain by going on
+                break
+        self.written.append(sum(own.values()))
+        names = sorted((runs | {r: -1 for r in own if r not in runs}).items())
+        spark.createDataFrame(names, "run string, bytes long").coalesce(1).write.mode("overwrite").json(f"{self.path}/runs-{number}")
+        self._clean(spark, (set(self._list(spark, number - 2)) | set(listed)) - set(before) - set(runs))
 
     def _clean(self, spark: SparkSession, dropped: set) -> None:
-        for part, version in dropped:
-            path = spark._jvm.org.apache.hadoop.fs.Path(self._part(part, version))
+        for run in dropped:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{run}")
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class VersionedUpsert(MergeLog):
+    """Upsert sink: a key's row is the last one by ``order`` over all batches, so an older row in a later batch replaces nothing."""
+
+    def __init__(self, path: str, key: str, order: list[str], **options):
+        super().__init__(path, lambda rows: keep_last(rows, [key], order), **options)
+
+
+WINDOW_KEYS = ["start", "level", "label", "usable"]
+
+
+def window_counts(rows: DataFrame, moment: str, levels: dict[str, Column], width: str = "1 hour") -> DataFrame:
+    """``start, level, label, usable, n, latest``: rows of a batch by window, level and normalised label.
+
+    Labels that aren't usable are one null label, so they are counted too.  Such counts of any batches add up.
+    """
+    start = F.window(F.col(moment).cast("timestamp"), width).start
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("level"), c.cast("string").alias("v")) for k, c in levels.items()))).alias("p")
+    flat = rows.select(start.alias("start"), F.col(moment).cast("timestamp").alias("at"), each)
+    good = usable(F.col("p.v"))
+    return flat.groupBy("start", F.col("p.level").alias("level"), F.when(good, norm(F.col("p.v"))).alias("label"), good.alias("usable")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("at").alias("latest")
+    )
+
+
+class WindowCounts(MergeLog):
+    """Window counts kept up to date by every batch: what comes late corrects its window, however late it is.
+
+    The state is the log of summed counts.  ``updates`` gives the windows that a batch changed with their values before and
+    after, so that a downstream copy can take the old ones back; the source is never read a second time.
+    """
+
+    def __init__(self, path: str, moment: str, levels: dict[str, Column], width: str = "1 hour", **options):
+        add = lambda rows: rows.groupBy(*WINDOW_KEYS).agg(F.sum("n").alias("n"), F.max("latest").alias("latest"))
+        super().__init__(path, add, **options)
+        self.moment, self.levels, self.width = moment, levels, width
+        self.schema = "start timestamp, level string, label string, usable boolean, n long, latest timestamp"
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        super().__call__(window_counts(batch, self.moment, self.levels, self.width), number)
+
+    def updates(self, spark: SparkSession, number: int) -> DataFrame:
+        """Counts that the last batch changed: ``n_before`` (0: none) and ``n_after``."""
+        changed = self._rows(spark, [f"run-{number}"], self.schema).select(*WINDOW_KEYS, F.col("n").alias("more"))
+        after = self.read(spark, number, self.schema).select(*(F.col(c).alias(f"__{c}") for c in WINDOW_KEYS), "n")
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in WINDOW_KEYS]
+        return changed.join(after, same).select(*WINDOW_KEYS, (F.col("n") - F.col("more")).alias("n_before"), F.col("n").alias("n_after"))
+
+
+def closed_windows(counts: DataFrame, width: str = "1 hour", delay: str = "6 hours") -> DataFrame:
+    """The counts of windows that end ``delay`` before the latest row or earlier."""
+    until = counts.agg((F.max(F.date_trunc("millisecond", "latest")) - F.expr(f"interval {delay}")).alias("until"))  # one row
+    return counts.join(F.broadcast(until)).where(F.col("start") + F.expr(f"interval {width}") <= F.col("until")).drop("until")
+
+
+def coverage_by_window(counts: DataFrame) -> DataFrame:
+    """Per window and level: rows, usable share, labels, the commonest one's share and the entropy, and the drift of each
+    share against the window before (null for a level's first one).
+
+    Labels are summed up before windows are put in order, so the order is over windows, not rows.
+    """
+    n = F.when(F.col("usable"), F.col("n"))
+    total = F.sum(n)
+    by = counts.groupBy("start", "level").agg(
+        F.sum("n").alias("rows"), (F.coalesce(total, F.lit(0)) * 100 / F.sum("n")).alias("usable_pct"), F.count(n).alias("labels"),
+        (F.max(n) * 100 / total).alias("top_pct"), (F.log2(total) - F.sum(n * F.log2(n)) / total).alias("entropy"),
+    )
+    before = Window.partitionBy("level").orderBy("start")
+    return by.select("*", *((F.col(c) - F.lag(c).over(before)).alias(c.replace("_pct", "_drift")) for c in ("usable_pct", "top_pct")))
+
+
 def late_ids(source: DataFrame, streamed: DataFrame, key: str) -> DataFrame:
     """Ids that the stream missed, for instance because they came after the delay: found by the batch job after it."""
     return reconcile_ids(source, streamed, key).where("side = 'missing_in_target'")
@@ -90,18 +236,3 @@ def complete_dedup(source: DataFrame, streamed: DataFrame, target: DataFrame, ke
     """Each new id once: those that the stream gave out, and those of the source that it dropped as late."""
     late = late_ids(source, streamed, key).select(key).join(target.select(key), key, "left_anti")
     return streamed.select(key).distinct().unionByName(late)
-
-
-def late_counts(source: DataFrame, streamed: DataFrame, label: str, moment: str, width: str = "1 hour", delay: str = "6 hours") -> DataFrame:
-    """Counts of closed windows that the stream gave out wrong or not at all, because it dropped rows as late."""
-    timed = source.select(F.col(moment).cast("timestamp").alias(moment), label)
-    until = timed.agg((F.max(F.date_trunc("millisecond", moment)) - F.expr(f"interval {delay}")).alias("until"))
-    counts = timed.groupBy(F.window(moment, width).alias("w"), label).agg(F.count(F.lit(1)).alias("n"))
-    closed = counts.join(F.broadcast(until)).where("w.end <= until").select(F.col("w.start").alias("start"), label, "n")
-    return closed.subtract(streamed.select("start", label, "n"))
-
-
-def complete_counts(streamed: DataFrame, late: DataFrame, label: str) -> DataFrame:
-    """The stream's counts, those of ``late_counts`` in the place of wrong and missing ones."""
-    same = (F.col("s.start") == F.col("l.start")) & F.col(f"s.{label}").eqNullSafe(F.col(f"l.{label}"))
-    return streamed.alias("s").join(late.alias("l"), same, "left_anti").select("start", label, "n").unionByName(late)

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import math
 import os
+import random
 import re
 import time
 from collections import Counter
@@ -124,18 +125,26 @@ def test_upsert_sink_survives_replay(spark, tmp_path):
     assert {r.in_id: r.v for r in sink.read(spark, 1, first.schema).collect()} == {1: "a", 2: "e", 3: "d"}
 
 
-def test_upsert_sink_rewrites_what_a_batch_touches(spark, tmp_path):
-    sink, schema = si.VersionedUpsert(str(tmp_path), "in_id", ["seq"], buckets=8), "in_id long, seq long, v string"
-    sink(spark.createDataFrame([(k, 1, "a") for k in range(200)], schema), 0)
-    assert len(list((tmp_path / "v0").glob("part=*"))) == 8
-    for number in range(1, 5):
-        sink(spark.createDataFrame([(7, number + 1, f"b{number}")], schema), number)
-        assert len(list((tmp_path / f"v{number}").glob("part=*"))) == 1
-    rows = {r.in_id: r.v for r in sink.read(spark, 4, schema).collect()}
-    assert rows == {k: "b4" if k == 7 else "a" for k in range(200)}
-    assert [len(list((tmp_path / f"v{n}").glob("part=*"))) for n in range(5)] == [7, 0, 0, 1, 1]  # two lists back are gone
-    sink(spark.createDataFrame([], schema), 5)
-    assert sink.read(spark, 5, schema).count() == 200
+def test_upsert_sink_writes_in_proportion_to_the_batch(spark, tmp_path):
+    """A small batch of random keys writes its own rows only; compaction rewrites a row a few times in all."""
+    schema, generator = "in_id long, seq long, v string", random.Random(5)
+    sink = si.VersionedUpsert(str(tmp_path), "in_id", ["seq"], unit=4000)
+    expected = {k: "a" for k in range(100_000)}
+    sink(spark.createDataFrame([(k, 0, "a") for k in expected], schema).coalesce(1), 0)
+    base = sink.written[0]
+    for number in range(1, 11):
+        keys = generator.sample(range(100_000), 500)
+        expected |= dict.fromkeys(keys, f"b{number}")
+        sink(spark.createDataFrame([(k, number, f"b{number}") for k in keys], schema).coalesce(1), number)
+    assert max(sink.written[1:]) < base / 5 and sorted(sink.written[1:])[4] < base / 20
+    assert {r.in_id: r.v for r in sink.read(spark, 10, schema).collect()} == expected
+    assert {r.v for r in sink.read(spark, 9, schema).collect()} == {"a"} | {f"b{n}" for n in range(1, 10)}
+    named = set(sink._list(spark, 10)) | set(sink._runs(spark, 9))
+    assert {p.name for p in tmp_path.glob("run-*")} == named and len(sink._runs(spark, 10)) < 9
+    sink(spark.createDataFrame([(3, 11, "c")], schema), 11)
+    sink(spark.createDataFrame([(3, 11, "c")], schema), 11)  # a replay
+    sink(spark.createDataFrame([(3, 1, "late")], schema), 12)
+    assert {r.in_id: r.v for r in sink.read(spark, 12, schema).collect()} == expected | {3: "c"}
 
 
 def test_taxonomy_files_by_subcategory(spark, tmp_path):
@@ -235,7 +244,7 @@ def test_pair_cosine_of_long_texts(spark):
         assert rows[k] is None if expected is None else math.isclose(rows[k], expected, abs_tol=1e-9)
 
 
-@pytest.mark.parametrize("name", ["stream_upsert", "stream_incremental_dedup", "stream_dedup_with_late_rows", "stream_label_counts"])
+@pytest.mark.parametrize("name", ["stream_upsert", "stream_incremental_dedup", "stream_dedup_with_late_rows", "stream_label_counts", "stream_label_coverage"])
 def test_streams_of_batches_out_of_order(spark, sf_dir, tmp_path, monkeypatch, name):
     """The newest rows come first; a watermark drops late rows from the second batch after it on."""
     os.makedirs(tmp_path / "events.parquet")
