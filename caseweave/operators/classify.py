@@ -6,41 +6,70 @@ and groups are never gathered: rows are dealt by a salted key, so a hot subcateg
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseweave.operators.merge import keep_first
 from caseweave.operators.validate import sized
+from caseweave.sources.shared import checkpointed, scratch
+
+GAP, NO_ID = "pipeline_gap", "no id"
+
 
-GAP = "pipeline_gap"
+def _calls(frame: pd.DataFrame, key: str, batch_size: int) -> list[pd.DataFrame]:
+    """Batches of up to ``batch_size`` rows in which no id is repeated; rows without an id are in none."""
+    known = frame[frame[key].notna()]
+    if known[key].is_unique:
+        return [known.iloc[k : k + batch_size] for k in range(0, len(known), batch_size)]
+    turn = known.groupby(key, sort=False).cumcount()  # a row goes with those of as many earlier rows of their id
+    return [part.iloc[k : k + batch_size] for _, part in known.groupby(turn, sort=True) for k in range(0, len(part), batch_size)]
 
 
-def _outcomes(batch: pd.DataFrame, answer, key: str, columns: list[str]) -> pd.DataFrame:
-    """The answers of one batch: those without id or with an unknown id go, omitted ids become gap rows."""
-    ids = batch[key].tolist()
+def _asked(batch: pd.DataFrame, answer, key: str, columns: list[str]) -> tuple[pd.DataFrame, str]:
+    """The answers of one call, by the rows' index, and why the others have none; unknown ids go, the first answer of an id counts."""
     try:
-        out = answer(batch)
-        reason = "no answer"
+        out, reason = answer(batch), "no answer"
     except Exception as error:  # a failing batch is a result, not the end of the job
-        out, reason = pd.DataFrame(columns=[key, *columns]), f"{type(error).__name__}: {error}"
-    out = out[out[key].notna() & out[key].isin(ids)].drop_duplicates(key)
-    rows = batch[[key]].drop_duplicates().merge(out.reindex(columns=[key, *columns]), on=key, how="left", indicator="__from")
-    answered = rows.pop("__from") == "both"
-    rows["validation_status"] = answered.map({True: None, False: GAP})
-    rows["gap_reason"] = answered.map({True: None, False: reason})
+        return pd.DataFrame(columns=[*columns], dtype=object), f"{type(error).__name__}: {error}"
+    out = out.reindex(columns=[key, *columns])
+    place = pd.Series(batch.index, index=batch[key].to_numpy())
+    out = out[out[key].isin(place.index)].drop_duplicates(key)
+    out.index = place.reindex(out[key]).to_numpy()
+    return out[columns], reason
+
+
+def _outcomes(frame: pd.DataFrame, answered: list[tuple[pd.Index, pd.DataFrame, str]], key: str, columns: list[str]) -> pd.DataFrame:
+    """One row for each row of ``frame``: its answer, or a gap with the reason."""
+    given = [out for _, out, _ in answered if len(out)]
+    rows = pd.concat(given).reindex(frame.index) if given else pd.DataFrame(index=frame.index, columns=columns)
+    hit = frame.index.isin(pd.Index([i for out in given for i in out.index]))
+    reasons = pd.Series(NO_ID, index=frame.index, dtype=object)
+    for index, _, reason in answered:
+        reasons.loc[index] = reason
+    rows.insert(0, key, frame[key])
+    rows["validation_status"] = pd.Series(GAP, index=frame.index, dtype=object).where(~hit, None)
+    rows["gap_reason"] = reasons.where(~hit, None)
     return rows.astype(object).where(rows.notna(), None)
 
 
 def classify(df: DataFrame, make, schema: str, key: str = "in_id", batch_size: int = 10) -> DataFrame:
-    """``make()`` gives a function from a frame of up to ``batch_size`` rows to a frame with the id and ``schema``'s columns."""
+    """``make()`` gives a function from a frame of up to ``batch_size`` rows to a frame with the id and ``schema``'s columns.
+
+    Each input row has one output row, judged by its own content whatever the batches: a call never holds an id twice.
+    Rows without an id can't be matched with an answer; they aren't asked and become gap rows (``no id``).  Ids that a
+    call leaves out become gap rows (``no answer``), those of a failing call gap rows with its error.
+    """
     columns = [c.split()[0] for c in schema.split(",")]
     kind = df.schema[key].dataType.simpleString()
 
     def run(frames):
         answer = make()
         for frame in frames:
-            for start in range(0, len(frame), batch_size):
-                yield _outcomes(frame.iloc[start : start + batch_size], answer, key, columns)
+            frame = frame.reset_index(drop=True)
+            yield _outcomes(frame, [(b.index, *_asked(b, answer, key, columns)) for b in _calls(frame, key, batch_size)], key, columns)
 
     return df.mapInPandas(run, f"{key} {kind}, {schema}, validation_status string, gap_reason string")
 
@@ -54,34 +83,80 @@ def classify_by_subcategory(df: DataFrame, make, taxonomy: DataFrame, subcategor
     """
     names = taxonomy.groupBy(F.col("subcategory").alias("__sub")).agg(F.sort_array(F.collect_set("name")).alias("__names"))
     joined = df.join(sized(names), F.col(subcategory) == F.col("__sub"), "left").drop("__sub")
-    counted = df.groupBy(F.col(subcategory).alias("__of")).agg((F.ceil(F.count(F.lit(1)) / task_rows)).alias("__salts"))
+    counted = checkpointed(df.groupBy(F.col(subcategory).alias("__of")).agg((F.ceil(F.count(F.lit(1)) / task_rows)).alias("__salts")))
     salted = joined.join(sized(counted), F.col(subcategory).eqNullSafe(F.col("__of"))).drop("__of")
     salted = salted.withColumn("__salt", F.pmod(F.xxhash64(key), "__salts")).drop("__salts")
     dealt = salted.repartition(F.col(subcategory), "__salt").sortWithinPartitions(subcategory, "__salt", key).drop("__salt")
     columns = [c.split()[0] for c in schema.split(",")]
     kind = df.schema[key].dataType.simpleString()
 
+    def tried(batch: pd.DataFrame, answer, allowed: list) -> tuple[pd.Index, pd.DataFrame, str]:
+        out, reason = _asked(batch, answer, key, columns)
+        for _ in range(tries - 1):
+            wrong = out[label].notna() & ~out[label].isin(allowed)
+            if not wrong.any():
+                break
+            again, reason = _asked(batch.loc[out.index[wrong]], answer, key, columns)
+            out = pd.concat([out[~wrong], again]) if len(again) else out[~wrong]
+        out.loc[out[label].notna() & ~out[label].isin(allowed), columns] = None
+        return batch.index, out, reason
+
     def run(frames):
         answer = make()
         for frame in frames:
+            frame, answered = frame.reset_index(drop=True), []
             for _, group in frame.groupby(subcategory, dropna=False, sort=False):
                 allowed = list(group["__names"].iloc[0]) if group["__names"].iloc[0] is not None else []
-                for start in range(0, len(group), batch_size):
-                    batch = group.iloc[start : start + batch_size].drop(columns="__names")
-                    rows = _outcomes(batch, lambda b, a=allowed: answer(b, a), key, columns)
-                    for _ in range(tries - 1):
-                        wrong = rows[label].notna() & ~rows[label].isin(allowed)
-                        if not wrong.any():
-                            break
-                        again = _outcomes(batch[batch[key].isin(rows.loc[wrong, key])], lambda b, a=allowed: answer(b, a), key, columns)
-                        rows = pd.concat([rows[~wrong], again])
-                    wrong = rows[label].notna() & ~rows[label].isin(allowed)
-                    rows.loc[wrong, columns] = None
-                    yield rows
+                for batch in _calls(group.drop(columns="__names"), key, batch_size):
+                    answered.append(tried(batch, lambda b, a=allowed: answer(b, a), allowed))
+            yield _outcomes(frame, answered, key, columns)
 
     return dealt.mapInPandas(run, f"{key} {kind}, {schema}, validation_status string, gap_reason string")
 
 
+def resumable(
+    df: DataFrame, ask: Callable[[DataFrame], DataFrame], path: str, run_id: str, key: str = "in_id", failed: str = "gap_reason is not null",
+    task_rows: int = 1000, wave_tasks: int | None = None, most_waves: int | None = None,
+) -> DataFrame:
+    """``ask(df)`` (``classify``, ``judge``, ...) by way of an append-only ledger at ``path``, one answer for each id.
+
+    Pending rows are those whose id has no answer of this run in the ledger.  They are dealt to waves of ``wave_tasks``
+    tasks of about ``task_rows`` rows; a wave's answers are appended to the ledger when it ends.  So a task that is lost asks
+    again for its own ``task_rows`` rows, a job that is killed for its last wave, and a restarted job for nothing that the
+    ledger has.  Failed rows are given back, but not kept: the next start asks for them again.
+
+    Of repeated ids the least row (by its columns in order) is asked; rows without an id are left out.  ``most_waves``
+    ends a call early; ids that weren't asked are then missing from the result.
+    """
+    spark = df.sparkSession
+    once = keep_first(df.where(F.col(key).isNotNull()), [key], [c for c in df.columns if c != key] or [key])
+    ledger = _ledger(spark, path, run_id)
+    pending = once if ledger is None else once.join(ledger.select(key), key, "left_anti")
+    tasks = wave_tasks or spark.sparkContext.defaultParallelism
+    waves = max(1, -(-(pending.count() if ledger is not None else once.count()) // (task_rows * tasks)))
+    kept, gaps = scratch(spark, "pending"), scratch(spark, "gaps")
+    dealt = pending.withColumn("__wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int"))
+    dealt.repartition(F.col("__wave"), F.pmod(F.xxhash64(F.lit(1), key), F.lit(tasks))).write.partitionBy("__wave").parquet(kept)
+    schema, asked = dealt.schema, 0
+    for wave in range(waves if most_waves is None else min(waves, most_waves)):
+        rows = spark.read.schema(schema).parquet(kept).where(F.col("__wave") == wave).drop("__wave")
+        answers = checkpointed(ask(rows.repartition(tasks, key)))
+        answers.where(f"not ({failed})").withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+        answers.where(failed).write.mode("append").parquet(gaps)
+        asked += 1
+    ledger = _ledger(spark, path, run_id)
+    found = ledger.join(once.select(key), key, "left_semi").drop("run_id")
+    return found.unionByName(spark.read.schema(found.schema).parquet(gaps)) if asked else found
+
+
+def _ledger(spark, path: str, run_id: str) -> DataFrame | None:
+    """The run's answers, or None if there is no ledger yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.parquet(path).where(F.col("run_id") == run_id)
+
+
 def judge(df: DataFrame, make, schema: str, key: str = "in_id") -> DataFrame:
     """``make()`` gives a function from one row (a dict) to the values of ``schema``; a failing row becomes an error row."""
     columns = [c.split()[0] for c in schema.split(",")]

@@ -100,8 +100,9 @@ def dedup_vs_target(df: DataFrame, target: DataFrame, now: dt.datetime, hours: f
 
 
 def fill_gaps(inputs: DataFrame, outputs: DataFrame, reason: str, labels: tuple = ("category", "subcategory", "product"), key: str = "in_id") -> DataFrame:
-    """Outputs, and for every input id without one a row of ``Uncategorized`` with the status ``pipeline_gap``."""
-    gaps = inputs.select(key).distinct().join(outputs.select(key), key, "left_anti")
+    """Outputs, and for every input id (null is one) without one a row of ``Uncategorized`` with the status ``pipeline_gap``."""
+    given = outputs.select(F.col(key).alias("__id"))
+    gaps = inputs.select(key).distinct().join(given, F.col(key).eqNullSafe(F.col("__id")), "left_anti")
     made = gaps.select(key, *(F.lit("Uncategorized").alias(c) for c in labels), F.lit("pipeline_gap").alias("validation_status"), F.lit(reason).alias("gap_reason"))
     return outputs.unionByName(made, allowMissingColumns=True)
 

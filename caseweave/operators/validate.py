@@ -13,8 +13,13 @@ from caseweave.functions.labels import (
 BROADCAST_TAXONOMY = 100_000
 
 
-def sized(taxonomy: DataFrame) -> DataFrame:
-    return F.broadcast(taxonomy) if taxonomy.limit(BROADCAST_TAXONOMY + 1).count() <= BROADCAST_TAXONOMY else taxonomy
+def is_small(taxonomy: DataFrame) -> bool:
+    return taxonomy.limit(BROADCAST_TAXONOMY + 1).count() <= BROADCAST_TAXONOMY
+
+
+def sized(taxonomy: DataFrame, small: bool | None = None) -> DataFrame:
+    """``taxonomy``, broadcast if it is small; ``small`` says so of a table that it is made from, so that it isn't counted again."""
+    return F.broadcast(taxonomy) if (is_small(taxonomy) if small is None else small) else taxonomy
 
 
 def taxonomy_table(nested: DataFrame, column: str = "tree") -> DataFrame:
@@ -23,30 +28,40 @@ def taxonomy_table(nested: DataFrame, column: str = "tree") -> DataFrame:
     return first.select("l1", F.explode("v1").alias("l2", "v2")).select("l1", "l2", F.explode("v2").alias("l3"))
 
 
+def alias_conflicts(aliases: DataFrame) -> DataFrame:
+    """Aliases of one canonical form that stand for different labels; ``validate_path`` takes the least label of them."""
+    found = aliases.groupBy("level", canonical(F.col("alias")).alias("alias")).agg(F.array_sort(F.collect_set(canonical(F.col("label")))).alias("labels"))
+    return found.where(F.size("labels") > 1)
+
+
 def validate_path(df: DataFrame, taxonomy: DataFrame, aliases: DataFrame | None = None, levels: tuple = ("l1", "l2", "l3")) -> DataFrame:
-    """``df`` with status, final labels, originals, a repair flag and details.
+    """``df`` with status, final labels, originals, a repair flag and details; one row for each row of ``df``.
+
+    In this order: ``missing`` (a level missing), ``valid`` (the trimmed labels are a path, which they keep, whatever other
+    paths have the same canonical form), ``valid_after_repair`` (their canonical or alias forms are one; of several paths
+    of that form the least), ``swapped_levels_suspected`` (another order of them is one), ``invalid_hierarchy`` (each is
+    known at its level), ``invalid_label``.  What is not valid ends as Uncategorized.
 
-    In this order: ``missing`` (a level missing), ``valid`` (the trimmed labels are a path), ``valid_after_repair`` (their
-    canonical or alias forms are one), ``swapped_levels_suspected`` (another order of them is one),
-    ``invalid_hierarchy`` (each is known at its level), ``invalid_label``.  What is not valid ends as Uncategorized.
+    The taxonomy and the aliases (``level, alias, label``) are counted once each, to choose broadcast or shuffle joins.
     """
-    raw = [F.trim(c) for c in levels]
+    raw, small = [F.trim(c) for c in levels], is_small(taxonomy)
     keyed = df.withColumns({f"__k{i}": canonical(F.col(c)) for i, c in enumerate(levels)})
-    if aliases is not None:  # rows: level, alias, label
+    if aliases is not None:
+        few = is_small(aliases)
         for i, c in enumerate(levels):
-            own = aliases.where(F.col("level") == c).select(canonical(F.col("alias")).alias(f"__a{i}"), canonical(F.col("label")).alias(f"__l{i}"))
-            keyed = keyed.join(sized(own), F.col(f"__k{i}") == F.col(f"__a{i}"), "left").withColumn(f"__k{i}", F.coalesce(f"__l{i}", f"__k{i}")).drop(f"__a{i}", f"__l{i}")
+            own = aliases.where(F.col("level") == c).groupBy(canonical(F.col("alias")).alias(f"__a{i}")).agg(F.min(canonical(F.col("label"))).alias(f"__l{i}"))
+            keyed = keyed.join(sized(own, few), F.col(f"__k{i}") == F.col(f"__a{i}"), "left").withColumn(f"__k{i}", F.coalesce(f"__l{i}", f"__k{i}")).drop(f"__a{i}", f"__l{i}")
+    as_is = taxonomy.select(*(F.col(f"l{i + 1}").alias(f"__e{i}") for i in range(3))).distinct().withColumn("__exact", F.lit(True))
+    keyed = keyed.join(sized(as_is, small), [raw[i] == F.col(f"__e{i}") for i in range(3)], "left").drop("__e0", "__e1", "__e2")
     keys = taxonomy.select(*("l1", "l2", "l3"), *(canonical(F.col(f"l{i + 1}")).alias(f"__t{i}") for i in range(3)))
     path = keys.groupBy("__t0", "__t1", "__t2").agg(F.min(F.struct("l1", "l2", "l3")).alias("__path"))
-    keyed = keyed.join(sized(path), [F.col(f"__k{i}") == F.col(f"__t{i}") for i in range(3)], "left").drop("__t0", "__t1", "__t2")
+    keyed = keyed.join(sized(path, small), [F.col(f"__k{i}") == F.col(f"__t{i}") for i in range(3)], "left").drop("__t0", "__t1", "__t2")
     mixed = keys.select(F.array_sort(F.array("__t0", "__t1", "__t2")).alias("__m")).distinct().withColumn("__swapped", F.lit(True))
-    keyed = keyed.withColumn("__s", F.array_sort(F.array("__k0", "__k1", "__k2"))).join(sized(mixed), F.col("__s") == F.col("__m"), "left")
+    keyed = keyed.withColumn("__s", F.array_sort(F.array("__k0", "__k1", "__k2"))).join(sized(mixed, small), F.col("__s") == F.col("__m"), "left")
     for i in range(3):
         known = keys.select(F.col(f"__t{i}").alias(f"__n{i}")).distinct()
-        keyed = keyed.join(sized(known), F.col(f"__k{i}") == F.col(f"__n{i}"), "left")
-    exact = F.col("__path").isNotNull()
-    for i, c in enumerate(raw):
-        exact = exact & (c == F.col(f"__path.l{i + 1}"))
+        keyed = keyed.join(sized(known, small), F.col(f"__k{i}") == F.col(f"__n{i}"), "left")
+    exact = F.col("__exact").isNotNull()
     gone = missing(F.col(levels[0])) | missing(F.col(levels[1])) | missing(F.col(levels[2]))
     known = F.col("__n0").isNotNull() & F.col("__n1").isNotNull() & F.col("__n2").isNotNull()
     status = (
@@ -55,7 +70,7 @@ def validate_path(df: DataFrame, taxonomy: DataFrame, aliases: DataFrame | None
     )
     out = keyed.withColumn("validation_status", status)
     good = F.col("validation_status").isin("valid", "valid_after_repair")
-    finals = [F.when(good, F.col(f"__path.l{i + 1}")).otherwise(UNCATEGORIZED).alias(f"final_l{i + 1}") for i in range(3)]
+    finals = [F.when(good & exact, raw[i]).when(good, F.col(f"__path.l{i + 1}")).otherwise(UNCATEGORIZED).alias(f"final_l{i + 1}") for i in range(3)]
     originals = [F.col(c).alias(f"original_l{i + 1}") for i, c in enumerate(levels)]
     details = F.to_json(F.struct(F.col("validation_status").alias("status"), *originals)).alias("validation_details")
     kept = [c for c in df.columns if c not in levels]

@@ -50,6 +50,25 @@ def validate_path(spark, sf_dir):
     return _validated(spark, sf_dir).select(*FINALS.split(", "))
 
 
+#: Paths that differ in punctuation only, rows that use either, and several aliases of one canonical form.
+TWIN_ROWS = """SELECT p_partkey AS in_id, CASE p_partkey % 4 WHEN 0 THEN p_type WHEN 1 THEN replace(p_type, ' ', '-') WHEN 2 THEN lower(p_type) ELSE 'the_' || p_type END AS l1, p_brand AS l2, p_name AS l3 FROM {part}"""
+TWIN_TAXONOMY = """SELECT DISTINCT p_type AS l1, p_brand AS l2, p_name AS l3 FROM {part} UNION SELECT replace(p_type, ' ', '-'), p_brand, p_name FROM {part} WHERE p_partkey % 3 <> 0"""
+
+
+@query(f"""WITH tax AS ({TWIN_TAXONOMY.format(part="part")}), rows AS ({TWIN_ROWS.format(part="part")}),
+path AS (SELECT {sql_canonical("l1")} AS t0, l2, l3, min(l1) AS p FROM tax GROUP BY ALL),
+k AS (SELECT *, regexp_replace({sql_canonical("l1")}, '^the ', '') AS t0 FROM rows),
+s AS (SELECT k.*, p, (l1, l2, l3) IN (SELECT (l1, l2, l3) FROM tax) AS exact FROM k JOIN path USING (t0, l2, l3))
+SELECT in_id, CASE WHEN exact THEN 'valid' ELSE 'valid_after_repair' END AS validation_status, CASE WHEN exact THEN l1 ELSE p END AS final_l1, l2 AS final_l2, l3 AS final_l3,
+l1 AS original_l1, l2 AS original_l2, l3 AS original_l3, NOT exact AS repair_applied FROM s""")
+def validate_path_twins(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    types = part.select("p_type").distinct()
+    forms = F.explode(F.array(*(F.concat(F.lit(f), "p_type") for f in ("the ", "The-", "the_")))).alias("alias")
+    aliases = types.select(F.lit("l1").alias("level"), forms, F.col("p_type").alias("label"))
+    return va.validate_path(spark.sql(TWIN_ROWS, part=part), spark.sql(TWIN_TAXONOMY, part=part), aliases).select(*FINALS.split(", "))
+
+
 @query(f"WITH {TREE} SELECT in_id, 'run1' AS run_id, validation_status AS status, original_l1, original_l2, original_l3, final_l1, final_l2, final_l3, repair_applied FROM validated WHERE validation_status <> 'valid'")
 def l123_audit(spark, sf_dir):
     return va.l123_audit(_validated(spark, sf_dir), "run1").drop("details")

@@ -22,20 +22,27 @@ LEVELS = ("category", "subcategory", "product")
 
 
 def label_new_incidents(
-    fetched: DataFrame, target: DataFrame, taxonomy: DataFrame, make_l123, make_l4, now: dt.datetime, hours: float, run_id: str
-) -> dict[str, DataFrame]:
+    fetched: DataFrame, target: DataFrame, taxonomy: DataFrame, make_l123, make_l4, now: dt.datetime, hours: float, run_id: str,
+    ledger: str | None = None,
+) -> dict[str, DataFrame]:
     """Deduplicate, label, validate, gate, label level 4, clean, upsert; with the audit and the null reasons of the run.
 
     Texts are only carried to the labelling functions; from validation on, rows hold ids and labels.  Their answers are
-    written at once, so that no plan that reads them, and no lost executor, asks a model twice.
+    written at once, so that no plan that reads them, and no lost executor, asks a model twice.  With a ``ledger`` (a folder)
+    they are saved as they come, and a run that is started again under its ``run_id`` asks for the rest only.
     """
+
+    def answered(rows: DataFrame, make, schema: str, name: str) -> DataFrame:
+        ask = lambda part: cf.classify(part, make, schema)
+        return cf.resumable(rows, ask, f"{ledger}/{name}", run_id) if ledger else checkpointed(ask(rows))
+
     fresh = mg.dedup_vs_target(fetched, target, now, hours)
-    labelled = checkpointed(cf.classify(fresh, make_l123, "category string, subcategory string, product string"))
+    labelled = answered(fresh, make_l123, "category string, subcategory string, product string", "l123")
     labelled = mg.fill_gaps(fresh, labelled.drop("validation_status", "gap_reason"), "no row came back").select("in_id", *LEVELS)
     checked = checkpointed(va.validate_path(labelled, checkpointed(taxonomy), levels=LEVELS))
     on, off = va.pre_l4_gate(checked, "final_l2")
     asked = on.join(fresh.drop(*[c for c in fresh.columns if c in on.columns and c != "in_id"]), "in_id")
-    l4 = checkpointed(cf.classify(asked, make_l4, "l4 string").select("in_id", "l4"))
+    l4 = answered(asked, make_l4, "l4 string", "l4").select("in_id", "l4")
     merged = on.join(l4, "in_id", "left").unionByName(off.withColumnRenamed("l4_category", "l4").select(*on.columns, "l4"))
     cleaned = va.l4_clean(merged, "l4")
     final = va.backfill(cleaned, ("final_l1", "final_l2", "final_l3"))
