@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseweave.functions.labels import filled, norm, trueish, usable
+from caseweave.sources.shared import checkpointed
 
 LEVELS = ("L1", "L2", "L3", "L4")
 
@@ -39,23 +40,42 @@ def coverage(frame: DataFrame) -> DataFrame:
     return out.withColumn("difference", F.col("a_pct") - F.col("b_pct"))
 
 
+def top_k(counts: DataFrame, keys: list[str], by: list[Column], k: int) -> DataFrame:
+    """``keys``, ``rank`` and ``row`` (a struct of ``by``): the first ``k`` rows of each key in the order of ``by``, in two steps.
+
+    Rows are first cut to ``k`` within salts of their key, as many as there are shuffle partitions, then within the key.
+    So a key's rows are never sorted in one task, however few keys there are.
+    """
+    salts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = lambda rows: F.slice(F.sort_array(F.collect_list(rows)), 1, k)
+    own = counts.select(*keys, F.struct(*by).alias("row"))
+    parts = own.groupBy(*keys, F.pmod(F.xxhash64("row"), F.lit(salts)).alias("__salt")).agg(first(F.col("row")).alias("rows"))
+    best = parts.select(*keys, F.explode("rows").alias("row")).groupBy(*keys).agg(first(F.col("row")).alias("rows"))
+    return best.select(*keys, F.posexplode("rows").alias("rank", "row")).withColumn("rank", F.col("rank") + 1)
+
+
+def _label_counts(frame: DataFrame) -> DataFrame:
+    return labels_of(frame).groupBy("model", "level", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def granularity(frame: DataFrame) -> DataFrame:
-    """Rows, distinct labels, share of the ten commonest labels and entropy in bits, per labeler and level."""
-    counts = labels_of(frame).groupBy("model", "level", "label").agg(F.count(F.lit(1)).alias("n"))
-    by = Window.partitionBy("model", "level")
-    ranked = counts.select("*", F.sum("n").over(by).alias("t"), F.row_number().over(by.orderBy(F.desc("n"), "label")).alias("r"))
-    p = F.col("n") / F.col("t")
-    return ranked.groupBy("model", "level").agg(
-        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("labels"),
-        (F.sum(F.when(F.col("r") <= 10, F.col("n")).otherwise(0)) / F.max("t") * 100).alias("top10_pct"), F.sum(-p * F.log2(p)).alias("entropy"),
-    )
+    """Rows, distinct labels, share of the ten commonest labels and entropy in bits, per labeler and level.
+
+    All of it adds up: the entropy of counts ``n`` with the sum ``t`` is log2(t) - sum(n log2(n)) / t.
+    """
+    counts, n = _label_counts(frame), F.col("n")
+    sums = counts.groupBy("model", "level").agg(
+        F.sum(n).alias("rows"), F.count(F.lit(1)).alias("labels"), (F.log2(F.sum(n)) - F.sum(n * F.log2(n)) / F.sum(n)).alias("entropy")
+    )
+    top = top_k(counts, ["model", "level"], [(-n).alias("m"), F.col("label")], 10).groupBy("model", "level").agg((-F.sum("row.m")).alias("top"))
+    return sums.join(F.broadcast(top), ["model", "level"]).select("model", "level", "rows", "labels", (F.col("top") / F.col("rows") * 100).alias("top10_pct"), "entropy")
 
 
 def top_labels(frame: DataFrame, k: int = 20) -> DataFrame:
-    counts = labels_of(frame).groupBy("model", "level", "label").agg(F.count(F.lit(1)).alias("n"))
-    by = Window.partitionBy("model", "level")
-    ranked = counts.select("*", (F.col("n") / F.sum("n").over(by) * 100).alias("pct"), F.row_number().over(by.orderBy(F.desc("n"), "label")).alias("rank"))
-    return ranked.where(F.col("rank") <= k)
+    counts, n = _label_counts(frame), F.col("n")
+    totals = counts.groupBy("model", "level").agg(F.sum(n).alias("t"))
+    best = top_k(counts, ["model", "level"], [(-n).alias("m"), F.col("label")], k).join(F.broadcast(totals), ["model", "level"])
+    return best.select("model", "level", "row.label", (-F.col("row.m")).alias("n"), (-F.col("row.m") / F.col("t") * 100).alias("pct"), "rank")
 
 
 def _both(frame: DataFrame, *keep: str) -> DataFrame:
@@ -87,10 +107,10 @@ def stratified_agreement(frame: DataFrame, period: str = "period", min_rows: int
 def top_disagreements(frame: DataFrame, k: int = 25) -> DataFrame:
     """Commonest (B, A) pairs of differing labels per level, with their share of rows where both are usable."""
     rows = _both(frame).where("both").select("level", norm(F.col("b")).alias("b"), norm(F.col("a")).alias("a"))
-    counts = rows.groupBy("level", "b", "a").agg(F.count(F.lit(1)).alias("n"))
-    by = Window.partitionBy("level")
-    shared = counts.select("*", (F.col("n") / F.sum("n").over(by) * 100).alias("pct")).where("a <> b")
-    return shared.select("*", F.row_number().over(by.orderBy(F.desc("n"), "b", "a")).alias("rank")).where(F.col("rank") <= k)
+    counts, n = rows.groupBy("level", "b", "a").agg(F.count(F.lit(1)).alias("n")), F.col("n")
+    totals = counts.groupBy("level").agg(F.sum(n).alias("t"))
+    best = top_k(counts.where("a <> b"), ["level"], [(-n).alias("m"), F.col("b"), F.col("a")], k).join(F.broadcast(totals), "level")
+    return best.select("level", "row.b", "row.a", (-F.col("row.m")).alias("n"), (-F.col("row.m") / F.col("t") * 100).alias("pct"), "rank")
 
 
 def stratum_top_pair(frame: DataFrame) -> DataFrame:
@@ -98,8 +118,8 @@ def stratum_top_pair(frame: DataFrame) -> DataFrame:
     base = frame.where(usable(F.col("a_l1")) & usable(F.col("a_l2")) & usable(F.col("a_l3")))
     rows = _both(base, "a_l1").where("both and not same")
     counts = rows.groupBy("a_l1", "level", norm(F.col("b")).alias("b"), norm(F.col("a")).alias("a")).agg(F.count(F.lit(1)).alias("n"))
-    by = Window.partitionBy("a_l1", "level").orderBy(F.desc("n"), "b", "a")
-    return counts.select("*", F.row_number().over(by).alias("r")).where("r = 1").drop("r")
+    first = F.min(F.struct((-F.col("n")).alias("m"), "b", "a")).alias("p")
+    return counts.groupBy("a_l1", "level").agg(first).select("a_l1", "level", "p.b", "p.a", (-F.col("p.m")).alias("n"))
 
 
 def worst_strata(strata: DataFrame, k: int = 5) -> DataFrame:
@@ -111,6 +131,25 @@ def worst_strata(strata: DataFrame, k: int = 5) -> DataFrame:
 EXPLANATION_FIELDS = ("rationale", "l4_rationale", "keywords", "root_cause_indicator", "root_cause", "l4_resolution_action", "actionability_reason", "l4_confidence")
 
 
+def exact_medians(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """``group`` (few values), ``median``: exact, by selection over range partitions; nulls don't count, no values: no row.
+
+    Distinct values are counted and dealt by ranges (a histogram of about equal bins).  The bins' sums say in which bin of a
+    group its middle ranks are, and only those bins are put in order, so no task holds more than a bin.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    dealt = checkpointed(counts.repartitionByRange(group, value).withColumn("bin", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = dealt.groupBy(group, "bin").agg(F.sum("n").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))  # one row a bin
+    bins = bins.withColumn("total", F.sum("n").over(Window.partitionBy(group)))
+    middle = F.explode(F.array_distinct(F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1))).alias("rank")
+    wanted = bins.select(group, "bin", "n", "before", middle).where("rank > before and rank <= before + n").select(group, "bin", "before", "rank")
+    own = dealt.join(F.broadcast(wanted), [group, "bin"])
+    until = F.col("before") + F.sum("n").over(Window.partitionBy(group, "bin", "rank").orderBy(value))
+    found = own.withColumn("until", until).where("until >= rank and until - n < rank")
+    return found.groupBy(group).agg(F.avg(value).alias("median"))
+
+
 def explainability(frame: DataFrame, fields: dict[str, str], confidence: str, actionable: str, label: str = "a_l4") -> DataFrame:
     """Per slice and field the share of filled values, and mean and exact median of the confidence.
 
@@ -124,7 +163,9 @@ def explainability(frame: DataFrame, fields: dict[str, str], confidence: str, ac
     rows = frame.select(F.explode(slices).alias("slice"), number.alias("__number"), *(filled(F.col(c).cast("string")).alias(n) for n, c in fields.items()))
     shares = [(F.avg(F.col(n).cast("double")) * 100).alias(f"{n}_pct") for n in fields]
     numeric = (F.avg(F.col("__number").isNotNull().cast("double")) * 100).alias("numeric_confidence_pct")
-    return rows.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"), *shares, numeric, F.avg("__number").alias("confidence_mean"), F.median("__number").alias("confidence_median"))
+    sums = rows.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"), *shares, numeric, F.avg("__number").alias("confidence_mean"))
+    medians = exact_medians(rows, "slice", "__number").withColumnRenamed("median", "confidence_median")
+    return sums.join(F.broadcast(medians), "slice", "left")  # four rows
 
 
 #: Names and upper ends of the bins, each closed on the right.
