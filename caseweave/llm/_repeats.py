@@ -9,7 +9,8 @@ buckets of about equal size, and a cell that is larger than a bucket (a run of w
 split by a second hash.  The counts, at most ``CELLS`` rows whatever the input, are all that the driver sees.
 
 A row of the input is named by its id and the 64-bit hash of its text: rows that agree in both have the same result.
-Answers to rows are packed too, by buckets of rows, and made one row each before they are joined to the texts.
+Answers to rows are packed too, by buckets of rows, and made one row each before they are joined to the texts.  The join
+has as many partitions as the texts' bytes, which are counted with the pieces, ask for, so its tasks don't grow with the input.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ from caseweave.llm import _bytes as kernel
 CELLS = 1 << 14
 #: Pieces that a bucket holds, about.
 BUCKET_PIECES = 2_000_000
+#: Bytes of text that a task of the join of texts and answers reads, about.
+TASK_BYTES = 64_000_000
+#: Cell of the count that has the texts' bytes.
+BYTES = -1
 U = np.uint64
 I64, I32 = pa.int64(), pa.int32()
 COUNTED = "cell int, n long"
@@ -58,7 +63,8 @@ def several(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Buckets:
     """Buckets of about equal counts: the first bucket of each cell and how many it has."""
 
-    def __init__(self, counts: np.ndarray, size: int):
+    def __init__(self, counts: np.ndarray, size: int, text_bytes: int = 0):
+        self.text_bytes = text_bytes
         self.parts = np.maximum(1, -(-counts // size))
         self.first, at, filled = np.zeros(len(counts), np.int64), 0, 0
         for cell, (n, parts) in enumerate(zip(counts.tolist(), self.parts.tolist(), strict=True)):
@@ -92,19 +98,21 @@ def partitions(spark: SparkSession) -> int:
 
 def planned(counted: DataFrame, size: int = BUCKET_PIECES) -> Buckets:
     """Buckets for counts of cells (``cell, n``); where there is little data, still some for each shuffle partition."""
+    found = {row["cell"]: row["n"] for row in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect()}  # at most CELLS rows and one
+    text_bytes = found.pop(BYTES, 0)
     counts = np.zeros(CELLS, np.int64)
-    for row in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most CELLS rows
-        counts[row["cell"]] = row["n"]
-    return Buckets(counts, max(1, min(size, -(-int(counts.sum()) // (2 * partitions(counted.sparkSession))))))
+    counts[list(found)] = list(found.values())
+    return Buckets(counts, max(1, min(size, -(-int(counts.sum()) // (2 * partitions(counted.sparkSession))))), text_bytes)
 
 
 def counts_of(batches, cells) -> pa.RecordBatch:
-    """One row for each cell that the texts of a task have pieces in; ``cells`` gives a batch's hashes."""
-    counts = np.zeros(CELLS, np.int64)
+    """One row for each cell that the texts of a task have pieces in, and one for their bytes; ``cells`` gives a batch's hashes."""
+    counts, text_bytes = np.zeros(CELLS, np.int64), 0
     for batch in kernel.chunks(batches, "text"):
+        text_bytes += len(kernel.flat(batch.column("text"))[0])
         counts += np.bincount(Buckets.cell(cells(batch)), minlength=CELLS)
     full = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(full, I32), pa.array(counts[full], I64)], ["cell", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[BYTES, full], I32), pa.array(np.r_[text_bytes, counts[full]], I64)], ["cell", "n"])
 
 
 def dealt(packed: DataFrame, buckets: Buckets) -> DataFrame:
@@ -236,8 +244,14 @@ def asked(hashes: np.ndarray, text: np.ndarray, column: pa.Array) -> np.ndarray:
     return wanted[place] == own
 
 
-def meet(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """``texts`` with what ``found`` has for their row; one shuffle of the texts serves each call."""
+def meet(texts: DataFrame, found: DataFrame, buckets: Buckets) -> DataFrame:
+    """``texts`` with what ``found`` has for their row; one shuffle of the texts serves each call.
+
+    Where the session's shuffle partitions are too few for the texts' bytes, they are dealt to more.
+    """
+    parts = -(-buckets.text_bytes // TASK_BYTES)
+    if parts > partitions(texts.sparkSession):
+        texts = texts.repartition(parts, "id", "text_hash")
     found = found.withColumnsRenamed({"id": "found_id", "text_hash": "found_hash"})
     return texts.join(found, (F.col("id") == F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left").drop("found_id", "found_hash")
 

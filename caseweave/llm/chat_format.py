@@ -14,7 +14,9 @@ Conversations are sorted within the partitions of a shuffle by id and read as a
 conversation at a time.  (A digest of a conversation is made in order, so one conversation is one task's work.)
 
 Defined results: null texts and roles are empty; rows of one conversation are ordered by turn, then role, then text
-(null turns first); repeated rows are turns of their own; rows without an id form one conversation without id.
+(null turns first); repeated rows are turns of their own; rows without an id form one conversation without id;
+texts are taken whole, however long; an empty table gives no conversations (the query's own one stays); other columns are
+not looked at, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ execution splits.  Texts are shuffled once, as arrays of lines, to meet the cove
 
 Defined results: a null text stays null and has no lines; rows with a null id are left as they are and count for
 nobody; rows of one id and one text get the same result; a document all of whose lines go keeps its row with an empty
-text; other columns are passed on.
+text; other columns are passed on; texts are taken whole, however long; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@
    histogram) gives each piece its sequence.
 
 Defined results: a null or empty text has the closing id alone; repeated rows are packed each for itself; a null id is
-passed on; an empty table gives no pieces.
+passed on; an empty table gives no pieces; texts are encoded whole, however long; other columns are not looked at,
+whatever their names.
 """
 
 from __future__ import annotations

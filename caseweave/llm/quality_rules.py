@@ -7,7 +7,7 @@ are one projection per row, so nothing is shuffled, and the text is read once.
 
 Defined results: a null or empty text has no words, so all counts are 0 and the base rule fails it; repeated rows each
 get their own equal result; a null id is passed on; other input columns are ignored by the query and kept by
-``annotate``.
+``annotate``; texts are measured whole, however long; an empty table gives no rows.
 """
 
 from __future__ import annotations

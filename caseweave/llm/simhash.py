@@ -19,7 +19,9 @@ four or fewer differing bits; linked documents, directly or by way of others, fo
    lineage cut at each round.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; repeated rows each get their
-result; rows with a null id get the component of the others, and a component of null ids only has a null id.
+result; rows with a null id get the component of the others, and a component of null ids only has a null id; texts are
+taken whole, however long; an empty table gives no rows; the query looks at no other columns, whatever their names, and
+``one_of_each`` passes them on.
 """
 
 from __future__ import annotations

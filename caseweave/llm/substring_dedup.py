@@ -14,7 +14,8 @@ on the input.  Steps:
 
 Defined results: null and empty texts have no words; a text of fewer than 50 words is kept; rows with a null id are
 kept whole and count for nobody; rows that share an id never remove each other's words; ids are whole numbers (another
-type raises ``TypeError``); a single long text is one batch; other columns are not passed on, and may have any name.
+type raises ``TypeError``); a single long text is one batch; an empty table gives no rows; other columns are not passed
+on, and may have any name.
 """
 
 from __future__ import annotations
@@ -219,10 +220,10 @@ def substring_dedup(
     filled = source.where("id is not null and text is not null")
     buckets = repeats.planned(filled.mapInArrow(lambda b: _count(b, size), repeats.COUNTED), pieces)
     packed = filled.mapInArrow(lambda b: _pack(b, size, bits, buckets), repeats.PACKED)
-    met = repeats.meet(source, repeats.shared_hashes(packed, buckets))
+    met = repeats.meet(source, repeats.shared_hashes(packed, buckets), buckets)
     segments = met.mapInArrow(lambda b: _fetch(b, size, bits, buckets), SEGMENTS)
     spans = repeats.spans(segments, buckets, lambda k, t: _compare(k, t, size, buckets.n))
-    last = repeats.meet(source, spans).select("id", "text", "starts", "lengths")
+    last = repeats.meet(source, spans, buckets).select("id", "text", "starts", "lengths")
     return last.mapInArrow(_cut, "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", key)
 
 

@@ -22,7 +22,7 @@ Hashes pick buckets and drop grams that one id has; every removal comes out of a
 
 Defined results: a null text is empty; texts of fewer than 50 bytes are kept; rows with a null id are kept whole and
 count for nobody; rows that share an id never remove each other's bytes; ids are whole numbers (another type raises
-``TypeError``); a single long text is one batch; other columns are not passed on, and may have any name.  The kept bytes
+``TypeError``); a single long text is one batch; an empty table gives no rows; other columns are not passed on, and may have any name.  The kept bytes
 may be cut inside a character.
 """
 
@@ -359,10 +359,10 @@ def suffix_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", piece
     filled = source.where("id is not null and text is not null")
     buckets = repeats.planned(filled.mapInArrow(_count, repeats.COUNTED), pieces)
     packed = filled.mapInArrow(lambda b: _pack(b, buckets), repeats.PACKED)
-    met = repeats.meet(source, repeats.shared_hashes(packed, buckets))
+    met = repeats.meet(source, repeats.shared_hashes(packed, buckets), buckets)
     contexts = met.mapInArrow(lambda b: _fetch(b, buckets), CONTEXTS)
     spans = repeats.spans(contexts, buckets, lambda k, t: _sort(k, t, buckets.n))
-    last = repeats.meet(source, spans).select("id", "text", "starts", "lengths")
+    last = repeats.meet(source, spans, buckets).select("id", "text", "starts", "lengths")
     return last.mapInArrow(_cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", key)
 
 
