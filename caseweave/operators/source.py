@@ -63,6 +63,34 @@ def portal_nonworked(portal: Column, contacts: Column) -> Column:
     return F.when((portal == 1) & ~worked, 1).when(portal == 1, 0)
 
 
+def closed_at(pending_closed: Column, closed: Column) -> Column:
+    """When an incident was closed: when it went to pending closed, else its close time."""
+    return F.coalesce(pending_closed, closed)
+
+
+#: Shapes of a text, time or number column; ``cut`` takes a width.
+SHAPES = {
+    "cut": lambda c, width: F.substring(c, 1, width), "upper": F.upper, "lower": F.lower, "trim": F.trim, "text": lambda c: c.cast("string"),
+    "day": lambda c: F.date_trunc("day", c).cast("timestamp_ntz"), "whole": lambda c: c.cast("int"),
+}
+
+
+def shaped(df: DataFrame, key: str, columns: dict[str, tuple]) -> DataFrame:
+    """``key`` and one column for each ``new: (old, shape, arguments...)``; shapes are applied from left to right if several are given.
+
+    A null stays null.
+    """
+
+    def column(old: str, *steps) -> Column:
+        out, left = F.col(old), list(steps)
+        while left:
+            shape = left.pop(0)
+            out = SHAPES[shape](out, left.pop(0)) if shape == "cut" else SHAPES[shape](out)
+        return out
+
+    return df.select(key, *(column(*how).alias(new) for new, how in columns.items()))
+
+
 def note_flag(notes: DataFrame, marker: str, prefix: str = "INC") -> DataFrame:
     """Distinct incidents with the marker in any note, whatever its case."""
     hit = F.upper("note").contains(marker.upper()) & F.col("in_id").startswith(prefix)

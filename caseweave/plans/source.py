@@ -133,22 +133,21 @@ def gated_reference_ids(spark, sf_dir):
 
 @query(f"{WITH} SELECT in_id, {PORTAL} AS portal_nonworked, coalesce(pending_closed, close_time) AS closed_at FROM facts", name="portal_nonworked")
 def portal(spark, sf_dir):
-    closed = F.coalesce("pending_closed", "close_time").alias("closed_at")
+    closed = src.closed_at(F.col("pending_closed"), F.col("close_time")).alias("closed_at")
     return shape(spark, sf_dir, "facts").select("in_id", src.portal_nonworked(F.col("volume_web_portal"), F.col("contacts")).alias("portal_nonworked"), closed)
 
 
 @query(f"{WITH} SELECT in_id, coalesce(pending_closed, close_time) AS closed_at, close_time AS closed FROM facts")
 def closed_at_coalesce(spark, sf_dir):
-    return shape(spark, sf_dir, "facts").select("in_id", F.coalesce("pending_closed", "close_time").alias("closed_at"), F.col("close_time").alias("closed"))
+    return shape(spark, sf_dir, "facts").select("in_id", src.closed_at(F.col("pending_closed"), F.col("close_time")).alias("closed_at"), F.col("close_time").alias("closed"))
 
 
 @query("""SELECT o_orderkey, substr(o_orderpriority, 1, 4) AS cut, upper(o_orderpriority) AS up, lower(o_orderpriority) AS low, CAST(o_orderkey AS VARCHAR) AS key_text,
 CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS day, CAST(trunc(o_totalprice) AS INTEGER) AS whole FROM orders""")
 def text_trim_case(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.substring("o_orderpriority", 1, 4).alias("cut"), F.upper("o_orderpriority").alias("up"), F.lower("o_orderpriority").alias("low"),
-        F.col("o_orderkey").cast("string").alias("key_text"), F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("day"), F.col("o_totalprice").cast("int").alias("whole"),
-    )
+    priority = {"cut": ("o_orderpriority", "cut", 4), "up": ("o_orderpriority", "upper"), "low": ("o_orderpriority", "lower")}
+    other = {"key_text": ("o_orderkey", "text"), "day": ("o_orderdate", "day"), "whole": ("o_totalprice", "whole")}
+    return src.shaped(table(spark, sf_dir, "orders"), "o_orderkey", priority | other)
 
 
 @query("""WITH v AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(1700000000000 + event_id * 1500 AS VARCHAR) WHEN 1 THEN CAST(1700000000 + event_id AS VARCHAR)

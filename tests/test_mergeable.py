@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseweave.operators import compare as cmp
 from caseweave.operators import merge as mg
+from caseweave.operators import source as src
 from caseweave.plans import base
 from caseweave.registry import QUERIES
 from caseweave.sources import io
@@ -82,3 +83,9 @@ def test_retention_deletes_old_runs_only(spark, tmp_path):
 
 def test_explainability_holds_no_percentile_buffer(spark, sf_dir):
     assert "percentile" not in plan_of(QUERIES["explainability_presence"](spark, sf_dir)) and base.QUERIES is QUERIES
+
+
+def test_shapes_in_a_row(spark):
+    df = spark.createDataFrame([(1, "  Abcdef ", 7.9), (2, None, None)], "k int, t string, x double")
+    out = src.shaped(df, "k", {"a": ("t", "trim", "cut", 3, "upper"), "b": ("x", "whole", "text"), "c": ("t",)})
+    assert [tuple(r) for r in out.orderBy("k").collect()] == [(1, "ABC", "7", "  Abcdef "), (2, None, None, None)]
