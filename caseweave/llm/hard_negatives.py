@@ -191,7 +191,7 @@ def _blocks(anchors: DataFrame, count: int) -> DataFrame:
 
 
 def _candidates(chunks: DataFrame, anchors: DataFrame, count: int, small: bool, run):
-    """Sorted keys of the products of all chunks with all blocks, and other records, as an RDD."""
+    """Keys of the candidates in the products of all chunks with all blocks."""
     blocks = _blocks(anchors, count)
     numbers = F.sequence(F.lit(0), F.lit(max(1, -(-count // BLOCK_ANCHORS)) - 1))
     dealt = chunks.withColumn("block", F.explode(numbers))
