@@ -150,7 +150,7 @@ def test_pipeline_is_registered():
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
-    assert [name for name in entry.queries() if name.startswith("op")] and len([n for n in entry.queries() if n.startswith("op")]) == 10
+    assert [name for name in entry.queries() if name.startswith("op")] and len([n for n in entry.queries() if n.startswith("op")]) == 13
 
 
 def test_decontaminate_stage_keeps_what_plain_python_keeps(spark, sf_dir):
