@@ -28,6 +28,8 @@ may be cut inside a character.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -48,6 +50,8 @@ SHALLOW_KEYS = 5
 SORT_AT_ONCE = 200_000
 #: Bytes of text whose anchors are packed together.
 AT_ONCE = 4_000_000
+#: Bytes of text whose anchors are found together: bounds the tables of 64-bit values for each byte.
+FIND_AT_ONCE = 1_000_000
 NO_GRAM = np.uint64(2**64 - 1)
 U = np.uint64
 I64, I32 = pa.int64(), pa.int32()
@@ -60,13 +64,28 @@ class _Anchors:
     def __init__(self):
         self.gram = kernel.Rolling(31)
 
-    def __call__(self, column: pa.Array) -> _Anchors:
-        self.buf, self.offsets = buf, offsets = kernel.flat(column)
+    def parts(self, column: pa.Array) -> Iterator[tuple[int, int]]:
+        """Some texts at a time: the first one's row and byte, for each the anchors are here, counted from them."""
+        self.buf, self.offsets = kernel.flat(column)
+        row = 0
+        while row < len(self.offsets) - 1:
+            end = max(row + 1, int(np.searchsorted(self.offsets, self.offsets[row] + FIND_AT_ONCE, "right")) - 1)
+            self._find(self.buf[self.offsets[row] : self.offsets[end]], self.offsets[row : end + 1] - self.offsets[row])
+            self.rows = end - row
+            yield row, int(self.offsets[row])
+            row = end
+
+    def grams_of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Text and gram of each anchor."""
+        found = [(self.text + row, self.grams) for row, _ in self.parts(column)]
+        return tuple(np.concatenate(c) for c in zip((np.zeros(0, np.int64), np.zeros(0, U)), *found, strict=True))
+
+    def _find(self, buf: np.ndarray, offsets: np.ndarray) -> None:
         n = len(buf)
         if n < SIZE:
             self.at = self.text = np.zeros(0, np.int64)
             self.grams = np.zeros(0, U)
-            return self
+            return
         text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
         grams = kernel.mixed(self.gram.windows(self.gram.prefix(buf), GRAM))
         grams[text[: n - GRAM + 1] != text[GRAM - 1 :]] = NO_GRAM
@@ -77,7 +96,6 @@ class _Anchors:
         at = np.flatnonzero(kernel.sliding(reached, REACH + 1, np.maximum) == grams)
         self.at = at[grams[at] != NO_GRAM]
         self.text, self.grams = text[self.at].astype(np.int64), grams[self.at]
-        return self
 
     def masks(self, k: np.ndarray) -> np.ndarray:
         """Bit ``b`` of an anchor's mask: it is the anchor of the string that starts ``b`` bytes before it."""
@@ -238,17 +256,17 @@ def _group(grams: np.ndarray, masks: np.ndarray) -> np.ndarray:
 
 def _count(batches):
     anchors = _Anchors()
-    yield from repeats.counts_of(batches, lambda batch: anchors(batch.column(2)).grams)
+    yield from repeats.counts_of(batches, lambda batch: anchors.grams_of(batch.column(2))[1])
 
 
 def _pack(batches, buckets: repeats.Buckets):
     anchors = _Anchors()
     for batch in kernel.chunks(batches, "text", AT_ONCE):
-        a = anchors(batch.column(2))
-        if len(a.at):
+        text, grams = anchors.grams_of(batch.column(2))
+        if len(text):
             ids, texts, new = repeats.once(batch)
-            k = np.flatnonzero(new[a.text])
-            text, grams = a.text[k], a.grams[k]
+            k = np.flatnonzero(new[text])
+            text, grams = text[k], grams[k]
             yield repeats.pack(ids[text], texts[text], grams, buckets.split(grams, kernel.mixed(grams)), buckets.n)
 
 
@@ -258,11 +276,13 @@ def _fetch(batches, buckets: repeats.Buckets):
     for batch in kernel.chunks(batches, "text", AT_ONCE):
         if batch.column(3).null_count == batch.num_rows:
             continue
-        a, (ids, texts, new) = anchors(batch.column(2)), repeats.once(batch)
-        k = np.flatnonzero(repeats.asked(a.grams, a.text, batch.column(3)) & new[a.text])
-        if not len(k):
+        a, (ids, texts, new), found = anchors, repeats.once(batch), []
+        for row, byte in a.parts(batch.column(2)):
+            k = np.flatnonzero(repeats.asked(a.grams, a.text, batch.column(3).slice(row, a.rows)) & new[a.text + row])
+            found.append((a.masks(k), a.at[k] + byte, a.text[k] + row, a.grams[k]))
+        masks, at, text, grams = (np.concatenate(c) for c in zip(*found, strict=True))
+        if not len(at):
             continue
-        masks, at, text, grams = a.masks(k), a.at[k], a.text[k], a.grams[k]
         bucket = buckets.whole(grams)
         if (bucket < 0).any():  # a gram too frequent for one bucket: its strings go by themselves, dealt by their hash
             alone = np.flatnonzero(bucket < 0)
@@ -329,7 +349,7 @@ def _sort(bucket: int, table: pa.Table, spread_over: int) -> pa.Table:
 
 def _cut(batches):
     """Texts without the covered bytes."""
-    for batch in kernel.chunks(batches, "text"):
+    for batch in kernel.chunks(batches, "text", FIND_AT_ONCE):
         buf, offsets = kernel.flat(batch.column(1))
         (starts, counts), (lengths, _) = repeats.numbers(batch.column(2)), repeats.numbers(batch.column(3))
         gone = kernel.covered(starts + np.repeat(offsets[:-1], counts), lengths, len(buf))

@@ -64,3 +64,10 @@ def test_formatted_conversations_hold_long_texts(spark):
     df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
     out = chat_format.chat_format_query(df).where("conv_id = 1").first()
     assert out.loss_chars == len(text) and out.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("at_once", [1, 700, 10**6])
+def test_anchors_found_some_texts_at_a_time(spark, monkeypatch, at_once):
+    monkeypatch.setattr(suffix_dedup, "FIND_AT_ONCE", at_once)
+    rows = texts(21)
+    assert cut_bytes(frame(spark, rows).repartition(3)) == brute_bytes(rows)
