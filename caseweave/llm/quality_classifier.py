@@ -36,7 +36,7 @@ EPOCHS = 12
 FOLDS = 3
 KEEP_SCORE = 0.7
 #: Bytes of text that features are made of at once.
-AT_ONCE = 1_000_000
+AT_ONCE = 300_000
 U = np.uint64
 
 
