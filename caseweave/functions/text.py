@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,41 +62,63 @@ def present(c: Column) -> Column:
     return F.when(~c.isin("", "None", "nan"), c)
 
 
-def token_cosine(ta: Column, tb: Column) -> Column:
-    """Cosine over two token lists; see ``pair_cosine``.
-
-    One pass over both lists, sorted together: equal terms are neighbours, so the cost is that of the sort and long texts
-    need no search through the list for every term.
+#: Weight of a term that only one of two texts has: 1 + ln 1.5.
+SINGLE = 1.0 + 0.4054651081081644
+#: Rows whose tokens are numbered at once.
+COSINE_ROWS = 256
+
+
+def _cosines(lists: pa.Array, width: int, pairs: list[tuple[int, int]]) -> np.ndarray:
+    """``(rows, pairs)`` cosines of ``width`` token lists a row, NaN where a list has no token."""
+    n, sides = len(lists), lists.flatten()
+    sizes = pc.list_value_length(sides).fill_null(0).to_numpy(zero_copy_only=False)
+    codes = sides.flatten().dictionary_encode()
+    terms = max(1, len(codes.dictionary))
+    key, tf = np.unique(np.repeat(np.arange(n * width, dtype=np.int64), sizes) * terms + codes.indices.to_numpy(), return_counts=True)
+    side, squares = key // terms, tf * tf
+    total = np.bincount(side, squares, n * width).reshape(n, width)  # sums of whole numbers: exact
+    filled = sizes.reshape(n, width) > 0
+    out = np.full((n, len(pairs)), np.nan)
+    for p, (i, j) in enumerate(pairs):
+        own = np.flatnonzero(side % width == i)
+        other = key[own] + (j - i) * terms
+        at = np.minimum(np.searchsorted(key, other), len(key) - 1)
+        met = key[at] == other
+        own, at = own[met], at[met]
+        row = side[own] // width
+        dot, mine, theirs = (np.bincount(row, v, n) for v in (tf[own] * tf[at], squares[own], squares[at]))
+        norms = (mine + SINGLE**2 * (total[:, i] - mine)) * (theirs + SINGLE**2 * (total[:, j] - theirs))
+        good = filled[:, i] & filled[:, j]
+        out[good, p] = dot[good] / np.sqrt(norms[good])
+    return out
+
+
+def token_cosines(lists: list[Column], pairs: list[tuple[int, int]]) -> Column:
+    """Array of the cosines of pairs (by place) of token lists; see ``pair_cosine``.
+
+    A row's lists go to a worker once, however many pairs they are in; their terms are numbered there, and a pair looks up
+    the terms of its first list in those of its second one, so the first should be the shorter.
     """
-    single = 1.0 + 0.4054651081081644
-    zero = F.lit(0.0)
+    width = len(lists)
 
-    def added(s: Column) -> dict[str, Column]:
-        """The sums with the term that the state still counts."""
-        square = lambda own, other: F.pow(own * F.when(other > 0, 1.0).otherwise(single), F.lit(2.0))
-        return {"dot": s.dot + s.ca * s.cb, "sa": s.sa + square(s.ca, s.cb), "sb": s.sb + square(s.cb, s.ca)}
+    @F.arrow_udf("array<double>")
+    def cosines(rows: pa.Array) -> pa.Array:
+        parts = [_cosines(rows.slice(k, COSINE_ROWS), width, pairs) for k in range(0, len(rows), COSINE_ROWS)]
+        values = np.concatenate(parts).ravel() if parts else np.zeros(0)
+        return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * len(pairs), pa.array(values, mask=np.isnan(values)))
 
-    def step(s: Column, e: Column) -> Column:
-        same, sums = e.term.eqNullSafe(s.term), added(s)
-        counted = [(F.when(same, s[c]).otherwise(zero) + e[c]).alias(c) for c in ("ca", "cb")]
-        return F.struct(e.term.alias("term"), *counted, *(F.when(same, s[c]).otherwise(v).alias(c) for c, v in sums.items()))
+    return cosines(F.array(*lists))
 
-    def cosine(s: Column) -> Column:
-        sums = added(s)
-        return sums["dot"] / F.sqrt(sums["sa"] * sums["sb"])
 
-    side = lambda tokens, a, b: F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(a).alias("ca"), F.lit(b).alias("cb")))
-    both = F.sort_array(F.concat(side(ta, 1.0, 0.0), side(tb, 0.0, 1.0)))
-    start = F.struct(F.lit(None).cast("string").alias("term"), *(zero.alias(c) for c in ("ca", "cb", "dot", "sa", "sb")))
-    return F.when((F.size(ta) > 0) & (F.size(tb) > 0), F.aggregate(both, start, step, cosine))
+def token_cosine(ta: Column, tb: Column) -> Column:
+    """Cosine over two token lists; see ``pair_cosine``."""
+    return F.get(token_cosines([ta, tb], [(0, 1)]), 0)
 
 
 def pair_cosine(a: Column, b: Column) -> Column:
     """Cosine of the TF-IDF vectors of two texts, fitted on these two alone; null if either has no token.
 
     With two texts a term in both has weight 1 and a term in one has 1 + ln 1.5, so the sums need no corpus: the shared
-    distinct terms and the token counts of each text are enough.  The token lists are bound as the variable of an outer
-    ``transform``, so that the texts are cut once.
+    distinct terms and the token counts of each text are enough.
     """
-    bound = F.array(F.struct(tokens(a).alias("x"), tokens(b).alias("y")))
-    return F.get(F.transform(bound, lambda s: token_cosine(s.x, s.y)), 0)
+    return token_cosine(tokens(a), tokens(b))
