@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from caseweave.functions.labels import norm, usable
 from caseweave.operators.merge import keep_last, reconcile_ids
@@ -45,46 +47,74 @@ UNDATED = 1000
 FOREVER = 1 << 60
 
 
+def _met_ids(frame: pd.DataFrame, carried: pd.DataFrame | None) -> pd.DataFrame:
+    """One row for each id: the first one by moment, the last moment, and whether any was known, and known for good."""
+    ms = frame["__moment"].to_numpy("datetime64[ms]")
+    last = np.where(np.isnat(ms), 0, ms.astype(np.int64))
+    rows = frame.assign(__last=last, __stays=frame["__known"] & (last <= UNDATED))
+    rows = rows if carried is None else pd.concat([carried, rows])
+    rows = rows.sort_values("__moment", kind="stable")
+    codes = pd.factorize(rows["__id"], use_na_sentinel=False)[0]
+    _, first = np.unique(codes, return_index=True)
+    latest = rows["__last"].to_numpy()[first]
+    np.maximum.at(latest, codes, rows["__last"].to_numpy())
+    some = {c: np.bincount(codes, rows[c].astype(bool)) > 0 for c in ("__known", "__stays")}
+    return rows.iloc[first].assign(__last=latest, **some)
+
+
 def incremental_dedup(
-    stream: DataFrame, known: DataFrame, key: str, moment: str, delay: str = "6 hours", look_back_hours: float = 24 * 366
+    stream: DataFrame, known: DataFrame, key: str, moment: str, delay: str = "6 hours", look_back_hours: float = 24 * 366, buckets: int = 1024
 ) -> DataFrame:
     """New incidents: the first row of each id (by moment), without ids that ``known`` (see ``known_ids``) has given.
 
     An id that was seen stays in the state until the watermark is ``look_back_hours`` beyond its last row or closing (a
-    known id without a moment stays for good), so neither the target nor earlier output is read again: a trigger's work
-    goes by its own rows.  Rows later than ``delay`` are dropped by the stream (``complete_dedup`` finds them); rows
-    without an id are one id.
+    known id without a moment stays for good), so neither the target nor earlier output is read again.  Rows later than
+    ``delay`` are dropped by the stream (``complete_dedup`` finds them); rows without an id are one id.
+
+    Ids live in ``buckets`` packed states (by hash; the number stays with the checkpoint), so a call judges many ids at once.
+    A trigger reads and writes the buckets that its rows fall into, some 20 bytes for each of their ids.
     """
     columns = stream.columns
+    whole = [f.name for f in stream.schema.fields if f.name != key and f.dataType == LongType()]  # as text: next to a null pandas would round them
     timed = stream.select(*columns, F.col(moment).cast("timestamp").alias("__moment"), F.lit(False).alias("__known"))
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields if f.name != key]
     dated = F.greatest(F.coalesce("__moment", F.timestamp_millis(F.lit(UNDATED))), F.timestamp_millis(F.lit(UNDATED))).alias("__moment")
     given = known.select(key, *nulls, dated, F.lit(True).alias("__known")).select(*columns, "__moment", "__known")
     both = timed.unionByName(given).withWatermark("__moment", delay)
+    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets)))
+    both = both.withColumns({c: F.col(c).cast("string") for c in whole} | {"__id": F.col(key).cast("string"), "__bucket": bucket})
     kept = int(look_back_hours * 3_600_000)
 
     def judge(_, frames, state):
-        if state.hasTimedOut:
+        now = state.getCurrentWatermarkMs()
+        held = pd.Series(dtype="int64") if not state.exists else pd.Series(np.frombuffer(state.get[1], np.int64), index=pd.Index(pickle.loads(state.get[0]), dtype=object))
+        met = None
+        if not state.hasTimedOut:
+            for frame in frames:
+                met = _met_ids(frame, met)
+        if met is not None and len(met):
+            ids = pd.Index(met["__id"].to_numpy(), dtype=object)
+            place = held.index.get_indexer(ids)
+            before = np.where(place >= 0, held.to_numpy()[place] if len(held) else 0, 0)
+            until = np.maximum(np.maximum(met["__last"].to_numpy() + kept, now + 1), before)
+            until = np.where(met["__stays"].to_numpy(), FOREVER, until)
+            fresh = met[(place < 0) & ~met["__known"].to_numpy(dtype=bool)]
+            rest = held.drop(held.index[place[place >= 0]])
+            held = pd.concat([rest[rest >= now], pd.Series(until, index=ids)])
+        else:
+            fresh, held = None, held[held >= now]
+        if not len(held):
             state.remove()
             return
-        fresh, last, first = not state.exists, state.get[0] if state.exists else 0, None
-        for frame in frames:
-            fresh = fresh and not frame["__known"].any()
-            last = max(last, int(frame["__moment"].max().timestamp() * 1000))
-            if fresh:
-                row = frame.sort_values("__moment", kind="stable").iloc[:1]
-                if first is None or row["__moment"].iloc[0] < first["__moment"].iloc[0]:
-                    first = row
-            elif (frame["__known"] & (frame["__moment"] <= pd.Timestamp(UNDATED, unit="ms"))).any():
-                last = FOREVER
-        state.update((last,))
-        if last < FOREVER:
-            state.setTimeoutTimestamp(max(last + kept, state.getCurrentWatermarkMs() + 1))
-        if fresh:
-            yield first[columns]
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
-    return both.groupBy(key).applyInPandasWithState(judge, schema, "last long", "append", GroupStateTimeout.EventTimeTimeout)
+        state.update((pickle.dumps(held.index.to_list()), held.to_numpy(np.int64).tobytes()))
+        if held.min() < FOREVER:
+            state.setTimeoutTimestamp(int(held.min()))
+        if fresh is not None and len(fresh):
+            yield fresh[columns]
+
+    schema = ", ".join(f"`{f.name}` {'string' if f.name in whole else f.dataType.simpleString()}" for f in stream.schema.fields)
+    out = both.groupBy("__bucket").applyInPandasWithState(judge, schema, "ids binary, until binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*(F.col(c).cast("long").alias(c) if c in whole else F.col(c) for c in columns))
 
 
 class MergeLog:

@@ -80,3 +80,25 @@ def test_late_rows_correct_their_window(spark, tmp_path):
     assert (second.usable_pct, second.labels, second.top_pct, second.entropy, round(second.usable_drift, 6)) == (0, 0, None, None, -66.666667)
     assert round(by[at(0), "L1"].entropy, 6) == 0.918296 and by[at(9), "L1"].top_drift == 0
     assert {r.start for r in si.closed_windows(counts).collect()} == {at(0)}
+
+
+def test_ids_of_a_bucket_are_judged_in_one_call(spark, tmp_path):
+    """Some hundred ids in two states; whole numbers beyond 2**53 stay exact beside nulls; ids expire one by one."""
+    big = (1 << 60) + 1
+    kinds = pa.schema([("in_id", pa.int64()), ("ts", pa.timestamp("us")), ("v", pa.int64()), ("w", pa.int32())])
+    batches = [
+        [(big + k, at(k % 7), None if k % 5 == 0 else big + k, None if k % 3 else k) for k in range(300)] + [(big + 1, at(0), -1, 0), (None, at(1), big, 1)],
+        [(big + 999, at(60), 1, 1), (big + 2, at(60), 2, 2)],
+        [(big + 998, at(61), 1, 1)],
+        [(big + k, at(62), k, k) for k in (1, 2, 3)],
+    ]
+    os.makedirs(f"{tmp_path}/in")
+    for number, rows in enumerate(batches):
+        pq.write_table(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.types, strict=True)], schema=kinds), f"{tmp_path}/in/part-{number}.parquet")
+        os.utime(f"{tmp_path}/in/part-{number}.parquet", (1_700_000_000 + number,) * 2)
+    known = si.known_ids(spark.createDataFrame([(big + 10,), (big + 20,)], "in_id long"), "in_id", f"{tmp_path}/known")
+    fresh = si.incremental_dedup(si.file_stream(spark, f"{tmp_path}/in", 1), known, "in_id", "ts", "1 hours", 24, buckets=2)
+    si.run_once(fresh.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state"))
+    rows = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("in_id", "v", "w").collect()), key=repr)
+    first = [(k, v, w) for k, _, v, w in batches[0] if k not in (big + 10, big + 20) and (k, v) != (big + 1, big + 1)]
+    assert rows == sorted([*first, (big + 999, 1, 1), (big + 998, 1, 1), (big + 1, 1, 1), (big + 3, 3, 3)], key=repr)
