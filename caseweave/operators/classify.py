@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,30 +29,48 @@ def _calls(frame: pd.DataFrame, key: str, batch_size: int) -> list[pd.DataFrame]
     return [part.iloc[k : k + batch_size] for _, part in known.groupby(turn, sort=True) for k in range(0, len(part), batch_size)]
 
 
-def _asked(batch: pd.DataFrame, answer, key: str, columns: list[str]) -> tuple[pd.DataFrame, str]:
-    """The answers of one call, by the rows' index, and why the others have none; unknown ids go, the first answer of an id counts."""
-    try:
-        out, reason = answer(batch), "no answer"
-    except Exception as error:  # a failing batch is a result, not the end of the job
-        return pd.DataFrame(columns=[*columns], dtype=object), f"{type(error).__name__}: {error}"
-    out = out.reindex(columns=[key, *columns])
-    place = pd.Series(batch.index, index=batch[key].to_numpy())
-    out = out[out[key].isin(place.index)].drop_duplicates(key)
-    out.index = place.reindex(out[key]).to_numpy()
-    return out[columns], reason
+def _asked(batches: list[pd.DataFrame], answers, key: str, columns: list[str]) -> tuple[pd.DataFrame, list[str]]:
+    """The answers of calls, by the rows' index, and each call's reason for rows without one; unknown ids go, an id's first answer counts.
 
-
-def _outcomes(frame: pd.DataFrame, answered: list[tuple[pd.Index, pd.DataFrame, str]], key: str, columns: list[str]) -> pd.DataFrame:
+    Each batch is one call; its answers are matched with its rows together with those of all other calls.
+    """
+    given, reasons = [], []
+    for batch, answer in zip(batches, answers, strict=True):
+        try:
+            out, reason = answer(batch), "no answer"
+        except Exception as error:  # a failing batch is a result, not the end of the job
+            out, reason = pd.DataFrame(columns=[key, *columns]), f"{type(error).__name__}: {error}"
+        given.append(out if {key, *columns} <= set(out.columns) else out.reindex(columns=[key, *columns]))
+        reasons.append(reason)
+    calls = [n for n, out in enumerate(given) if len(out)]
+    if not calls:
+        return pd.DataFrame(columns=[*columns], dtype=object), reasons
+    found = pd.concat([given[n][[key, *columns]].astype(object) for n in calls], ignore_index=True)
+    numbers = {}  # ids by number, so that a call and an id are one whole number
+    number = lambda values: [numbers.setdefault(v, len(numbers)) for v in values]
+    rows = [(n, batch.index.to_numpy(), number(batch[key])) for n, batch in enumerate(batches)]
+    ids = np.array([numbers.get(v, -1) for v in found[key]], np.int64)
+    width = len(numbers) + 1
+    call = np.repeat(calls, [len(given[n]) for n in calls])
+    place = pd.Series(np.concatenate([index for _, index, _ in rows]), index=np.concatenate([np.array(k, np.int64) + n * width for n, _, k in rows]))
+    code = pd.Index(np.where(ids >= 0, ids + call * width, -1))
+    at = place.index.get_indexer(code)
+    kept = (at >= 0) & ~code.duplicated()
+    out = found.loc[kept, columns]
+    out.index = place.to_numpy()[at[kept]]
+    return out, reasons
+
+
+def _outcomes(frame: pd.DataFrame, out: pd.DataFrame, batches: list[pd.DataFrame], why: list[str], key: str, columns: list[str]) -> pd.DataFrame:
     """One row for each row of ``frame``: its answer, or a gap with the reason."""
-    given = [out for _, out, _ in answered if len(out)]
-    rows = pd.concat(given).reindex(frame.index) if given else pd.DataFrame(index=frame.index, columns=columns)
-    hit = frame.index.isin(pd.Index([i for out in given for i in out.index]))
-    reasons = pd.Series(NO_ID, index=frame.index, dtype=object)
-    for index, _, reason in answered:
-        reasons.loc[index] = reason
+    rows = out.reindex(frame.index) if len(out) else pd.DataFrame(index=frame.index, columns=columns)
+    hit = frame.index.isin(out.index)
+    reasons = np.full(len(frame), NO_ID, dtype=object)  # the index counts rows from 0
+    for batch, reason in zip(batches, why, strict=True):
+        reasons[batch.index.to_numpy()] = reason
     rows.insert(0, key, frame[key])
     rows["validation_status"] = pd.Series(GAP, index=frame.index, dtype=object).where(~hit, None)
-    rows["gap_reason"] = reasons.where(~hit, None)
+    rows["gap_reason"] = pd.Series(reasons, index=frame.index, dtype=object).where(~hit, None)
     return rows.astype(object).where(rows.notna(), None)
 
 
@@ -69,7 +88,9 @@ def classify(df: DataFrame, make, schema: str, key: str = "in_id", batch_size: i
         answer = make()
         for frame in frames:
             frame = frame.reset_index(drop=True)
-            yield _outcomes(frame, [(b.index, *_asked(b, answer, key, columns)) for b in _calls(frame, key, batch_size)], key, columns)
+            batches = _calls(frame, key, batch_size)
+            out, why = _asked(batches, [answer] * len(batches), key, columns)
+            yield _outcomes(frame, out, batches, why, key, columns)
 
     return df.mapInPandas(run, f"{key} {kind}, {schema}, validation_status string, gap_reason string")
 
@@ -86,30 +107,41 @@ def classify_by_subcategory(df: DataFrame, make, taxonomy: DataFrame, subcategor
     counted = checkpointed(df.groupBy(F.col(subcategory).alias("__of")).agg((F.ceil(F.count(F.lit(1)) / task_rows)).alias("__salts")))
     salted = joined.join(sized(counted), F.col(subcategory).eqNullSafe(F.col("__of"))).drop("__of")
     salted = salted.withColumn("__salt", F.pmod(F.xxhash64(key), "__salts")).drop("__salts")
-    dealt = salted.repartition(F.col(subcategory), "__salt").sortWithinPartitions(subcategory, "__salt", key).drop("__salt")
+    tasks = max(1, counted.agg(F.sum("__salts")).first()[0] or 1)  # a stated number: by size, adaptive execution would put the few bytes into one task
+    dealt = salted.repartition(int(tasks), F.col(subcategory), "__salt").sortWithinPartitions(subcategory, "__salt", key).drop("__salt")
     columns = [c.split()[0] for c in schema.split(",")]
     kind = df.schema[key].dataType.simpleString()
 
-    def tried(batch: pd.DataFrame, answer, allowed: list) -> tuple[pd.Index, pd.DataFrame, str]:
-        out, reason = _asked(batch, answer, key, columns)
-        for _ in range(tries - 1):
-            wrong = out[label].notna() & ~out[label].isin(allowed)
-            if not wrong.any():
-                break
-            again, reason = _asked(batch.loc[out.index[wrong]], answer, key, columns)
-            out = pd.concat([out[~wrong], again]) if len(again) else out[~wrong]
-        out.loc[out[label].notna() & ~out[label].isin(allowed), columns] = None
-        return batch.index, out, reason
-
     def run(frames):
         answer = make()
         for frame in frames:
-            frame, answered = frame.reset_index(drop=True), []
+            frame, batches, allowed = frame.reset_index(drop=True), [], []
+            names = np.empty(len(frame), dtype=object)
             for _, group in frame.groupby(subcategory, dropna=False, sort=False):
-                allowed = list(group["__names"].iloc[0]) if group["__names"].iloc[0] is not None else []
-                for batch in _calls(group.drop(columns="__names"), key, batch_size):
-                    answered.append(tried(batch, lambda b, a=allowed: answer(b, a), allowed))
-            yield _outcomes(frame, answered, key, columns)
+                first = group["__names"].iloc[0]
+                mine = list(first) if first is not None else []
+                names[group.index.to_numpy()] = [set(mine)] * len(group)
+                calls = _calls(group.drop(columns="__names"), key, batch_size)
+                batches += calls
+                allowed += [mine] * len(calls)
+            answers = [lambda b, a=a: answer(b, a) for a in allowed]
+            out, why = _asked(batches, answers, key, columns)
+            owner = np.full(len(frame), -1)
+            for n, batch in enumerate(batches):
+                owner[batch.index.to_numpy()] = n
+            bad = lambda out: np.array([f and v not in names[i] for i, v, f in zip(out.index, out[label], out[label].notna(), strict=True)], bool)
+            for _ in range(tries - 1):
+                wrong = bad(out)
+                if not wrong.any():
+                    break
+                rows = pd.Series(out.index[wrong]).groupby(owner[out.index[wrong]], sort=True)  # the wrong rows of a call are its next call
+                again = {n: batches[n].loc[index] for n, index in rows}
+                more, reasons = _asked(list(again.values()), [answers[n] for n in again], key, columns)
+                for n, reason in zip(again, reasons, strict=True):
+                    why[n] = reason
+                out = pd.concat([out[~wrong], more]) if len(more) else out[~wrong]
+            out.loc[bad(out), columns] = None
+            yield _outcomes(frame, out, batches, why, key, columns)
 
     return dealt.mapInPandas(run, f"{key} {kind}, {schema}, validation_status string, gap_reason string")
 

@@ -118,3 +118,24 @@ def test_a_null_id_with_an_output_has_no_gap_row(spark):
     outputs = spark.createDataFrame([(None, "a")], "in_id long, category string")
     out = mg.fill_gaps(inputs, outputs, "why").select("in_id", F.col("category")).collect()
     assert sorted(map(tuple, out), key=repr) == [(1, "Uncategorized"), (None, "a")]
+
+
+def test_answers_of_many_calls_are_matched_at_once(monkeypatch):
+    """One concatenation for all calls of a frame; an answer counts for its own call only."""
+    made, original = [], pd.concat
+    monkeypatch.setattr(pd, "concat", lambda *a, **k: made.append(1) or original(*a, **k))
+    frame = pd.DataFrame({"in_id": [k % 900 for k in range(1000)], "v": [f"v{k}" for k in range(1000)]})
+
+    def answer(batch):
+        if 7 in set(batch["in_id"]):
+            raise ValueError("seven")
+        extra = pd.DataFrame({"in_id": [(batch["in_id"].iloc[0] + 10) % 900, batch["in_id"].iloc[0], 10_000], "label": "not asked or twice"})
+        return original([batch.assign(label=batch["v"])[["in_id", "label"]], extra])
+
+    batches = cf._calls(frame, "in_id", 10)
+    out, why = cf._asked(batches, [answer] * len(batches), "in_id", ["label"])
+    rows = cf._outcomes(frame, out, batches, why, "in_id", ["label"])
+    failed = {i for b in batches if 7 in set(b["in_id"]) for i in b.index}
+    assert rows["label"].tolist() == [None if i in failed else f"v{i}" for i in range(1000)]
+    assert rows["gap_reason"].tolist() == ["ValueError: seven" if i in failed else None for i in range(1000)]
+    assert len(made) < 5
