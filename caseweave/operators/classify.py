@@ -18,6 +18,8 @@ from caseweave.operators.validate import sized
 from caseweave.sources.shared import checkpointed, scratch
 
 GAP, NO_ID = "pipeline_gap", "no id"
+#: Waves of a resumable run whose caller names no size for them.
+WAVES = 32
 
 
 def _calls(frame: pd.DataFrame, key: str, batch_size: int) -> list[pd.DataFrame]:
@@ -155,7 +157,8 @@ def resumable(
     Pending rows are those whose id has no answer of this run in the ledger.  They are dealt to waves of ``wave_tasks``
     tasks of about ``task_rows`` rows; a wave's answers are appended to the ledger when it ends.  So a task that is lost asks
     again for its own ``task_rows`` rows, a job that is killed for its last wave, and a restarted job for nothing that the
-    ledger has.  Failed rows are given back, but not kept: the next start asks for them again.
+    ledger has.  Without ``wave_tasks`` a wave has a task for each core, or more where there would be over ``WAVES`` waves, each
+    with its jobs and files; then the last wave is one of ``WAVES`` parts of the rows.  Failed rows are given back, but not kept: the next start asks for them again.
 
     Of repeated ids the least row (by its columns in order) is asked; rows without an id are left out.  ``most_waves``
     ends a call early; ids that weren't asked are then missing from the result.
@@ -164,8 +167,9 @@ def resumable(
     once = keep_first(df.where(F.col(key).isNotNull()), [key], [c for c in df.columns if c != key] or [key])
     ledger = _ledger(spark, path, run_id)
     pending = once if ledger is None else once.join(ledger.select(key), key, "left_anti")
-    tasks = wave_tasks or spark.sparkContext.defaultParallelism
-    waves = max(1, -(-(pending.count() if ledger is not None else once.count()) // (task_rows * tasks)))
+    n = pending.count() if ledger is not None else once.count()
+    tasks = wave_tasks or max(spark.sparkContext.defaultParallelism, -(-n // (task_rows * WAVES)))
+    waves = max(1, -(-n // (task_rows * tasks)))
     kept, gaps = scratch(spark, "pending"), scratch(spark, "gaps")
     dealt = pending.withColumn("__wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int"))
     dealt.repartition(F.col("__wave"), F.pmod(F.xxhash64(F.lit(1), key), F.lit(tasks))).write.partitionBy("__wave").parquet(kept)

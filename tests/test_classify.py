@@ -139,3 +139,13 @@ def test_answers_of_many_calls_are_matched_at_once(monkeypatch):
     assert rows["label"].tolist() == [None if i in failed else f"v{i}" for i in range(1000)]
     assert rows["gap_reason"].tolist() == ["ValueError: seven" if i in failed else None for i in range(1000)]
     assert len(made) < 5
+
+
+def test_waves_do_not_grow_in_number_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cf, "WAVES", 2, raising=False)
+    waves, original = [], cf.checkpointed
+    monkeypatch.setattr(cf, "checkpointed", lambda rows: waves.append(1) or original(rows))
+    df = spark.createDataFrame([(k, f"v{k}") for k in range(400)], "in_id long, v string")
+    out = cf.resumable(df, lambda part: cf.classify(part, maker, "label string"), str(tmp_path / "l"), "r", task_rows=10)
+    assert sorted((r.in_id, r.label) for r in out.collect()) == [(k, f"V{k}") for k in range(400)]
+    assert len(waves) <= 2  # 400 rows in tasks of 10 on 4 cores were 10 waves
