@@ -48,6 +48,10 @@ WIDTH = SIZE + REACH
 SHALLOW_KEYS = 5
 #: Rows that one call sorts at a time, if no single group is larger.
 SORT_AT_ONCE = 200_000
+#: Contexts of a bucket that are compared together, if no single gram has more, and strings that are made of them at a time.
+CONTEXTS_AT_ONCE, STRINGS_AT_ONCE = 65_536, 500_000
+#: Contexts whose bytes are looked up together: bounds the tables of a 64-bit place for each byte.
+PLACES_AT_ONCE = 8192
 #: Bytes of text whose anchors are packed together.
 AT_ONCE = 4_000_000
 #: Bytes of text whose anchors are found together: bounds the tables of 64-bit values for each byte.
@@ -115,9 +119,10 @@ def _reach(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return highest, SIZE - lowest
 
 
-def _string_places(masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and bit of each bit that is set."""
-    return np.nonzero((masks[:, None] >> np.arange(REACH + 1)) & 1)
+def _string_places(masks: np.ndarray, low: int = 0, high: int = REACH + 1) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bit of each bit that is set, of the bits from ``low`` to below ``high``."""
+    row, bit = np.nonzero((masks[:, None] >> np.arange(low, min(high, REACH + 1))) & 1)
+    return row, bit + low
 
 
 def multikey_quicksort(keys: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,6 +221,15 @@ def deep_shallow(rows: np.ndarray, group: np.ndarray) -> np.ndarray:
     return classes
 
 
+def _together(starts: np.ndarray, n: int, limit: int) -> Iterator[tuple[int, int]]:
+    """Whole runs put together to parts of at most ``limit`` places, or of a single run: where each part begins and ends."""
+    ends, begin = np.r_[starts[1:], n], 0
+    while begin < n:
+        end = int(ends[max(np.searchsorted(ends, begin + limit, "right") - 1, np.searchsorted(ends, begin, "right"))])
+        yield begin, end
+        begin = end
+
+
 def _least_of_equal(ids: np.ndarray, group: np.ndarray, rows_of) -> np.ndarray:
     """For each entry the smallest id among the equal entries of its group.
 
@@ -225,31 +239,38 @@ def _least_of_equal(ids: np.ndarray, group: np.ndarray, rows_of) -> np.ndarray:
     least = ids.copy()
     order = np.argsort(group, kind="stable")
     order = order[repeats.several(ids[order], runs(group[order]))]
-    starts, begin = runs(group[order]), 0
-    ends = np.r_[starts[1:], len(order)]
-    while begin < len(order):
-        end = int(ends[max(np.searchsorted(ends, begin + SORT_AT_ONCE, "right") - 1, np.searchsorted(ends, begin, "right"))])
+    for begin, end in _together(runs(group[order]), len(order), SORT_AT_ONCE):
         own = order[begin:end]
         classes = deep_shallow(rows_of(own), group[own])
         smallest = np.full(classes.max() + 1, np.iinfo(np.int64).max)
         np.minimum.at(smallest, classes, ids[own])
         least[own] = smallest[classes]
-        begin = end
     return least
 
 
 def _context_rows(buf: np.ndarray, at: np.ndarray, masks: np.ndarray) -> np.ndarray:
     """Contexts as rows of equal width: the mask, and the bytes around the anchor, zero where a context doesn't reach."""
-    before, after = _reach(masks)
-    column = np.arange(WIDTH) - REACH
-    inside = (column >= -before[:, None]) & (column < after[:, None])
-    places = np.where(inside, at[:, None] + column, 0)
-    rows = np.zeros((len(at), WIDTH + 4), np.uint8)
-    rows[:, :WIDTH] = np.where(inside, buf[places], 0)
+    rows, column = np.zeros((len(at), WIDTH + 4), np.uint8), np.arange(WIDTH) - REACH
+    for k in range(0, len(at), PLACES_AT_ONCE):
+        some = slice(k, k + PLACES_AT_ONCE)
+        before, after = _reach(masks[some])
+        inside = (column >= -before[:, None]) & (column < after[:, None])
+        rows[some, :WIDTH] = np.where(inside, buf[np.where(inside, at[some, None] + column, 0)], 0)
     rows[:, WIDTH:] = masks.astype("<u4").view(np.uint8).reshape(-1, 4)
     return rows
 
 
+def _spans_of(buf: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of spans, one after the other."""
+    stops = np.cumsum(sizes)
+    out = np.empty(int(stops[-1]), np.uint8)
+    for k in range(0, len(begin), PLACES_AT_ONCE):
+        some = slice(k, k + PLACES_AT_ONCE)
+        first, last = int(stops[k] - sizes[k]), int(stops[some][-1])
+        out[first:last] = buf[np.repeat(begin[some] - (stops[some] - sizes[some]), sizes[some]) + np.arange(first, last)]
+    return out
+
+
 def _group(grams: np.ndarray, masks: np.ndarray) -> np.ndarray:
     return kernel.mixed(grams + masks.astype(U) * U(0xD6E8FEB86659FD93))
 
@@ -304,7 +325,7 @@ def _fetch(batches, buckets: repeats.Buckets):
         before, after = _reach(masks)
         sizes = np.where(bucket < 0, 0, before + after)
         stops = np.cumsum(sizes)
-        data = a.buf[np.repeat(at - before - (stops - sizes), sizes) + np.arange(stops[-1])].tobytes()
+        data = _spans_of(a.buf, at - before, sizes)
         bounds = np.r_[0, stops]
         blobs = [pressed.compress(data[x:y]) if x < y else b"" for x, y in zip(bounds[edges].tolist(), bounds[ends].tolist(), strict=True)]
         columns = [(ids[text], I64), (texts[text], I64), (at - a.offsets[text], I32), (masks, I32)]
@@ -314,33 +335,49 @@ def _fetch(batches, buckets: repeats.Buckets):
         )
 
 
+def _found(ids: np.ndarray, masks: np.ndarray, grams: np.ndarray, at: np.ndarray, buf: np.ndarray) -> np.ndarray:
+    """For each context the mask of its strings that start in a smaller id too; the contexts are all those of their grams."""
+    least = _least_of_equal(ids, _group(grams, masks), lambda i: _context_rows(buf, at[i], masks[i]))
+    found = np.where(ids > least, masks, 0)
+    # The different contexts, for their smallest id: strings of one gram and place, for contexts that agree in a part.
+    shared = np.flatnonzero(ids == least)
+    windows, bits = np.lib.stride_tricks.sliding_window_view(buf, SIZE), max(1, STRINGS_AT_ONCE // len(shared))
+    for low in range(0, REACH + 1, bits):
+        row, back = _string_places(masks[shared], low, low + bits)
+        row = shared[row]
+        string = at[row] - back
+        smallest = _least_of_equal(ids[row], _group(grams[row], back), lambda i, s=string: windows[s[i]])
+        hit = ids[row] > smallest
+        np.bitwise_or.at(found, row[hit], np.int64(1) << back[hit])
+    return found
+
+
 def _sort(bucket: int, table: pa.Table, spread_over: int) -> pa.Table:
     """Hits among one bucket's contexts: bytes of the strings that start in a smaller id too.
 
-    The strings of one context start within ``REACH`` bytes, so what they cover is one interval.
+    The strings of one context start within ``REACH`` bytes, so what they cover is one interval.  Beside the contexts
+    themselves only what belongs to some grams at a time is held.
     """
-    ids, texts, starts, masks = (kernel.flat_lists(table.column(c))[0] for c in ("ids", "texts", "starts", "masks"))
+    (ids, counts), (texts, _), (starts, _), (masks, _) = (kernel.flat_lists(table.column(c)) for c in ("ids", "texts", "starts", "masks"))
     masks = masks.astype(np.int64)
     if bucket >= 0:
-        opened = zstandard.ZstdDecompressor()
-        buf = np.frombuffer(b"".join([opened.decompress(x) for x in table.column("bytes").to_pylist()]), np.uint8)
+        opened, gram = zstandard.ZstdDecompressor(), kernel.Rolling(31)
         before, after = _reach(masks)
-        at = np.cumsum(before + after) - after
-        gram = kernel.Rolling(31)
-        grams = kernel.mixed(gram.spans(gram.prefix(buf), at, at + GRAM))
-        least = _least_of_equal(ids, _group(grams, masks), lambda i: _context_rows(buf, at[i], masks[i]))
-        found = np.where(ids > least, masks, 0)
-        # The different contexts, for their smallest id: strings of one gram and place, for contexts that agree in a part.
-        shared = np.argsort(grams, kind="stable")
-        shared = np.sort(shared[repeats.several(ids[shared], runs(grams[shared]))])
-        shared = shared[ids[shared] == least[shared]]
-        row, back = _string_places(masks[shared])
-        row = shared[row]
-        windows = np.lib.stride_tricks.sliding_window_view(buf, SIZE) if len(buf) >= SIZE else None
-        string = at[row] - back
-        smallest = _least_of_equal(ids[row], _group(grams[row], back), lambda i: windows[string[i]])
-        hit = ids[row] > smallest
-        np.bitwise_or.at(found, row[hit], np.int64(1) << back[hit])
+        stops = np.cumsum(before + after)
+        at, buf, grams, row, place = stops - after, np.empty(int(stops[-1]), np.uint8), np.empty(len(ids), U), 0, 0
+        for n, blob in zip(counts.tolist(), table.column("bytes"), strict=True):  # what one batch of texts sent
+            data = np.frombuffer(opened.decompress(blob.as_py()), np.uint8)
+            own = at[row : row + n] - place
+            grams[row : row + n] = gram.spans(gram.prefix(data), own, own + GRAM)
+            buf[place : place + len(data)] = data
+            row, place = row + n, place + len(data)
+        grams = kernel.mixed(grams)
+        order = np.argsort(grams, kind="stable")
+        order = order[repeats.several(ids[order], runs(grams[order]))]
+        found = np.zeros(len(ids), np.int64)
+        for begin, end in _together(runs(grams[order]), len(order), CONTEXTS_AT_ONCE):
+            own = order[begin:end]
+            found[own] = _found(ids[own], masks[own], grams[own], at[own], buf)
         k = np.flatnonzero(found)
         ids, texts, starts, masks = ids[k], texts[k], starts[k], found[k]
     before, after = _reach(masks)

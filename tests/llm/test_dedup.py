@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,39 @@ def test_hot_gram_with_many_contexts_and_one_long_text(spark, monkeypatch):
         assert cut_bytes(frame(spark, rows).repartition(5), pieces=pieces) == brute_bytes(rows)
 
 
+def test_a_bucket_of_many_contexts_holds_a_part_of_them_at_a_time(monkeypatch):
+    """Tables that a bucket needs beside its contexts' bytes belong to some grams; parts and steps don't change the hits."""
+    repeats, rng = suffix_dedup.repeats, np.random.default_rng(6)
+    lines = ["".join(map(chr, rng.integers(97, 123, 400))) for _ in range(900)]
+    texts = ["".join(lines[i] for i in rng.integers(0, len(lines), 10)) for _ in range(500)] + ["".join(map(chr, rng.integers(97, 100, 60))) + "as is well known to all of us" * 2 for _ in range(300)]
+    ids = np.arange(len(texts), dtype=np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(texts)], ["id", "text_hash", "text"])
+    buckets = repeats.Buckets(np.ones(repeats.CELLS, np.int64), 10**6)
+    packed = pa.Table.from_batches(suffix_dedup._pack(iter([batch]), buckets))
+    shared = pa.concat_tables([repeats.shared(k, packed.filter(pa.compute.equal(packed["bucket"], k)), 1) for k in pa.compute.unique(packed["bucket"]).to_pylist()])
+    named = {r["id"]: r["hashes"] for r in repeats.hashes_of_rows(shared).to_pylist()}
+    asked = batch.append_column("hashes", pa.array([named.get(i) for i in ids.tolist()], pa.binary()))
+    contexts = pa.Table.from_batches([b for some in range(0, len(ids), 20) for b in suffix_dedup._fetch(iter([asked.slice(some, 20)]), buckets)])
+    contexts = contexts.filter(pa.compute.equal(contexts["bucket"], 0))
+    monkeypatch.setattr(suffix_dedup, "SORT_AT_ONCE", 5000)
+    hits, size = [], len(contexts.column("starts").combine_chunks().flatten())
+    assert size > 100_000
+    for contexts_at_once, strings_at_once in ((10**9, 10**9), (4000, 20_000), (50, 1)):
+        monkeypatch.setattr(suffix_dedup, "CONTEXTS_AT_ONCE", contexts_at_once, raising=False)
+        monkeypatch.setattr(suffix_dedup, "STRINGS_AT_ONCE", strings_at_once, raising=False)
+        if contexts_at_once == 50:
+            contexts = contexts.slice(0, 2)
+        tracemalloc.start()
+        out = suffix_dedup._sort(0, contexts, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        hits.append(out.to_pylist())
+        if contexts_at_once == 4000:
+            assert peak < 400 * size
+    monkeypatch.setattr(suffix_dedup, "CONTEXTS_AT_ONCE", 10**9)
+    assert hits[0] == hits[1] and hits[0][0]["ids"] and hits[2] == suffix_dedup._sort(0, contexts, 1).to_pylist()
+
+
 def test_blind_trie_and_quicksort():
     rng = random.Random(5)
     strings = ["".join(rng.choice("ab") for _ in range(10)).encode() for _ in range(300)]
